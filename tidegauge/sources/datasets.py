@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegauge.functions.columns import DEFAULT_BRANCH
@@ -96,8 +95,3 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFram
         .load(folder)
     )
     return files.select("path", "length", "modificationTime")
-
-
-def people_over(df: DataFrame, age: int = 28) -> DataFrame:
-    """Names and ages above a bound; null ages fall out and an empty result keeps its schema."""
-    return df.filter(F.col("age") > age).select("name", "age")

@@ -55,14 +55,17 @@ def build_control_table(spark: SparkSession, rows: list[dict | Row]) -> DataFram
 
 
 def control_from_folder(spark: SparkSession, folder: str, pattern: str = "*.parquet") -> DataFrame:
-    """Control rows for every file found by a folder scan, in the control schema."""
-    files = list_files(spark, folder, pattern)
-    return files.select(
-        F.col("path").alias("rid"),
-        F.col("path"),
+    """Control rows from a folder scan: one per dataset file or dataset directory in the folder."""
+    root = folder.rstrip("/")
+    inside = F.substring_index("path", f"{root}/", -1)
+    files = list_files(spark, root, pattern).withColumn("name", F.split_part(inside, F.lit("/"), F.lit(1)))
+    found = files.groupBy("name").agg(F.min("modificationTime").alias("added_at"))
+    return found.select(
+        F.col("name").alias("rid"),
+        F.col("name").alias("path"),
         F.lit(DEFAULT_BRANCH).alias("branch"),
         F.lit(True).alias("enabled"),
-        F.col("modificationTime").alias("added_at"),
+        "added_at",
         F.lit("folder scan").alias("added_by"),
         F.lit(None).cast("string").alias("notes"),
     )
