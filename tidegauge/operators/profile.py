@@ -104,7 +104,10 @@ def _pairs(df: DataFrame, members: list[tuple[int, str]], value: Callable[[Colum
 def value_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """``(position, v, n)``: how often each non-null value occurs; columns must share one type."""
     names = columns or df.columns
-    pairs = _pairs(df, list(enumerate(names)), lambda c: c)
+    return _counted(_pairs(df, list(enumerate(names)), lambda c: c))
+
+
+def _counted(pairs: DataFrame) -> DataFrame:
     return pairs.filter(F.col("v").isNotNull()).groupBy("position", "v").agg(_count().alias("n"))
 
 
@@ -123,9 +126,7 @@ def _numeric(df: DataFrame, members: list[tuple[int, str]], kind: str) -> list[D
         F.avg(as_double).alias("mean"),
         F.stddev_pop(as_double).alias("spread"),
     )
-    counts = (
-        pairs.filter(F.col("v").isNotNull()).groupBy("position", "v").agg(_count().alias("n"))
-    )
+    counts = _counted(pairs)
     # Values per (position, n): at most sqrt(2 * rows) rows per column, usually a handful.
     per_count = counts.groupBy("position", "n").agg(_count().alias("values"), F.min("v").alias("v"))
     ranked = per_count.groupBy("position").agg(
@@ -168,8 +169,9 @@ def _short_key(value: Column) -> Column:
 
 
 def _distinct(df: DataFrame, members: list[tuple[int, str]], key: Callable[[Column], Column]):
-    values = _pairs(df, members, key).filter(F.col("v").isNotNull()).distinct()
-    per_column = values.groupBy("position").agg(_count().alias("distinct"))
+    # Grouping, not distinct(), which refuses maps.
+    counts = _counted(_pairs(df, members, key))
+    per_column = counts.groupBy("position").agg(_count().alias("distinct"))
     return _parts(per_column, distinct_count=F.col("distinct"))
 
 

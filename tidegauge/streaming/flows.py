@@ -18,15 +18,28 @@ from tidegauge.sources.versions import VersionedTable
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 # Session settings of a flow. State lives off-heap in RocksDB and checkpoints upload changes only;
-# sessions of one key are merged within a task before the shuffle.
+# a join keeps one store per partition instead of four; sessions of one key are merged within a
+# task before the shuffle.
 FLOW_CONF = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.join.stateFormatVersion": "3",
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.sql.streaming.numRecentProgressUpdates": "10000",
 }
 
 
+def state_partitions(spark: SparkSession) -> int:
+    """How many state partitions a new checkpoint gets; they cannot be changed later.
+
+    A cluster session's shuffle setting is taken as it is. A local session has no use for more
+    partitions than cores, and every partition costs a state store commit per micro-batch.
+    """
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    context = spark.sparkContext
+    return min(wanted, context.defaultParallelism) if context.master.startswith("local") else wanted
+
+
 @contextmanager
 def settings(spark: SparkSession, **conf: str) -> Iterator[None]:
     """Session settings for the time a query starts; a started query keeps its own copy."""
@@ -73,6 +86,7 @@ def run_flow(
     each_batch: Callable[[DataFrame, int], None] | None = None,
     watermark_policy: str = "min",
     state_store: str = ROCKSDB,
+    partitions: int | None = None,
 ) -> FlowRun:
     """Process all available data in append mode, then stop.
 
@@ -84,7 +98,10 @@ def run_flow(
         **FLOW_CONF,
         "spark.sql.streaming.stateStore.providerClass": state_store,
         "spark.sql.streaming.multipleWatermarkPolicy": watermark_policy,
+        "spark.sql.shuffle.partitions": str(partitions or state_partitions(spark)),
     }
+    if state_store != ROCKSDB:
+        conf["spark.sql.streaming.join.stateFormatVersion"] = "2"
     writer = (
         stream.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
