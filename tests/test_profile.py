@@ -105,6 +105,20 @@ def test_nested_and_binary_columns(spark):
     assert (rows["f"]["min_value"], rows["f"]["null_count"]) == ("true", 1)
 
 
+def test_range_of_dates_is_that_of_their_text(spark):
+    df = spark.sql(
+        """SELECT * FROM VALUES (date'2024-01-02', date'-0044-03-15', timestamp'2024-01-01 00:00:00.5'),
+           (date'2023-12-31', date'+12024-01-01', timestamp'2024-01-01 00:00:00'),
+           (NULL, date'+102024-01-01', timestamp'2024-01-01 00:00:00.45') AS t(a, b, c)"""
+    )
+    text = df.select(*[F.col(c).cast("string") for c in df.columns])
+    rows = by_column(df)
+    for name in df.columns:
+        want = text.agg(F.min(name), F.max(name)).first()
+        assert (rows[name]["min_value"], rows[name]["max_value"]) == tuple(want)
+    assert (rows["a"]["null_count"], rows["a"]["distinct_count"]) == (1, 2)
+
+
 def test_long_texts_are_counted_whole(spark):
     base = "x" * 500
     texts = [base + "a", base + "b", base + "a", "short", base, None, "é" * 30]

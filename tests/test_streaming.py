@@ -171,8 +171,8 @@ def test_sessions(spark):
     ]
 
 
-@pytest.mark.parametrize("salts", [1, 8])
-def test_dedup_over_batches_and_runs(spark, salts):
+@pytest.mark.parametrize("thin", [False, True])
+def test_dedup_over_batches_and_runs(spark, thin):
     schema = "event_time timestamp, id int"
     landing = Landing(spark)
     hot = [(at("12:00"), 1)] * 50
@@ -180,11 +180,23 @@ def test_dedup_over_batches_and_runs(spark, salts):
     folder = scratch(spark, "dedup")
     for extra in ([(at("12:03"), 4)], [(at("12:01"), 2), (at("12:03"), 4)]):
         landing.file(*extra, schema=schema)
-        rows = deduplicated(landing.stream(max_files=1), "event_time", "10 minutes", ["id"], salts)
+        rows = deduplicated(landing.stream(max_files=1), "event_time", "10 minutes", ["id"], thin)
         run_flow(rows, f"{folder}/c", "dedup", path=f"{folder}/o")
     assert sorted(r["id"] for r in spark.read.parquet(f"{folder}/o").collect()) == [1, 2, 3, 4]
 
 
+def test_a_late_copy_does_not_hide_a_timely_one(spark):
+    schema = "event_time timestamp, id int"
+    landing = Landing(spark).file((at("12:00"), 1), schema=schema)
+    folder = scratch(spark, "dedup")
+    for more in ([(at("14:00"), 2)], [(at("12:30"), 3), (at("14:05"), 3), (at("12:31"), 3)]):
+        landing.file(*more, schema=schema)
+        rows = deduplicated(landing.stream(), "event_time", "10 minutes", ["id"])
+        run_flow(rows, f"{folder}/c", "dedup", path=f"{folder}/o")
+    found = spark.read.parquet(f"{folder}/o").collect()
+    assert sorted((r["id"], r["event_time"]) for r in found)[-1] == (3, at("14:05"))
+
+
 IMPRESSIONS = "ad_id string, impression_time timestamp"
 CLICKS = "ad_id string, click_time timestamp"
 

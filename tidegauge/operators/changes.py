@@ -30,11 +30,20 @@ def latest_per_key(df: DataFrame, keys: list[str], sequence_by: list[str]) -> Da
     return newest.select(*[col(n) if n in keys else F.col("_newest")[n].alias(n) for n in df.columns])
 
 
-def without_keys_of(rows: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose key does not occur in ``other``; null keys count as equal."""
+def _by_keys_of(rows: DataFrame, other: DataFrame, keys: list[str], how: str) -> DataFrame:
     theirs = other.select(*[col(k).alias(f"_other_{i}") for i, k in enumerate(keys)])
     match = [col(k).eqNullSafe(F.col(f"_other_{i}")) for i, k in enumerate(keys)]
-    return rows.join(theirs, reduce(Column.__and__, match), "left_anti")
+    return rows.join(theirs, reduce(Column.__and__, match), how)
+
+
+def without_keys_of(rows: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose key does not occur in ``other``; null keys count as equal."""
+    return _by_keys_of(rows, other, keys, "left_anti")
+
+
+def with_keys_of(rows: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose key occurs in ``other``; null keys count as equal."""
+    return _by_keys_of(rows, other, keys, "left_semi")
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
@@ -54,11 +63,18 @@ def apply_changes(
 
     Deleted keys stay as rows flagged ``_deleted``, so that an older change that comes late cannot
     bring them back; ``live_rows`` hides them. Applying the same changes again changes nothing.
+
+    Only target rows whose key changes are compared. When the changes are small enough to broadcast
+    the target is not shuffled; else both joins share one shuffle of it.
     """
     flag = F.lit(False) if delete_when is None else F.coalesce(delete_when, F.lit(False))
     marked = changes.withColumn(DELETED, flag)
-    everything = marked if target is None else target.unionByName(marked)
-    return latest_per_key(everything, keys, sequence_by)
+    newest = latest_per_key(marked, keys, sequence_by)
+    if target is None:
+        return newest
+    held = with_keys_of(target, newest, keys)
+    settled = latest_per_key(held.unionByName(newest), keys, sequence_by)
+    return without_keys_of(target, newest, keys).unionByName(settled)
 
 
 def live_rows(target: DataFrame) -> DataFrame:

@@ -13,14 +13,13 @@ the hash aggregates stay in generated code.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegauge.functions.columns import col, guarded_ratio, tag
+from tidegauge.functions.columns import col, quoted, tag
 
 # Texts longer than this many bytes are counted by their SHA-256 digest, so that long texts do not
 # travel through the shuffle. Digests are longer than the bound, so they never equal a raw text.
@@ -84,156 +83,161 @@ def _lane(kind: T.DataType) -> tuple[str, str]:
     return "other", kind.simpleString()
 
 
-def _parts(df: DataFrame, **given: Column) -> DataFrame:
-    filled = [
-        (given[name] if name in given else F.lit(None)).cast(kind).alias(name)
-        for name, kind in _PARTS.items()
-    ]
-    return df.select(F.col("position").cast("int").alias("position"), *filled)
+def _parts(df: DataFrame, **given: str) -> DataFrame:
+    filled = [f"CAST({given.get(n, 'NULL')} AS {kind}) AS {n}" for n, kind in _PARTS.items()]
+    return df.selectExpr("position", *filled)
 
 
-def _pairs(df: DataFrame, members: list[tuple[int, str]], value: Callable[[Column], Column]):
+def _pairs(df: DataFrame, members: list[tuple[int, str]], value: str = "{}") -> DataFrame:
     """One ``(position, v)`` row per row and column."""
-    wide = df.select(*[value(col(name)).alias(str(i)) for i, name in members])
+    wide = df.selectExpr(*[f"{value.format(quoted(name))} AS `{i}`" for i, name in members])
     if len(members) == 1:
-        return wide.select(F.lit(members[0][0]).alias("position"), F.col(wide.columns[0]).alias("v"))
+        return wide.selectExpr(f"{members[0][0]} AS position", f"`{members[0][0]}` AS v")
     long = wide.unpivot([], wide.columns, "position", "v")
-    return long.select(F.col("position").cast("int").alias("position"), "v")
+    return long.selectExpr("CAST(position AS int) AS position", "v")
 
 
 def value_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """``(position, v, n)``: how often each non-null value occurs; columns must share one type."""
-    names = columns or df.columns
-    return _counted(_pairs(df, list(enumerate(names)), lambda c: c))
+    return _counted(_pairs(df, list(enumerate(columns or df.columns))))
 
 
 def _counted(pairs: DataFrame) -> DataFrame:
-    return pairs.filter(F.col("v").isNotNull()).groupBy("position", "v").agg(_count().alias("n"))
+    return pairs.filter("v IS NOT NULL").groupBy("position", "v").agg(F.expr("count(1) AS n"))
 
 
-def _count() -> Column:
-    return F.count(F.lit(1))
+def _grouped(df: DataFrame, keys: list[str], *aggregates: str) -> DataFrame:
+    return df.groupBy(*keys).agg(*[F.expr(a) for a in aggregates])
 
 
 def _numeric(df: DataFrame, members: list[tuple[int, str]], kind: str) -> list[DataFrame]:
-    pairs = _pairs(df, members, lambda c: c.cast(kind))
-    as_double = F.col("v").cast("double")
-    moments = pairs.groupBy("position").agg(
-        _count().alias("rows"),
-        F.count("v").alias("filled"),
-        F.min("v").alias("low"),
-        F.max("v").alias("high"),
-        F.avg(as_double).alias("mean"),
-        F.stddev_pop(as_double).alias("spread"),
+    pairs = _pairs(df, members, f"CAST({{}} AS {kind})")
+    moments = _grouped(
+        pairs,
+        ["position"],
+        "count(1) AS row_count",
+        "count(v) AS filled",
+        "min(v) AS low",
+        "max(v) AS high",
+        "avg(CAST(v AS double)) AS mean",
+        "stddev_pop(CAST(v AS double)) AS spread",
     )
-    counts = _counted(pairs)
     # Values per (position, n): at most sqrt(2 * rows) rows per column, usually a handful.
-    per_count = counts.groupBy("position", "n").agg(_count().alias("values"), F.min("v").alias("v"))
-    ranked = per_count.groupBy("position").agg(
-        F.sum("values").alias("distinct"),
-        F.min(F.struct((-F.col("n")).alias("n"), "v")).alias("top"),
+    per_count = _grouped(
+        _counted(pairs), ["position", "n"], "count(1) AS distinct_values", "min(v) AS v"
+    )
+    ranked = _grouped(
+        per_count,
+        ["position"],
+        "sum(distinct_values) AS distinct_values",
+        "min(struct(-n AS n, v)) AS top",
     )
     return [
         _parts(
             moments,
-            row_count=F.col("rows"),
-            filled=F.col("filled"),
-            min_value=F.col("low"),
-            max_value=F.col("high"),
-            mean=F.col("mean"),
-            stddev_pop=F.col("spread"),
+            row_count="row_count",
+            filled="filled",
+            min_value="low",
+            max_value="high",
+            mean="mean",
+            stddev_pop="spread",
         ),
-        _parts(ranked, distinct_count=F.col("distinct"), numeric_mode=F.col("top.v")),
+        _parts(ranked, distinct_count="distinct_values", numeric_mode="top.v"),
     ]
 
 
 def _one_row_metrics(
-    df: DataFrame,
-    members: list[tuple[int, str]],
-    metrics: Callable[[Column], dict[str, Column]],
+    df: DataFrame, members: list[tuple[int, str]], metrics: dict[str, str]
 ) -> DataFrame:
     """Aggregate without keys (no sort for text buffers), then one row per column."""
-    aggregates, entries = [_count().alias("rows")], []
+    aggregates, entries = ["count(1) AS row_count"], []
     for i, name in members:
-        fields = [F.lit(i).alias("position"), F.col("rows").alias("row_count")]
-        for metric, expression in metrics(col(name)).items():
-            aggregates.append(expression.alias(f"{metric}_{i}"))
-            fields.append(F.col(f"{metric}_{i}").alias(metric))
-        entries.append(F.struct(*fields))
-    one = df.select(*[col(name) for _, name in members]).agg(*aggregates)
-    return one.select(F.explode(F.array(*entries)).alias("m")).select("m.*")
+        fields = [f"{i} AS position", "row_count"]
+        for metric, aggregate in metrics.items():
+            aggregates.append(f"{aggregate.format(quoted(name))} AS {metric}_{i}")
+            fields.append(f"{metric}_{i} AS {metric}")
+        entries.append(f"struct({', '.join(fields)})")
+    one = df.select(*[col(name) for _, name in members]).agg(*[F.expr(a) for a in aggregates])
+    rows = one.selectExpr(f"explode(array({', '.join(entries)})) AS m").select("m.*")
+    return _parts(rows, row_count="row_count", **{metric: metric for metric in metrics})
 
 
-def _short_key(value: Column) -> Column:
-    return F.when(F.octet_length(value) <= LONG_TEXT_BYTES, value).otherwise(F.sha2(value, 256))
-
-
-def _distinct(df: DataFrame, members: list[tuple[int, str]], key: Callable[[Column], Column]):
+def _distinct(df: DataFrame, members: list[tuple[int, str]], key: str) -> DataFrame:
     # Grouping, not distinct(), which refuses maps.
     counts = _counted(_pairs(df, members, key))
-    per_column = counts.groupBy("position").agg(_count().alias("distinct"))
-    return _parts(per_column, distinct_count=F.col("distinct"))
+    per_column = _grouped(counts, ["position"], "count(1) AS distinct_values")
+    return _parts(per_column, distinct_count="distinct_values")
 
 
 def _text(df: DataFrame, members: list[tuple[int, str]], kind: str) -> list[DataFrame]:
-    metrics = _one_row_metrics(
-        df,
-        members,
-        lambda c: {
-            "filled": F.count(c),
-            "min_value": F.min(c),
-            "max_value": F.max(c),
-            "min_length": F.min(F.length(c)),
-            "max_length": F.max(F.length(c)),
-            "avg_length": F.avg(F.length(c).cast("double")),
-        },
-    )
-    names = ["row_count", "filled", "min_value", "max_value", "min_length", "max_length", "avg_length"]
-    return [
-        _parts(metrics, **{name: F.col(name) for name in names}),
-        _distinct(df, members, _short_key),
-    ]
+    metrics = {
+        "filled": "count({})",
+        "min_value": "min({})",
+        "max_value": "max({})",
+        "min_length": "min(length({}))",
+        "max_length": "max(length({}))",
+        "avg_length": "avg(CAST(length({}) AS double))",
+    }
+    short = f"CASE WHEN octet_length({{0}}) <= {LONG_TEXT_BYTES} THEN {{0}} ELSE sha2({{0}}, 256) END"
+    return [_one_row_metrics(df, members, metrics), _distinct(df, members, short)]
+
+
+def _text_class(kind: str) -> str:
+    """Values of one class order as text the way they order by type, or exactly the other way
+    round: same sign and number of digits in the year. Booleans have one class."""
+    if kind == "boolean":
+        return "0"
+    return "CASE WHEN year(v) < 0 THEN -1 ELSE 1 END * length(CAST(abs(year(v)) AS string))"
 
 
 def _scalar(df: DataFrame, members: list[tuple[int, str]], kind: str) -> list[DataFrame]:
-    """Dates, timestamps and booleans: text is made once per distinct value, not once per row."""
-    out = []
-    for i, name in members:
-        counts = df.select(col(name).alias("v")).groupBy("v").agg(_count().alias("n"))
-        one = counts.agg(
-            F.sum("n").alias("rows"),
-            F.sum(F.when(F.col("v").isNotNull(), F.col("n"))).alias("filled"),
-            F.count("v").alias("distinct"),
-            F.min(F.col("v").cast("string")).alias("low"),
-            F.max(F.col("v").cast("string")).alias("high"),
-        )
-        out.append(
-            _parts(
-                one.withColumn("position", F.lit(i)),
-                row_count=F.col("rows"),
-                filled=F.coalesce("filled", F.lit(0)),
-                distinct_count=F.col("distinct"),
-                min_value=F.col("low"),
-                max_value=F.col("high"),
-            )
+    """Dates, timestamps and booleans, all metrics from one scan.
+
+    Range is that of the text form; typed extremes per text class keep the buffers fixed-width,
+    and text is made for the extremes only.
+    """
+    counts = _grouped(_pairs(df, members), ["position", "v"], "count(1) AS n")
+    classed = counts.selectExpr("position", "v", "n", f"{_text_class(kind)} AS class")
+    per_class = _grouped(
+        classed,
+        ["position", "class"],
+        "sum(n) AS row_count",
+        "sum(CASE WHEN v IS NOT NULL THEN n END) AS filled",
+        "count(v) AS distinct_values",
+        "min(v) AS low",
+        "max(v) AS high",
+    )
+    low, high = "CAST(low AS string)", "CAST(high AS string)"
+    one = _grouped(
+        per_class,
+        ["position"],
+        "sum(row_count) AS row_count",
+        "coalesce(sum(filled), 0) AS filled",
+        "sum(distinct_values) AS distinct_values",
+        f"min(least({low}, {high})) AS low",
+        f"max(greatest({low}, {high})) AS high",
+    )
+    return [
+        _parts(
+            one,
+            row_count="row_count",
+            filled="filled",
+            distinct_count="distinct_values",
+            min_value="low",
+            max_value="high",
         )
-    return out
+    ]
 
 
 def _other(df: DataFrame, members: list[tuple[int, str]], kind: str) -> list[DataFrame]:
     """Binary and nested columns; values are grouped in their own type."""
-    metrics = _one_row_metrics(
-        df,
-        members,
-        lambda c: {
-            "filled": F.count(c),
-            "min_value": F.min(c.cast("string")),
-            "max_value": F.max(c.cast("string")),
-        },
-    )
-    names = ["row_count", "filled", "min_value", "max_value"]
-    key = (lambda c: F.sha2(c, 256)) if kind == "binary" else (lambda c: c)
-    return [_parts(metrics, **{n: F.col(n) for n in names}), _distinct(df, members, key)]
+    metrics = {
+        "filled": "count({})",
+        "min_value": "min(CAST({} AS string))",
+        "max_value": "max(CAST({} AS string))",
+    }
+    key = "sha2({}, 256)" if kind == "binary" else "{}"
+    return [_one_row_metrics(df, members, metrics), _distinct(df, members, key)]
 
 
 _FAMILIES = {"numeric": _numeric, "text": _text, "scalar": _scalar, "other": _other}
@@ -253,7 +257,12 @@ def column_metrics(df: DataFrame, columns_per_scan: int | None = None) -> DataFr
         for start in range(0, len(members), width):
             pieces += _FAMILIES[family](df, members[start : start + width], kind)
     together = reduce(DataFrame.unionAll, pieces)
-    return together.groupBy("position").agg(*[F.max(name).alias(name) for name in _PARTS])
+    return _grouped(together, ["position"], *[f"max({n}) AS {n}" for n in _PARTS])
+
+
+def _text_literals(values: list[str]) -> str:
+    escaped = [v.replace("\\", "\\\\").replace("'", "\\'") for v in values]
+    return ", ".join(f"'{v}'" for v in escaped)
 
 
 def profile_dataframe(
@@ -266,29 +275,31 @@ def profile_dataframe(
     spark = df.sparkSession
     if not df.columns:
         return spark.createDataFrame([], PROFILE_SCHEMA)
-    names = F.array(*[F.lit(f.name) for f in df.schema])
-    kinds = F.array(*[F.lit(f.dataType.simpleString()) for f in df.schema])
-    rows, filled = F.col("row_count"), F.col("filled")
-    distinct = F.coalesce(F.col("distinct_count"), F.lit(0).cast("bigint"))
-    mean, spread = F.col("mean"), F.col("stddev_pop")
-    metrics = column_metrics(df, columns_per_scan).filter(rows > 0)
-    return metrics.select(
-        F.get(names, F.col("position")).alias("column_name"),
-        F.get(kinds, F.col("position")).alias("data_type"),
-        rows,
-        (rows - filled).alias("null_count"),
-        F.round(guarded_ratio(rows - filled, rows), 6).alias("null_pct"),
-        distinct.alias("distinct_count"),
-        F.round(guarded_ratio(distinct, filled), 6).alias("uniqueness_ratio"),
+    names = _text_literals(df.columns)
+    kinds = _text_literals([f.dataType.simpleString() for f in df.schema])
+    missing, distinct = "row_count - filled", "coalesce(distinct_count, 0L)"
+    # Sources without rows have no profile.
+    metrics = column_metrics(df, columns_per_scan).filter("row_count > 0")
+    profile = metrics.selectExpr(
+        f"get(array({names}), position) AS column_name",
+        f"get(array({kinds}), position) AS data_type",
+        "row_count",
+        f"{missing} AS null_count",
+        f"round(({missing}) / row_count, 6) AS null_pct",
+        f"{distinct} AS distinct_count",
+        f"round(CASE WHEN filled > 0 THEN {distinct} / filled ELSE 0D END, 6) AS uniqueness_ratio",
         "min_value",
         "max_value",
-        F.round(mean, 6).alias("mean"),
-        F.round(spread, 6).alias("stddev_pop"),
-        F.round(F.when(mean != 0, spread / mean), 6).alias("cv"),
+        "round(mean, 6) AS mean",
+        "round(stddev_pop, 6) AS stddev_pop",
+        "round(CASE WHEN mean <> 0 THEN stddev_pop / mean END, 6) AS cv",
         "numeric_mode",
         "min_length",
         "max_length",
-        F.round("avg_length", 4).alias("avg_length"),
+        "round(avg_length, 4) AS avg_length",
+    )
+    return profile.select(
+        "*",
         tag(source_rid).alias("source_rid"),
         tag(dataset_path).alias("dataset_path"),
         F.current_timestamp().alias("profiled_at"),

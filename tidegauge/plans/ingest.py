@@ -1,8 +1,11 @@
 """High-watermark ingestion: read watermark, extract, write target, then move the watermark.
 
-The extract is written once to the shared folder and its row count and new watermark are observed
-during that write, so the source is read once. The watermark moves last; a run that dies before
-that reads the same rows again and the upsert puts them in place a second time without effect.
+An increment is written once to the shared folder, with its row count and new watermark observed
+during that write, and upserted from there: the source is read once. A first full load is not
+copied like that; it goes straight into the target, up to the watermark found beforehand.
+
+The watermark moves last; a run that dies before that reads the same rows again and the upsert
+puts them in place a second time without effect.
 """
 
 from __future__ import annotations
@@ -11,13 +14,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegauge.functions.columns import col
 from tidegauge.functions.watermarks import later, watermark_text
-from tidegauge.operators.changes import upsert
 from tidegauge.plans.tables import upsert_table
 from tidegauge.session import scratch
 from tidegauge.sources.increments import Source, active_sources, extract_increment, source_of
@@ -36,7 +38,6 @@ WATERMARK_SCHEMA = T.StructType(
         T.StructField("updated_by", T.StringType()),
     ]
 )
-_CONTROL_KEYS = ["source_system", "source_table"]
 
 STATUS_SCHEMA = T.StructType(
     [
@@ -57,17 +58,24 @@ class RunStatus:
     source_table: str
     status: str
     rows_processed: int = 0
-    rows_without_watermark: int = 0
+    rows_without_watermark: int | None = 0
     watermark_value: str | None = None
     error: str | None = None
 
 
+def _of(system: str, table: str) -> Column:
+    return (F.col("source_system") == system) & (F.col("source_table") == table)
+
+
+def _current(table: VersionedTable) -> DataFrame | None:
+    return None if table.latest() is None else table.read()
+
+
 def read_watermark(control: DataFrame | None, system: str, table: str) -> str | None:
     """The stored watermark text, or None before the first run."""
     if control is None:
         return None
-    mine = (F.col("source_system") == system) & (F.col("source_table") == table)
-    row = control.filter(mine).select("watermark_value").first()
+    row = control.filter(_of(system, table)).select("watermark_value").first()
     return None if row is None else row[0]
 
 
@@ -75,7 +83,7 @@ def commit_watermark(
     control: VersionedTable, source: Source, value: str, status: str, rows: int, by: str
 ) -> int:
     """Write the source's control row; the value never goes back."""
-    current = control.read() if control.versions() else None
+    current = _current(control)
     stored = read_watermark(current, source.source_system, source.source_table)
     row = (
         source.source_system,
@@ -89,29 +97,31 @@ def commit_watermark(
         by,
     )
     update = control.spark.createDataFrame([row], WATERMARK_SCHEMA)
-    merged = update if current is None else upsert(current, update, _CONTROL_KEYS)
+    merged = update
+    if current is not None:
+        merged = current.filter(~_of(source.source_system, source.source_table)).unionByName(update)
     return control.publish(merged.coalesce(1))
 
 
-def _extract_once(
-    source: Source, df: DataFrame, watermark: str | None
-) -> tuple[DataFrame, int, str | None]:
-    """The extract as a written table, its row count and its highest watermark."""
-    rows = extract_increment(
-        df, source.watermark_column, source.watermark_type, watermark, source.lookback_minutes
-    )
+def _staged(rows: DataFrame, column: str, folder: str) -> tuple[DataFrame, int, object]:
+    """The increment as a written table, its row count and its highest watermark."""
     seen = Observation()
-    highest = F.max(col(source.watermark_column)).alias("highest")
-    folder = scratch(df.sparkSession, "extract")
-    rows.observe(seen, F.count(F.lit(1)).alias("rows"), highest).write.parquet(folder)
-    staged = df.sparkSession.read.schema(rows.schema).parquet(folder)
-    if not seen.get["rows"]:
-        return staged, 0, None
-    one = df.sparkSession.createDataFrame(
-        [(seen.get["highest"],)], T.StructType([df.schema[source.watermark_column]])
-    )
-    text = one.select(watermark_text(one, source.watermark_column)).first()[0]
-    return staged, seen.get["rows"], text
+    # The observed stage is the writing one, where a repeated task is not counted twice.
+    rows.observe(seen, *_summary(column)).write.parquet(folder)
+    staged = rows.sparkSession.read.schema(rows.schema).parquet(folder)
+    return staged, seen.get["rows"], seen.get["highest"]
+
+
+def _summary(column: str) -> list[Column]:
+    return [F.count(F.lit(1)).alias("rows"), F.max(col(column)).alias("highest")]
+
+
+def _as_text(df: DataFrame, column: str, value: object) -> str | None:
+    """An extracted watermark in the stored text form."""
+    if value is None:
+        return None
+    one = df.sparkSession.createDataFrame([(value,)], T.StructType([df.schema[column]]))
+    return one.select(watermark_text(one, column)).first()[0]
 
 
 def ingest_source(
@@ -120,18 +130,35 @@ def ingest_source(
     target: VersionedTable,
     control: VersionedTable,
     updated_by: str = "tidegauge",
+    count_unmarked: bool = True,
 ) -> RunStatus:
-    """One incremental run of one source."""
-    system, table = source.source_system, source.source_table
-    stored = read_watermark(control.read() if control.versions() else None, system, table)
-    unmarked = df.filter(col(source.watermark_column).isNull()).count()
-    staged, rows, newest = _extract_once(source, df, stored)
-    if rows:
-        upsert_table(target, staged, list(source.primary_keys), [source.watermark_column])
-    value = later(stored, newest, source.watermark_type)
+    """One incremental run of one source.
+
+    ``count_unmarked`` reports the rows without a watermark value, which are never extracted; it
+    costs a scan of that column.
+    """
+    system, table, column = source.source_system, source.source_table, source.watermark_column
+    keys = list(source.primary_keys)
+    stored = read_watermark(_current(control), system, table)
+    unmarked = df.filter(col(column).isNull()).count() if count_unmarked else None
+    rows = extract_increment(df, column, source.watermark_type, stored, source.lookback_minutes)
+
+    staging = None
+    if target.latest() is None:
+        count, highest = rows.agg(*_summary(column)).first()
+        if count:
+            upsert_table(target, rows.filter(col(column) <= F.lit(highest)), keys, [column])
+    else:
+        staging = scratch(df.sparkSession, "increment")
+        staged, count, highest = _staged(rows, column, staging)
+        if count:
+            upsert_table(target, staged, keys, [column])
+    value = later(stored, _as_text(df, column, highest), source.watermark_type)
     if value is not None:
-        commit_watermark(control, source, value, "success", rows, updated_by)
-    return RunStatus(system, table, "success", rows, unmarked, value)
+        commit_watermark(control, source, value, "success", count, updated_by)
+    if staging is not None:
+        control.files.delete(staging)
+    return RunStatus(system, table, "success", count, unmarked, value)
 
 
 def ingest(

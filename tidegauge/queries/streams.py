@@ -435,7 +435,7 @@ def late_audit_query(spark, sf_dir):
 @register(
     "stream_metrics",
     """
-    SELECT 'hourly' AS flow, count(*) AS input_rows, 0 AS rows_dropped,
+    SELECT 'hourly' AS flow, count(*) AS input_rows, CAST(0 AS BIGINT) AS rows_dropped,
            strftime(date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE,
                     '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS watermark
     FROM events

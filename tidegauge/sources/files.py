@@ -7,12 +7,10 @@ from pyspark.sql import SparkSession
 
 class SharedFiles:
     def __init__(self, spark: SparkSession):
-        self._jvm = spark._jvm
+        self._to_text = spark._jvm.org.apache.commons.io.IOUtils.toString
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
         self._conf = spark._jsparkSession.sessionState().newHadoopConf()
 
-    def _path(self, path: str):
-        return self._jvm.org.apache.hadoop.fs.Path(path)
-
     def _fs(self, path: str):
         return self._path(path).getFileSystem(self._conf)
 
@@ -31,7 +29,7 @@ class SharedFiles:
     def read_text(self, path: str) -> str:
         stream = self._fs(path).open(self._path(path))
         try:
-            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            return self._to_text(stream, "UTF-8")
         finally:
             stream.close()
 

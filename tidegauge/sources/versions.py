@@ -54,12 +54,16 @@ class VersionedTable:
         """Published versions, oldest first."""
         return sorted(n for n in self._numbers() if self.files.exists(self._marker(n)))
 
+    def latest(self) -> int | None:
+        """The number of the current version, or None before the first publish."""
+        newest_first = sorted(self._numbers(), reverse=True)
+        return next((n for n in newest_first if self.files.exists(self._marker(n))), None)
+
     def version(self, number: int | None = None) -> Version | None:
-        published = self.versions()
-        if not published:
+        chosen = self.latest() if number is None else number
+        if chosen is None:
             return None
-        chosen = published[-1] if number is None else number
-        if chosen not in published:
+        if not self.files.exists(self._marker(chosen)):
             raise LookupError(f"{self.path} has no version {chosen}")
         m = json.loads(self.files.read_text(self._marker(chosen)))
         return Version(
