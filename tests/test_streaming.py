@@ -14,6 +14,7 @@ from tidegauge.streaming.dedup import deduplicated
 from tidegauge.streaming.flows import (
     FlowTarget,
     ResetNotAllowed,
+    _once_per_batch,
     run_flow,
     state_partitions,
     upsert_flow,
@@ -300,14 +301,27 @@ def test_upsert_flow_repeats_are_harmless(spark):
     landing = Landing(spark).file("12:00").file("12:05")
     table = VersionedTable(spark, scratch(spark, "upserts"))
     folder = scratch(spark, "flow")
-    for _ in range(2):
-        upsert_flow(landing.stream(max_files=1), table, ["region"], ["event_time"], f"{folder}/c", "f")
-    assert table.batch_of("f") == 1 and len(table.versions()) == 2
-    assert [r["event_time"] for r in table.read().collect()] == [at("12:05")]
-    # A batch the engine repeats after a stop is passed over.
-    upsert_flow(landing.stream(max_files=1), table, ["region"], ["event_time"], f"{folder}/other", "f")
+
+    def run(checkpoint):
+        stream = landing.stream(max_files=1)
+        upsert_flow(stream, table, ["region"], ["event_time"], checkpoint, "f")
+        return [r["event_time"] for r in table.read().collect()]
+
+    assert run(f"{folder}/c") == run(f"{folder}/c") == [at("12:05")]
     assert len(table.versions()) == 2
 
+    # A batch the engine repeats after a stop is passed over.
+    calls = []
+    each = _once_per_batch(table, f"{folder}/c", lambda rows, batches: calls.append(batches))
+    each(spark.range(1), 1)
+    assert calls == []
+    each(spark.range(1), 2)
+    assert len(calls) == 1
+
+    # A new checkpoint is no repeat: its batches are read and upserted again.
+    assert run(f"{folder}/other") == [at("12:05")]
+    assert len(table.versions()) == 4
+
 
 def test_single_files_can_be_streamed(spark, folder):
     path = "/root/testdata/sf0.001/nation.parquet"

@@ -37,7 +37,7 @@ def shared_root(spark: SparkSession) -> str:
     Only a local master may go without the setting; it then gets a fresh temporary folder, kept
     for the life of the session.
     """
-    root = spark.conf.get(CHECKPOINT_CONF, None)
+    root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by driver and executors")

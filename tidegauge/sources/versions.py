@@ -100,10 +100,10 @@ class VersionedTable:
             self._load(b.schema, {k: f for k, f in b.folders.items() if f not in shared}),
         )
 
-    def batch_of(self, flow: str) -> int:
-        """The last micro-batch a flow has published here; -1 before the first."""
+    def batch_of(self, query: str) -> int:
+        """The last micro-batch a streaming query has published here; -1 before the first."""
         v = self.version()
-        return -1 if v is None else v.batches.get(flow, -1)
+        return -1 if v is None else v.batches.get(query, -1)
 
     # -- writing ---------------------------------------------------------------------------
 

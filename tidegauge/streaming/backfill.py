@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions.columns import as_instant, col
 from tidegauge.session import scratch
+from tidegauge.sources.files import SharedFiles
 from tidegauge.streaming.flows import FlowRun
 
 _SLICE, _SPREAD = "event_slice", "_spread"
@@ -36,8 +37,8 @@ def split_history(history: DataFrame, event_time: str, seconds: int) -> tuple[st
         .write.partitionBy(_SLICE)
         .parquet(folder)
     )
-    written = history.sparkSession.read.parquet(folder).select(_SLICE).distinct()
-    return folder, sorted(r[0] for r in written.collect())  # one number per slice
+    written = SharedFiles(history.sparkSession).children(folder)
+    return folder, sorted(int(n.split("=")[1]) for n in written if n.startswith(f"{_SLICE}="))
 
 
 def land_in_order(

@@ -8,7 +8,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.plans.tables import apply_changes_table, upsert_table
@@ -202,14 +202,23 @@ class FlowTarget:
 
 
 def _once_per_batch(
-    table: VersionedTable, flow: str, write: Callable[[DataFrame, dict[str, int]], int]
+    table: VersionedTable,
+    checkpoint: str,
+    write: Callable[[DataFrame, dict[str, int]], int],
 ) -> Callable[[DataFrame, int], None]:
+    """A batch function that passes over batches the table already holds.
+
+    Batch numbers belong to a checkpoint, so they are stored under the query id in it: a reset
+    checkpoint starts over instead of being taken for a repeat.
+    """
+
     def each(batch: DataFrame, number: int) -> None:
-        if table.batch_of(flow) >= number:
+        query = json.loads(table.files.read_text(f"{checkpoint}/metadata"))["id"]
+        if table.batch_of(query) >= number:
             return  # published before the last stop; the engine is repeating it
         kept = batch.persist()
         try:
-            write(kept, {flow: number})
+            write(kept, {query: number})
         finally:
             kept.unpersist()
 
@@ -225,10 +234,12 @@ def upsert_flow(
     name: str,
 ) -> FlowRun:
     """Upsert every micro-batch into a versioned table, once even if a batch is repeated."""
+
     def write(rows: DataFrame, batches: dict[str, int]) -> int:
         return upsert_table(table, rows, keys, sequence_by, batches)
 
-    return run_flow(stream, checkpoint, name, each_batch=_once_per_batch(table, name, write))
+    each = _once_per_batch(table, checkpoint, write)
+    return run_flow(stream, checkpoint, name, each_batch=each)
 
 
 def apply_changes_flow(
@@ -238,10 +249,12 @@ def apply_changes_flow(
     sequence_by: list[str],
     checkpoint: str,
     name: str,
-    delete_when=None,
+    delete_when: Column | None = None,
 ) -> FlowRun:
     """Apply every micro-batch of changes to a versioned table by key and sequence."""
+
     def write(rows: DataFrame, batches: dict[str, int]) -> int:
         return apply_changes_table(table, rows, keys, sequence_by, delete_when, batches)
 
-    return run_flow(stream, checkpoint, name, each_batch=_once_per_batch(table, name, write))
+    each = _once_per_batch(table, checkpoint, write)
+    return run_flow(stream, checkpoint, name, each_batch=each)
