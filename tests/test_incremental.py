@@ -136,6 +136,25 @@ def test_runs_follow_the_watermark(spark):
     assert {r["id"]: r["v"] for r in caught_up.collect()} == {**found, 5: "outside"}
 
 
+def test_changed_logic_falls_back_to_a_full_load(spark):
+    target, control = tables(spark)
+    df = spark.createDataFrame([(1, at(1), "a"), (2, at(9), "b")], SCHEMA)
+    for logic, value in (("1", "v"), ("2", "upper(v)"), ("2", "'unused'")):
+        source_rows = df.selectExpr("id", "changed", f"{value} AS v")
+        ingest_source(SOURCE, source_rows, target, control, logic=logic)
+    assert {r["id"]: r["v"] for r in target.read().collect()} == {1: "A", 2: "unused"}
+    assert target.version().logic == "2"
+
+
+def test_target_without_control_row_is_loaded_again(spark):
+    target, control = tables(spark)
+    df = spark.createDataFrame([(1, at(1), "a")], SCHEMA)
+    ingest_source(SOURCE, df, target, control)
+    fresh_control = VersionedTable(spark, scratch(spark, "wm"))
+    status = ingest_source(SOURCE, df.union(df), target, fresh_control)
+    assert status.rows_processed == 2 and target.read().count() == 1
+
+
 def test_highest_sequence_wins_within_one_extract(spark):
     target, control = tables(spark)
     df = spark.createDataFrame([(1, at(3), "new"), (1, at(1), "old"), (1, at(2), "mid")], SCHEMA)

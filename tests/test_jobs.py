@@ -13,6 +13,7 @@ from tidegauge.plans.profiling import (
     run_adhoc_job,
     run_configured_jobs,
     run_registry_job,
+    union_profiles,
 )
 from tidegauge.session import scratch, shared_root
 from tidegauge.sources.datasets import Catalog, DatasetRef, Location
@@ -166,6 +167,12 @@ def test_profile_and_tag(spark):
     assert dict(tagged.dtypes)["dataset_name"] == "string"
 
 
+def test_union_of_profiles_fills_missing_columns(spark):
+    narrow, wide = spark.range(1).selectExpr("id"), spark.range(1).selectExpr("'x' AS extra", "id")
+    found = union_profiles([narrow, wide, narrow]).orderBy("extra").collect()
+    assert [r["extra"] for r in found] == [None, None, "x"]
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert scratch(spark, "x") != scratch(spark, "x")

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from tidegauge.functions.columns import col
 from tidegauge.functions.watermarks import later, watermark_text
+from tidegauge.operators.changes import latest_per_key
 from tidegauge.plans.tables import upsert_table
 from tidegauge.session import scratch
 from tidegauge.sources.increments import Source, active_sources, extract_increment, source_of
@@ -131,9 +132,13 @@ def ingest_source(
     control: VersionedTable,
     updated_by: str = "tidegauge",
     count_unmarked: bool = True,
+    logic: str | None = None,
 ) -> RunStatus:
     """One incremental run of one source.
 
+    If ``logic`` is given and differs from the one the target was built with, the run falls back
+    to a full load that replaces the target.
+
     ``count_unmarked`` reports the rows without a watermark value, which are never extracted; it
     costs a scan of that column.
     """
@@ -141,13 +146,17 @@ def ingest_source(
     keys = list(source.primary_keys)
     stored = read_watermark(_current(control), system, table)
     unmarked = df.filter(col(column).isNull()).count() if count_unmarked else None
-    rows = extract_increment(df, column, source.watermark_type, stored, source.lookback_minutes)
+    built = target.version()
+    full = built is None or (logic is not None and built.logic != logic)
+    since = None if full else stored
+    rows = extract_increment(df, column, source.watermark_type, since, source.lookback_minutes)
 
     staging = None
-    if target.latest() is None:
+    if full:
         count, highest = rows.agg(*_summary(column)).first()
         if count:
-            upsert_table(target, rows.filter(col(column) <= F.lit(highest)), keys, [column])
+            found = rows.filter(col(column) <= F.lit(highest))
+            target.publish(latest_per_key(found, keys, [column]), logic=logic)
     else:
         staging = scratch(df.sparkSession, "increment")
         staged, count, highest = _staged(rows, column, staging)

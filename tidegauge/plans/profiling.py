@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,6 +77,11 @@ class JobResult:
     failures: list[dict[str, str]] = field(default_factory=list)
 
 
+def union_profiles(profiles: list[DataFrame]) -> DataFrame:
+    """Profiles under one another by column name; columns that one lacks are null there."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), profiles)
+
+
 def attach_metadata(profile: DataFrame, metadata: DataFrame | None) -> DataFrame:
     """Name, last change and last transaction of the dataset; nulls where nothing is known."""
     extra = ["dataset_name", "last_modified", "last_transaction_rid"]

@@ -36,7 +36,7 @@ def upsert_table(
 ) -> int:
     """Upsert into the table and publish; duplicates by key are reduced by sequence first."""
     rows = updates if sequence_by is None else latest_per_key(updates, keys, sequence_by)
-    if table.version() is None:
+    if table.latest() is None:
         return table.publish(rows, batches=batches)
     part, slices = _touched(table, updates)
     return table.publish(upsert(part, rows, keys), replace=slices, batches=batches)
@@ -51,7 +51,7 @@ def apply_changes_table(
     batches: dict[str, int] | None = None,
 ) -> int:
     """Apply ordered changes to the table and publish; see ``operators.changes.apply_changes``."""
-    if table.version() is None:
+    if table.latest() is None:
         first = apply_changes(None, changes, keys, sequence_by, delete_when)
         return table.publish(first, batches=batches)
     part, slices = _touched(table, changes)
@@ -83,7 +83,7 @@ def read_changes(
         before, now = table.changed_folders(older, newer)
         feeds.append(change_feed(before, now, keys).withColumn(COMMIT_VERSION, F.lit(newer)))
     if not feeds:
-        now = table.read(after).limit(0)
+        now = table.spark.createDataFrame([], table.version(after).schema)
         feeds = [change_feed(now, now, keys).withColumn(COMMIT_VERSION, F.lit(after))]
     return follow_changes(reduce(DataFrame.unionByName, feeds), on_change)
 

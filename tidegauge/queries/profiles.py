@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +12,7 @@ from tidegauge.plans.profiling import (
     run_adhoc_job,
     run_governed_job,
     run_registry_job,
+    union_profiles,
 )
 from tidegauge.queries.base import Registry, table, table_path
 from tidegauge.session import scratch
@@ -140,7 +139,7 @@ def _profiles(spark: SparkSession, sf_dir: str, names: list[str], fields: list[s
         _picked(profile_dataframe(table(spark, sf_dir, n), n, n), fields, "dataset_path")
         for n in names
     ]
-    return reduce(DataFrame.unionAll, each).withColumnRenamed("dataset_path", "table_name")
+    return union_profiles(each).withColumnRenamed("dataset_path", "table_name")
 
 
 @register("profile_lineitem", profile_sql(["lineitem"], METRICS, table_column=None))
@@ -290,20 +289,24 @@ def profile_many(spark, sf_dir):
 @register(
     "profile_failures",
     """
-    SELECT 'id.gone' AS rid, 'gone' AS path, TRUE AS has_error, count(*) AS profiled_rows
-    FROM orders
+    SELECT 'id.gone' AS rid, 'gone' AS path, TRUE AS failed, CAST(NULL AS BIGINT) AS row_count
+    UNION ALL
+    SELECT 'id.orders', 'orders', FALSE, count(*) FROM orders
     """,
 )
 def profile_failures(spark, sf_dir):
-    """The failures table of a registry job, next to the rows of the dataset that went well."""
+    """The failures table of a registry job, beside the dataset that went well."""
     registry = spark.createDataFrame(
         [("id.orders", "orders", None), ("id.gone", "gone", None)], REGISTRY_SCHEMA
     )
     output, failures = _output(spark, "profiles"), _output(spark, "failures")
     run_registry_job(registry, _catalog(spark, sf_dir, ["orders"]), output, failures)
-    rows = output.read().agg(F.max("row_count").alias("profiled_rows"))
-    failed = failures.read().select("rid", "path", F.col("error").isNotNull().alias("has_error"))
-    return failed.join(rows)
+    failed = failures.read().select("rid", "path", F.col("error").isNotNull().alias("failed"))
+    named = output.read().groupBy(
+        F.col("source_rid").alias("rid"), F.col("dataset_path").alias("path")
+    )
+    good = named.agg(F.max("row_count").alias("row_count")).withColumn("failed", F.lit(False))
+    return union_profiles([failed, good])
 
 
 @register(
