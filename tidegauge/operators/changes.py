@@ -140,7 +140,10 @@ def follow_changes(feed: DataFrame, on_change: str = "fail") -> DataFrame:
         if first is not None:
             raise UpstreamChangeError(f"commit {first} updates or deletes rows")
         return feed
-    return feed.join(not_appends, COMMIT_VERSION, "left_anti")
+    # At most one number per commit. As literals they prune whole commits from the plan, and no
+    # join puts all rows of a commit into one task.
+    skipped = [r[0] for r in not_appends.collect()]
+    return feed.filter(~F.col(COMMIT_VERSION).isin(skipped)) if skipped else feed
 
 
 def missing_rows(bronze: DataFrame, silver: DataFrame, keys: list[str]) -> DataFrame:
