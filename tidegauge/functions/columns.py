@@ -31,11 +31,6 @@ def branch_or_default(value: Column) -> Column:
     return text_or_default(value, DEFAULT_BRANCH)
 
 
-def guarded_ratio(part: Column, whole: Column) -> Column:
-    """``part / whole``, and 0.0 where the denominator is 0."""
-    return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
-
-
 def tag(value: object) -> Column:
     """A literal text column; null stays a typed null."""
     return F.lit(value).cast("string")

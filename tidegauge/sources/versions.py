@@ -14,7 +14,6 @@ import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegauge.sources.files import SharedFiles
