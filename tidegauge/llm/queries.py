@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import records, token_counts
+from tidegauge.llm import decontaminate, quality_rules, records, token_counts
 from tidegauge.llm.common import documents
 from tidegauge.queries.base import Registry
 from tidegauge.session import scratch
@@ -24,6 +24,89 @@ def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", "ids_crc32", "shard", "row")
 
 
+_METRICS_SQL = {
+    "symbols": ("n_symbols * 1000 // n_words", 50),
+    "dup_lines": ("n_dup_lines * 1000 // greatest(n_lines, 1)", 50),
+    "repeats": ("n_repeat_words * 1000 // n_words", 50),
+    "word_length": ("word_chars * 100 // n_words", 50),
+}
+
+
+def _quality_sql() -> str:
+    rows = " UNION ALL ".join(
+        f"SELECT lang, source, '{m}' AS metric, {value} AS v, {spread} AS spread FROM counts WHERE n_words > 0"
+        for m, (value, spread) in _METRICS_SQL.items()
+    )
+    def level(name, keys):
+        group = ", ".join([*keys, "metric"])
+        return f"""{name} AS (
+            SELECT {group}, max(docs) AS docs,
+                min(bin) FILTER (100 * upto >= 25 * docs) - 3 * greatest(min(bin) FILTER (100 * upto >= 75 * docs)
+                    - min(bin) FILTER (100 * upto >= 25 * docs), min(spread)) AS low,
+                min(bin) FILTER (100 * upto >= 75 * docs) + 3 * greatest(min(bin) FILTER (100 * upto >= 75 * docs)
+                    - min(bin) FILTER (100 * upto >= 25 * docs), min(spread)) AS high
+            FROM (SELECT {group}, bin, spread,
+                    count(*) OVER (PARTITION BY {group} ORDER BY bin) AS upto,
+                    count(*) OVER (PARTITION BY {group}) AS docs FROM grid)
+            GROUP BY {group})"""
+    return f"""
+    WITH words AS (
+        SELECT doc_id, lang, source, coalesce(text, '') AS t,
+            regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    windows AS (
+        SELECT doc_id, i, list_slice(w, i, i + 7) AS k
+        FROM words, unnest(range(1, len(w) - 6)) AS r(i) WHERE len(w) >= 8),
+    twice AS (
+        SELECT doc_id, i FROM (
+            SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, k) AS n FROM windows) WHERE n > 1),
+    covered AS (
+        SELECT doc_id, count(DISTINCT i + j) AS n FROM twice, range(8) AS o(j) GROUP BY doc_id),
+    lines AS (
+        SELECT doc_id, count(*) AS n, count(*) - count(DISTINCT line) AS dup
+        FROM words, unnest(string_split(t, chr(10))) AS l(line)
+        WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id),
+    counts AS (
+        SELECT doc_id, lang, source, len(w)::BIGINT AS n_words,
+            coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+            (length(t) - length(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols,
+            coalesce(lines.dup, 0) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words,
+            coalesce(lines.n, 0) AS n_lines
+        FROM words LEFT JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)),
+    grid AS (
+        SELECT lang, source, metric, spread,
+            CASE WHEN v < 1024 THEN v ELSE (v >> (length(bin(v)) - 10)) << (length(bin(v)) - 10) END AS bin
+        FROM ({rows})),
+    {level('own', ['lang', 'source'])},
+    {level('by_lang', ['lang'])},
+    {level('every', [])},
+    judged AS (
+        SELECT m.lang, m.source, o.metric,
+            CASE WHEN o.docs >= 100 THEN o.low WHEN l.docs >= 100 THEN l.low ELSE e.low END AS low,
+            CASE WHEN o.docs >= 100 THEN o.high WHEN l.docs >= 100 THEN l.high ELSE e.high END AS high
+        FROM (SELECT DISTINCT lang, source FROM counts) m
+        JOIN own o ON o.lang IS NOT DISTINCT FROM m.lang AND o.source IS NOT DISTINCT FROM m.source
+        JOIN by_lang l ON l.lang IS NOT DISTINCT FROM m.lang AND l.metric = o.metric
+        JOIN every e ON e.metric = o.metric),
+    verdicts AS (
+        SELECT doc_id, bool_and(v BETWEEN low AND high) AS within
+        FROM (SELECT doc_id, lang, source, metric, v FROM ({rows.replace('SELECT lang', 'SELECT doc_id, lang')})) v
+        JOIN judged j ON j.lang IS NOT DISTINCT FROM v.lang
+            AND j.source IS NOT DISTINCT FROM v.source AND j.metric = v.metric
+        GROUP BY doc_id)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+        n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+        NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND coalesce(within, false) AS kept
+    FROM counts LEFT JOIN verdicts USING (doc_id)
+    """
+
+
+@register("op3_quality_rules", _quality_sql())
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    judged = quality_rules.judged(documents(spark, sf_dir))
+    return judged.select("doc.doc_id", *columns, "base_failed", "kept")
+
+
 @register("op7_token_counts")
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
@@ -31,3 +114,46 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     frequent = token_counts.frequent_lengths(docs, tokenizer)
     counts = token_counts.token_counts(docs, tokenizer, frequent)
     return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
+_DECONTAMINATE_SQL = """
+    WITH d AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[0-9a-z\\x{80}-\\x{10FFFF}]+') AS w FROM documents),
+    b AS (
+        SELECT item_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[0-9a-z\\x{80}-\\x{10FFFF}]+') AS w FROM benchmark),
+    bw AS (
+        SELECT DISTINCT item_id, list_slice(w, i, i + least(10, len(w)) - 1) AS k
+        FROM b, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS r(i) WHERE len(w) > 0),
+    sizes AS (SELECT DISTINCT len(k) AS n FROM bw),
+    dw AS (
+        SELECT doc_id, i, n, list_slice(w, i, i + n - 1) AS k
+        FROM d, sizes, unnest(range(1, len(w) - n + 2)) AS r(i) WHERE len(w) >= n),
+    found AS (SELECT doc_id, i, n, item_id FROM dw JOIN bw USING (k)),
+    hit AS (
+        SELECT doc_id, count(DISTINCT i + j) AS n_hit
+        FROM found, unnest(range(n)) AS o(j) GROUP BY doc_id),
+    named AS (
+        SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+        FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+        sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+    FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
+@register("op9_decontaminate", _DECONTAMINATE_SQL)
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    found = decontaminate.scanned(documents(spark, sf_dir), benchmark)
+    return found.select(
+        "doc.doc_id",
+        "n_words",
+        decontaminate.hit_words().alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
