@@ -26,8 +26,8 @@ MOST_REPEATED = 30
 FENCE = 3
 METRICS = {
     "symbols": ("n_symbols * 1000 div n_words", 50),
-    "dup_lines": ("n_dup_lines * 1000 div greatest(n_lines, 1)", 50),
-    "repeats": ("n_repeat_words * 1000 div n_words", 50),
+    "dup_lines": ("n_dup_lines * 1000 div greatest(n_lines, 1)", 100),
+    "repeats": ("n_repeat_words * 1000 div n_words", 100),
     "word_length": ("word_chars * 100 div n_words", 50),
 }
 LEAST_DOCS = 100

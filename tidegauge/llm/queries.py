@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import decontaminate, quality_rules, records, token_counts
+from tidegauge.llm import decontaminate, near_dup, quality_rules, records, token_counts
 from tidegauge.llm.common import documents
 from tidegauge.queries.base import Registry
 from tidegauge.session import scratch
@@ -26,8 +26,8 @@ def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _METRICS_SQL = {
     "symbols": ("n_symbols * 1000 // n_words", 50),
-    "dup_lines": ("n_dup_lines * 1000 // greatest(n_lines, 1)", 50),
-    "repeats": ("n_repeat_words * 1000 // n_words", 50),
+    "dup_lines": ("n_dup_lines * 1000 // greatest(n_lines, 1)", 100),
+    "repeats": ("n_repeat_words * 1000 // n_words", 100),
     "word_length": ("word_chars * 100 // n_words", 50),
 }
 
@@ -116,6 +116,36 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+_NEAR_SQL = """
+    WITH RECURSIVE words AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    shingles AS (
+        SELECT DISTINCT doc_id, list_slice(w, i, i + 4) AS k
+        FROM words, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS r(i) WHERE len(w) > 0),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    pairs AS (
+        SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+        FROM shingles x JOIN shingles y ON x.k = y.k AND x.doc_id < y.doc_id GROUP BY ALL),
+    links AS (
+        SELECT a, b FROM pairs JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+        WHERE 100 * pairs.n >= 85 * (p.n + q.n - pairs.n)),
+    edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reached AS (
+        SELECT doc_id, doc_id AS other FROM words
+        UNION SELECT r.doc_id, e.b FROM reached r JOIN edges e ON e.a = r.other),
+    parts AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+    FROM parts LEFT JOIN sizes USING (doc_id)
+"""
+
+
+@register("op8_near_duplicates", _NEAR_SQL)
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(documents(spark, sf_dir))
+
+
 _DECONTAMINATE_SQL = """
     WITH d AS (
         SELECT doc_id, regexp_extract_all(
