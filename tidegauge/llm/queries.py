@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import decontaminate, near_dup, quality_rules, records, token_counts
+from tidegauge.llm import decontaminate, near_dup, packing, quality_rules, records, token_counts
 from tidegauge.llm.common import documents
 from tidegauge.queries.base import Registry
 from tidegauge.session import scratch
@@ -107,6 +107,12 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc.doc_id", *columns, "base_failed", "kept")
 
 
+@register("op5_packing")
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return packing.packed(documents(spark, sf_dir), tokenizer).drop("ids")
+
+
 @register("op7_token_counts")
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
