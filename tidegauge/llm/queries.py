@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import decontaminate, near_dup, packing, quality_rules, records, token_counts
+from tidegauge.llm import decontaminate, line_dedup, near_dup, packing, quality_rules, records, token_counts
 from tidegauge.llm.common import documents
 from tidegauge.queries.base import Registry
 from tidegauge.session import scratch
@@ -193,3 +193,9 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.size("spans") > 0).alias("contaminated"),
     )
+
+
+@register("op10_line_dedup")
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eligible, repeated, removed and linked lines per document."""
+    return line_dedup.line_report(documents(spark, sf_dir))
