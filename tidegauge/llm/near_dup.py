@@ -13,6 +13,7 @@ untested unless it is connected already. All comparisons are exact, on the full
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import itertools
 
@@ -94,6 +95,12 @@ class Circulant:
         return lowest
 
 
+@functools.cache
+def _process_tables() -> tuple[_WordHashes, Circulant]:
+    """Built once per worker process."""
+    return _WordHashes(), Circulant()
+
+
 def _bands(signature: np.ndarray, bands: int = BANDS) -> np.ndarray:
     rows = signature.reshape(bands, -1).astype(np.uint64)
     value = np.arange(1, bands + 1, dtype=np.uint64)
@@ -110,7 +117,7 @@ def signed(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, a key that equal sets share, and the hash of each band."""
 
     def sign(batches):
-        hashes, circulant = _WordHashes(), Circulant()
+        hashes, circulant = _process_tables()
         for batch in slices(batches):
             sets = shingle_sets(batch.column(1).to_pylist(), hashes)
             bands = [_bands(circulant.signature(s)) if len(s) else [] for s in sets]
@@ -131,7 +138,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """rep and its shingles, for the classes in ``wanted`` (rep, set_key)."""
 
     def hashed(batches):
-        hashes = _WordHashes()
+        hashes, _ = _process_tables()
         for batch in slices(batches, 128):
             sets = shingle_sets(batch.column(1).to_pylist(), hashes)
             keys = batch.column(2).to_pylist()
