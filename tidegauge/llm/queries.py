@@ -6,8 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import decontaminate, line_dedup, near_dup, packing, quality_rules, records, token_counts
-from tidegauge.llm.common import documents
+from tidegauge.llm import (
+    decontaminate,
+    line_crf,
+    line_dedup,
+    near_dup,
+    packing,
+    quality_rules,
+    records,
+    token_counts,
+)
+from tidegauge.llm.common import documents, id_remainder
 from tidegauge.queries.base import Registry
 from tidegauge.session import scratch
 
@@ -24,6 +33,17 @@ def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", "ids_crc32", "shard", "row")
 
 
+@register("op2_line_crf")
+def op2_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    held_out = id_remainder(F.col("doc_id"), 5) == 0
+    known = labels.filter(~held_out).select("doc_id", F.col("quality").alias("label"))
+    docs = documents(spark, sf_dir)
+    scores = line_crf.scored(docs, line_crf.train(docs, known))
+    predicted = (F.col("score") >= 0.3).cast("int")
+    return scores.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
 _METRICS_SQL = {
     "symbols": ("n_symbols * 1000 // n_words", 50),
     "dup_lines": ("n_dup_lines * 1000 // greatest(n_lines, 1)", 100),
