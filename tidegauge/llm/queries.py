@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.llm import (
@@ -12,6 +12,7 @@ from tidegauge.llm import (
     line_dedup,
     near_dup,
     packing,
+    pii,
     quality_rules,
     records,
     token_counts,
@@ -133,6 +134,24 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(documents(spark, sf_dir), tokenizer).drop("ids")
 
 
+@register("op6_personal_data")
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = pii.detected(docs, pii.train(docs))
+
+    def joined(column: str) -> Column:
+        return F.array_join(
+            F.transform(column, lambda s: F.concat_ws(":", s["kind"], s["first"], s["last"])), ","
+        )
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [number(kind) for kind in pii.KINDS]
+    digest = F.sha2(joined("base"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, joined("spans").alias("spans"))
+
+
 @register("op7_token_counts")
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
