@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.llm import (
     decontaminate,
+    language_model,
     line_crf,
     line_dedup,
     near_dup,
@@ -128,6 +129,14 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc.doc_id", *columns, "base_failed", "kept")
 
 
+@register("op4_language_model")
+def op4_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = id_remainder(F.col("doc_id"), 7) == 2
+    found = language_model.scored(documents(spark, sf_dir).withColumn("train", ~held_out))
+    names = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    return found.select("doc_id", (~F.col("train")).alias("held_out"), *names)
+
+
 @register("op5_packing")
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
