@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import itertools
+import os
+import tempfile
+import zipfile
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import tidegauge
 from tidegauge.session import scratch
 
 # The white space that separates words, and the letters that are lower-cased.
@@ -16,7 +20,24 @@ SPACES = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the workers this package, once per context, wherever the driver runs from."""
+    context = spark.sparkContext
+    if getattr(context, "_tidegauge_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(tidegauge.__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="tidegauge-"), "tidegauge.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for folder, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                archive.write(full, os.path.join("tidegauge", os.path.relpath(full, root)))
+    context.addPyFile(path)
+    context._tidegauge_shipped = True
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
@@ -56,3 +77,22 @@ def chunked(items: Iterable, size: int) -> Iterator[list]:
     walker = iter(items)
     while chunk := list(itertools.islice(walker, size)):
         yield chunk
+
+
+def leading(counted: DataFrame, size: int, count: str = "n") -> DataFrame:
+    """At most ``size`` rows of the highest counts, without sorting all rows into one task.
+
+    Counts are cut by a bound taken from a histogram of three significant digits; rows that tie with
+    the bound are left out rather than some of them chosen.
+    """
+    digits = F.greatest(F.length(F.col(count).cast("string")) - 3, F.lit(0))
+    step = F.pow(F.lit(10), digits).cast("long")
+    binned = counted.select((F.floor(F.col(count) / step) * step).cast("long").alias("bin"))
+    bins = sorted(binned.groupBy("bin").count().collect(), key=lambda r: -r["bin"])
+    bound, rows = None, 0
+    for row in bins:
+        rows += row["count"]
+        if rows > size:
+            break
+        bound = row["bin"]
+    return counted.filter(F.col(count) >= bound) if bound is not None else counted.limit(0)
