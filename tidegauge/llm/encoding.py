@@ -2,13 +2,15 @@
 
 Both public vocabularies split a text before any merge, and no piece crosses the space between two
 words. So the ids of a text are the ids of its words in a row, and a bounded cache of words per
-worker answers most of them. Words that are not cached go through the tokenizers library, and texts
-whose white space makes words depend on each other go through it whole.
+worker process answers most of them, task after task. Words that are not cached go through the
+tokenizers library, and texts whose white space makes words depend on each other go through it whole.
 """
 
 from __future__ import annotations
 
+import functools
 import os
+import re
 
 import numpy as np
 
@@ -82,10 +84,21 @@ class BareWords:
         return unit
 
 
+# A word of Latin letters and the marks after it. The byte-level pattern makes these two pieces.
+_SIMPLE = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\[-`{-~]*)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies, for str.translate."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
 class Encoder:
     """Packed ids of texts. ``width`` bytes per id, little-endian: 2 where the vocabulary fits."""
 
-    def __init__(self, path: str, cached_words: int = 300_000):
+    def __init__(self, path: str, cached_words: int = 600_000):
         self.tokenizer = load_tokenizer(path)
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.width = 2 if size <= 1 << 16 else 4
@@ -93,13 +106,24 @@ class Encoder:
         self.spaced = _keeps_spaces(self.tokenizer)
         self.splitter = (SpacedWords if self.spaced else BareWords)(self.tokenizer)
         self.words = _Words(self._word, cached_words)
+        self.pieces = _Words(self._piece, cached_words)
+        self.letters = _byte_letters()
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, self.dtype).tobytes()
 
     def _word(self, unit: str) -> bytes:
-        return self.whole(self.splitter.plain(unit))
+        simple = _SIMPLE.fullmatch(unit) if self.spaced else None
+        if simple is None:
+            return self.whole(self.splitter.plain(unit))
+        word, marks = simple.groups()
+        return self.pieces[" " + word] + (self.pieces[marks] if marks else b"")
+
+    def _piece(self, piece: str) -> bytes:
+        shown = piece.encode("utf-8").decode("latin-1").translate(self.letters)
+        width = self.width
+        return b"".join([t.id.to_bytes(width, "little") for t in self.tokenizer.model.tokenize(shown)])
 
     def packed(self, text: str) -> bytes:
         if not text:
@@ -118,27 +142,29 @@ class Encoder:
 class Counter:
     """Numbers of tokens. ``frequent`` holds the lengths of common words for good."""
 
-    def __init__(self, path: str, frequent: dict[str, int], cached_words: int = 300_000):
-        self.tokenizer = load_tokenizer(path)
-        if not _keeps_spaces(self.tokenizer):
+    def __init__(self, path: str, frequent: dict[str, int], cached_words: int = 600_000):
+        self.encoder = Encoder(path, cached_words)
+        if not self.encoder.spaced:
             raise ValueError("a byte-level vocabulary is needed")
-        self.splitter = SpacedWords(self.tokenizer)
-        limit = len(frequent) + cached_words
-        self.words = _Words(self._word, limit, base=frequent)
-
-    def whole(self, text: str) -> int:
-        return len(self.tokenizer.encode(text, add_special_tokens=False))
+        self.units = self.encoder.splitter.units
+        self.words = _Words(self.length, len(frequent) + cached_words, base=frequent)
 
-    def _word(self, unit: str) -> int:
-        return self.whole(self.splitter.plain(unit))
+    def length(self, unit: str) -> int:
+        return len(self.encoder._word(unit)) // self.encoder.width
 
     def count(self, text: str) -> int:
         if not text:
             return 0
         try:
-            return sum(map(self.words.__getitem__, self.splitter.units(text))) - 1
+            return sum(map(self.words.__getitem__, self.units(text))) - 1
         except NotSplittable:
-            return self.whole(text)
+            return len(self.encoder.whole(text)) // self.encoder.width
+
+
+@functools.cache
+def process_encoder(path: str) -> Encoder:
+    """One encoder per worker process, whose cache outlives its tasks."""
+    return Encoder(path)
 
 
 def _keeps_spaces(tokenizer) -> bool:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.llm.common import as_batch, slices, staged, text_of
-from tidegauge.llm.encoding import Encoder
+from tidegauge.llm.encoding import Encoder, process_encoder
 
 WINDOW = 2048
 GRAIN = 64
@@ -138,7 +138,7 @@ def encoded(
     """Token ids per document, with its queue, part and the queue's tokens before it in the part."""
 
     def encode(batches):
-        encoder, part = Encoder(tokenizer_path), TaskContext.get().partitionId()
+        encoder, part = process_encoder(tokenizer_path), TaskContext.get().partitionId()
         before: dict[int, int] = {}
         end = np.array([end_id], encoder.dtype).tobytes()
         for batch in slices(batches):

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.llm.checksums import crc32c, masked
 from tidegauge.llm.common import as_batch, slices, text_of
-from tidegauge.llm.encoding import Encoder
+from tidegauge.llm.encoding import process_encoder
 
 INDEX = "shard int, row long, file string, offset long, length int, doc_id long, n_tokens long, before long"
 _READ = "shard int, row long, before long, doc_id long, n_tokens long, ids_crc32 long"
@@ -88,7 +88,7 @@ def write_records(
     target = path.rstrip("/")
 
     def write(batches):
-        encoder = Encoder(tokenizer_path)
+        encoder = process_encoder(tokenizer_path)
         system, folder = file_system(f"{target}/data")
         system.create_dir(folder, recursive=True)
         shard = TaskContext.get().partitionId()

@@ -9,6 +9,7 @@ depend on it.
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter as Tally
 
 import pyarrow as pa
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from tidegauge.llm.common import as_batch, slices, text_of
 from tidegauge.llm.encoding import Counter, NotSplittable, SpacedWords, load_tokenizer
 
+_COUNTERS: dict[str, Counter] = {}
 _COUNTS = "doc_id long, n_bytes long, n_tokens long"
 _SUMMARY = "unit string, n long"
 
@@ -47,22 +49,30 @@ def frequent_lengths(
     table = {}
     for row in leading.limit(size).collect():
         try:
-            table[row.unit] = counter._word(row.unit)
+            table[row.unit] = counter.length(row.unit)
         except NotSplittable:  # texts that hold it are encoded whole
             continue
     return table
 
 
+def _process_counter(version: str, tokenizer_path: str, frequent) -> Counter:
+    """The worker process's counter for one broadcast table; its cache outlives tasks."""
+    if version not in _COUNTERS:
+        _COUNTERS.clear()
+        _COUNTERS[version] = Counter(tokenizer_path, frequent.value)
+    return _COUNTERS[version]
+
+
 def token_counts(docs: DataFrame, tokenizer_path: str, frequent: dict[str, int]) -> DataFrame:
     """doc_id, n_bytes and n_tokens of every text as the tokenizers library counts them.
 
     Null texts are empty, empty texts have no tokens, repeated rows are counted one by one and other
     columns are ignored. The path must be readable on every worker.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+    shared, version = docs.sparkSession.sparkContext.broadcast(frequent), uuid.uuid4().hex
 
     def counted(batches):
-        counter = Counter(tokenizer_path, shared.value)
+        counter = _process_counter(version, tokenizer_path, shared)
         for batch in slices(batches):
             lengths = [counter.count(t) for t in batch.column(1).to_pylist()]
             yield as_batch(
