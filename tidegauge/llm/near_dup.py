@@ -6,9 +6,10 @@ k, so two permutations make the whole signature. With BANDS bands of ROWS coordi
 similarity 0.85 shares no band with probability (1 - 0.85**5)**24 < 1e-6.
 
 Equal sets collapse to one class first. In each bucket every class is compared with the bucket's
-centre (the class that shares most bands with others); what the links of that step leave in different
-components is then compared pair by pair within its bucket, so no pair that shares a band goes
-untested unless it is connected already. All comparisons are exact, on the full sets.
+centre (the class that shares most bands with others). Classes that share a bucket but are still in
+different components are then compared wherever they share a rare shingle that any similar pair must
+share, so no pair that shares a band goes untested unless it is connected already or cannot be
+similar. All comparisons are exact, on the full sets.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import itertools
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm.common import as_batch, slices, staged, text_of
@@ -31,7 +32,10 @@ BANDS, ROWS = 24, 5
 CIRCLE = 1 << 20
 
 _SIGNED = "doc_id long, n_shingles long, set_key binary, bands array<long>"
-_SETS = "doc_id long, set_key binary, shingles array<long>"
+_SETS = "doc_id long, shingles array<long>, parity array<long>"
+
+# Longs of a set's parity sketch.
+PARITY = 16
 
 
 class _WordHashes(dict):
@@ -113,6 +117,17 @@ def _set_key(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
+def _parity(shingles: np.ndarray) -> np.ndarray:
+    """Bits that each say whether an odd number of shingles falls on them.
+
+    A shingle that only one of two sets holds changes one bit, so two sketches differ in at most as
+    many bits as there are such shingles.
+    """
+    place = (shingles >> np.uint64(37)) % np.uint64(64 * PARITY)
+    odd = np.bincount(place.astype(np.int64), minlength=64 * PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def signed(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, a key that equal sets share, and the hash of each band."""
 
@@ -135,7 +150,7 @@ def signed(docs: DataFrame) -> DataFrame:
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """rep and its shingles, for the classes in ``wanted`` (rep, set_key)."""
+    """rep, its shingles and their parity sketch, for the classes in ``wanted`` (rep, set_key)."""
 
     def hashed(batches):
         hashes, _ = _process_tables()
@@ -144,17 +159,17 @@ def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             keys = batch.column(2).to_pylist()
             right = [i for i, (s, k) in enumerate(zip(sets, keys)) if _set_key(s) == k]
             yield as_batch(
-                ["doc_id", "set_key", "shingles"],
+                ["doc_id", "shingles", "parity"],
                 [
                     batch.column(0).take(pa.array(right, pa.int64())),
-                    batch.column(2).take(pa.array(right, pa.int64())),
                     pa.array([sets[i].astype(np.int64) for i in right], pa.list_(pa.int64())),
+                    pa.array([_parity(sets[i]) for i in right], pa.list_(pa.int64())),
                 ],
             )
 
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), text_of().alias("text"))
     found = texts.join(wanted, "rep").select("rep", "text", "set_key").mapInArrow(hashed, _SETS)
-    return found.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("rep"), "shingles")
+    return found.dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "rep")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -166,6 +181,52 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").filter(100 * shared >= percent * union).select("a", "b")
 
 
+def _prefix_pairs(apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different parts that can reach the similarity, from ``apart`` (rep, n, part).
+
+    With any common order of shingles, two sets that are similar enough share one among the first
+    n - ceil(percent * n / 100) + 1 of each. The order is by the number of sets that hold a shingle,
+    so these are rare ones: copies that differ by edits of their own meet in few places, however
+    many there are. Within a shingle, sets of its main part are not compared with each other.
+    """
+    grams = apart.join(sets, "rep").select("rep", "n", "part", F.explode("shingles").alias("gram"))
+    sketches = sets.select("rep", "parity")
+    held = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
+    shared = grams.join(held, "gram").groupBy("rep", "n", "part")
+    shared = shared.agg(F.sort_array(F.collect_list(F.struct("held", "gram"))).alias("grams"))
+    alone = F.col("n") - F.size("grams")
+    first = F.expr(f"n - ({percent} * n + 99) div 100 + 1") - alone
+    prefix = shared.select(
+        "rep",
+        "n",
+        "part",
+        F.explode(F.slice("grams", F.lit(1), F.greatest(first, F.lit(0)).cast("int"))).alias("g"),
+    ).select("rep", "n", "part", "g.gram")
+    prefix = staged(prefix, "prefixes")
+    per_part = prefix.groupBy("gram", "part").agg(F.count(F.lit(1)).alias("sets"))
+    mixed = (
+        per_part.groupBy("gram")
+        .agg(F.max(F.struct("sets", "part")).alias("most"), F.count(F.lit(1)).alias("parts"))
+        .filter("parts > 1")
+        .select("gram", F.col("most.part").alias("main"))
+    )
+    met = prefix.join(mixed, "gram").join(sketches, "rep")
+    x, y = met.filter("part != main").alias("x"), met.alias("y")
+    apart_still = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.part") != F.col("y.part"))
+    pairs = x.join(y, apart_still & _may_link("x", "y", percent))
+    return pairs.select(*_ordered("x.rep", "y.rep")).distinct()
+
+
+def _may_link(x: str, y: str, percent: int) -> Column:
+    """What every linked pair fulfils: sizes alike, and sketches that differ in few bits."""
+    smaller, larger = F.least(f"{x}.n", f"{y}.n"), F.greatest(f"{x}.n", f"{y}.n")
+    flips = F.lit(0)
+    for k in range(PARITY):
+        flips = flips + F.bit_count(F.get(f"{x}.parity", F.lit(k)).bitwiseXOR(F.get(f"{y}.parity", F.lit(k))))
+    few = flips * (100 + percent) <= (F.col(f"{x}.n") + F.col(f"{y}.n")) * (100 - percent)
+    return (100 * smaller >= percent * larger) & few
+
+
 def _ordered(a, b):
     return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
 
@@ -206,7 +267,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     )
     labels = components(first)
 
-    # What is still apart within a bucket of three or more is compared pair by pair.
+    # What is still apart within a bucket of three or more is compared by rare shared shingles.
     open_members = members.filter("size > 2").join(labels, members.rep == labels.id, "left")
     open_members = open_members.select("band", "rep", "n", F.coalesce("component", "rep").alias("part"))
     unsettled = (
@@ -215,12 +276,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         .filter("low < high")
         .select("band")
     )
-    apart = staged(open_members.join(unsettled, "band"), "apart")
-    x, y = apart.alias("x"), apart.alias("y")
-    close = 100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")
-    differs = (F.col("x.rep") < F.col("y.rep")) & (F.col("x.part") != F.col("y.part"))
-    rest = x.join(y, (F.col("x.band") == F.col("y.band")) & differs & close)
-    rest = rest.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+    apart = open_members.join(unsettled, "band").select("rep", "n", "part").distinct()
+    rest = _prefix_pairs(apart, sets, percent)
     second = staged(_verified(rest, sets, percent), "links")
     if not second.isEmpty():
         labels = components(first.unionByName(second))
