@@ -1,9 +1,10 @@
 """Token ids of whole texts, one tokenizer call per distinct word.
 
 Both public vocabularies split a text before any merge, and no piece crosses the space between two
-words. So the ids of a text are the ids of its words in a row, and a bounded cache of words per
-worker process answers most of them, task after task. Words that are not cached go through the
-tokenizers library, and texts whose white space makes words depend on each other go through it whole.
+words. So the ids of a text are the ids of its words in a row. Texts are cut into words and the words
+numbered by Arrow, a batch at a time; a bounded cache per worker process answers most distinct words,
+task after task. Words that are not cached go through the tokenizers library, and texts whose white
+space makes words depend on each other go through it whole.
 """
 
 from __future__ import annotations
@@ -11,28 +12,48 @@ from __future__ import annotations
 import functools
 import os
 import re
+from array import array
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+
+# Words that a cache generation holds in each worker process, and the longest one.
+CACHED, LONGEST = 250_000, 64
 
 
 class NotSplittable(Exception):
     """The text has to be encoded whole."""
 
 
-class _Words(dict):
-    """Values by word; the least that is needed to keep memory bounded is to start over."""
+class _Cache:
+    """Values by word, in two generations: when the young one is full it replaces the old one.
 
-    def __init__(self, value, limit: int, longest: int = 64, base: dict | None = None):
-        super().__init__(base or {})
-        self.value, self.limit, self.longest, self.base = value, limit, longest, base or {}
+    Words in use are taken over from the old generation, so memory is bounded and common words stay.
+    """
 
-    def __missing__(self, word: str):
-        found = self.value(word)
-        if len(word) <= self.longest:
-            if len(self) >= self.limit:
-                self.clear()
-                self.update(self.base)
-            self[word] = found
+    def __init__(self, limit: int):
+        self.limit, self.young, self.old = limit, {}, {}
+
+    def put(self, word: str, value) -> None:
+        if len(word) <= LONGEST:
+            if len(self.young) >= self.limit:
+                self.old, self.young = self.young, {}
+            self.young[word] = value
+
+    def values(self, words: list[str], compute) -> list:
+        """The value of each word, from the cache or else from ``compute``."""
+        found = list(map(self.young.get, words))
+        for k, value in enumerate(found):
+            if value is None:
+                word = words[k]
+                value = self.old.get(word)
+                if value is None:
+                    value = compute(word)
+                self.put(word, value)
+                found[k] = value
         return found
 
 
@@ -50,17 +71,17 @@ def _special_strings(tokenizer) -> list[str]:
 class SpacedWords:
     """Byte-level vocabularies: a word takes the one space before it with it.
 
-    ``units`` cuts a text into words; a word that follows a line break carries the break instead,
-    and the text is given a break in front, whose token the caller takes off again. A double space,
-    other white space or a special string makes ``plain`` raise, and the text is encoded whole.
+    ``units`` cuts texts into words; a word that follows a line break carries the break instead, and
+    a text is given a break in front, whose token the caller takes off again. A double space, other
+    white space or a special string in a word means that the text has to be encoded whole.
     """
 
     def __init__(self, tokenizer):
-        self.tokenizer = tokenizer
         self.special = _special_strings(tokenizer)
 
-    def units(self, text: str) -> list[str]:
-        return ("\n" + text).replace("\n", " \n").split(" ")[1:]
+    def units(self, texts: pa.Array) -> pa.ListArray:
+        led = pc.binary_join_element_wise("\n", texts, "")
+        return pc.split_pattern(pc.replace_substring(led, "\n", " \n"), " ")
 
     def plain(self, unit: str) -> str:
         body = unit[1:] if unit[:1] == "\n" else unit
@@ -75,17 +96,18 @@ class BareWords:
     """Vocabularies that drop white space: words never depend on what is between them."""
 
     def __init__(self, tokenizer):
-        self.tokenizer = tokenizer
+        pass
 
-    def units(self, text: str) -> list[str]:
-        return text.replace("\n", " ").split(" ")
+    def units(self, texts: pa.Array) -> pa.ListArray:
+        return pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
 
     def plain(self, unit: str) -> str:
         return unit
 
 
-# A word of Latin letters and the marks after it. The byte-level pattern makes these two pieces.
-_SIMPLE = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\[-`{-~]*)")
+# A word of Latin letters (without the one whose lower case is two characters) and the marks after
+# it. Both vocabularies cut it into these two pieces.
+_SIMPLE = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([!-&(-/:-@\[-`{-~]*)")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -98,41 +120,89 @@ def _byte_letters() -> dict[int, str]:
 class Encoder:
     """Packed ids of texts. ``width`` bytes per id, little-endian: 2 where the vocabulary fits."""
 
-    def __init__(self, path: str, cached_words: int = 600_000):
+    def __init__(self, path: str, cached_words: int = CACHED):
         self.tokenizer = load_tokenizer(path)
+        self.model = self.tokenizer.model
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.width = 2 if size <= 1 << 16 else 4
         self.dtype = np.dtype("<u2" if self.width == 2 else "<u4")
         self.spaced = _keeps_spaces(self.tokenizer)
         self.splitter = (SpacedWords if self.spaced else BareWords)(self.tokenizer)
-        self.words = _Words(self._word, cached_words)
-        self.pieces = _Words(self._piece, cached_words)
+        self.words, self.pieces = _Cache(cached_words), _Cache(cached_words // 2)
         self.letters = _byte_letters()
+        self.code = "H" if self.width == 2 else "I"
+        self.line_break = self.whole("\n")
 
     def whole(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, self.dtype).tobytes()
+        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _word(self, unit: str) -> bytes:
-        simple = _SIMPLE.fullmatch(unit) if self.spaced else None
+    def word(self, unit: str) -> bytes | bool:
+        """Ids of a word; False where the text has to be encoded whole."""
+        after_break = unit[:1] == "\n"
+        simple = _SIMPLE.fullmatch(unit, 1 if after_break else 0)
         if simple is None:
-            return self.whole(self.splitter.plain(unit))
+            try:
+                return self.whole(self.splitter.plain(unit)) if unit else b""
+            except NotSplittable:
+                return False
         word, marks = simple.groups()
-        return self.pieces[" " + word] + (self.pieces[marks] if marks else b"")
+        if not self.spaced:
+            ids = self._piece(word.lower())
+        elif after_break:
+            ids = self.line_break + self._piece(word)
+        else:
+            ids = self._piece(" " + word)
+        return ids + self._piece(marks) if marks else ids
 
     def _piece(self, piece: str) -> bytes:
-        shown = piece.encode("utf-8").decode("latin-1").translate(self.letters)
-        width = self.width
-        return b"".join([t.id.to_bytes(width, "little") for t in self.tokenizer.model.tokenize(shown)])
-
-    def packed(self, text: str) -> bytes:
-        if not text:
-            return b""
-        try:
-            ids = b"".join(map(self.words.__getitem__, self.splitter.units(text)))
-        except NotSplittable:
-            return self.whole(text)
-        return ids[self.width :] if self.spaced else ids
+        pieces = self.pieces
+        found = pieces.young.get(piece)
+        if found is None:
+            found = pieces.old.get(piece)
+            if found is None:
+                shown = piece.encode("utf-8").decode("latin-1").translate(self.letters)
+                found = array(self.code, [t.id for t in self.model.tokenize(shown)]).tobytes()
+            pieces.put(piece, found)
+        return found
+
+    def packed(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text; null counts as empty."""
+        for part in _parts(pc.fill_null(texts, "")):
+            yield from self._packed(part)
+
+    def _packed(self, texts: pa.Array) -> Iterator[bytes]:
+        units = self.splitter.units(texts)
+        codes = units.flatten().dictionary_encode()
+        words = codes.dictionary.to_pylist()
+        values = self.words.values(words, self.word)
+        code = codes.indices.to_numpy()
+        edges = units.offsets.to_numpy() - units.offsets[0].as_py()
+        whole = self._not_splittable(words, values, code, edges)
+        sizes = np.fromiter(map(len, (v or b"" for v in values)), np.int64, len(values))
+        starts = np.cumsum(sizes) - sizes
+        data = np.frombuffer(b"".join(v or b"" for v in values) + b"\0", np.uint8)
+        width, lead = self.width, self.width if self.spaced else 0
+        cells = data[: len(data) // width * width].view(self.dtype)
+        length = sizes[code] // width
+        place = np.cumsum(length)
+        source = np.repeat(starts[code] // width - (place - length), length)
+        ids = cells[source + np.arange(len(source))].tobytes()
+        ends = np.concatenate([[0], place])[edges] * width
+        for k, (begin, end) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())):
+            if whole[k]:
+                yield self.whole(texts[k].as_py())
+            else:
+                yield ids[begin + lead : end]
+
+    def _not_splittable(self, words, values, code, edges) -> np.ndarray:
+        """Texts with a word that has no ids of its own, or with empty words beyond the first."""
+        bad = np.array([v is False for v in values], bool)
+        count = np.concatenate([[0], np.cumsum(bad[code])])
+        found = count[edges[1:]] > count[edges[:-1]]
+        if self.spaced and "" in words:
+            empty = np.concatenate([[0], np.cumsum(code == words.index(""))])
+            found |= empty[edges[1:]] - empty[edges[:-1]] > 1
+        return found
 
     def wide(self, packed: bytes) -> np.ndarray:
         """The ids as little-endian unsigned 32-bit integers."""
@@ -142,23 +212,55 @@ class Encoder:
 class Counter:
     """Numbers of tokens. ``frequent`` holds the lengths of common words for good."""
 
-    def __init__(self, path: str, frequent: dict[str, int], cached_words: int = 600_000):
+    def __init__(self, path: str, frequent: dict[str, int], cached_words: int = CACHED):
         self.encoder = Encoder(path, cached_words)
         if not self.encoder.spaced:
             raise ValueError("a byte-level vocabulary is needed")
-        self.units = self.encoder.splitter.units
-        self.words = _Words(self.length, len(frequent) + cached_words, base=frequent)
+        self.frequent, self.rare = frequent, _Cache(cached_words)
 
     def length(self, unit: str) -> int:
-        return len(self.encoder._word(unit)) // self.encoder.width
-
-    def count(self, text: str) -> int:
-        if not text:
-            return 0
-        try:
-            return sum(map(self.words.__getitem__, self.units(text))) - 1
-        except NotSplittable:
-            return len(self.encoder.whole(text)) // self.encoder.width
+        """Tokens of a word, -1 where the text has to be encoded whole."""
+        ids = self.encoder.word(unit)
+        return -1 if ids is False else len(ids) // self.encoder.width
+
+    def lengths(self, words: list[str]) -> list[int]:
+        found = list(map(self.frequent.get, words))
+        missed = [k for k, n in enumerate(found) if n is None]
+        for k, n in zip(missed, self.rare.values([words[k] for k in missed], self.length)):
+            found[k] = n
+        return found
+
+    def counts(self, texts: pa.Array) -> np.ndarray:
+        """Tokens of each text; null counts as empty."""
+        found = [self._counts(part) for part in _parts(pc.fill_null(texts, ""))]
+        return np.concatenate(found) if found else np.zeros(0, np.int64)
+
+    def _counts(self, texts: pa.Array) -> np.ndarray:
+        encoder = self.encoder
+        units = encoder.splitter.units(texts)
+        codes = units.flatten().dictionary_encode()
+        words = codes.dictionary.to_pylist()
+        sizes = np.array(self.lengths(words), np.int64)
+        code = codes.indices.to_numpy()
+        edges = units.offsets.to_numpy() - units.offsets[0].as_py()
+        values = [n >= 0 for n in sizes.tolist()]
+        whole = encoder._not_splittable(words, values, code, edges)
+        total = np.concatenate([[0], np.cumsum(sizes[code])])
+        found = total[edges[1:]] - total[edges[:-1]] - 1
+        for k in np.flatnonzero(whole).tolist():
+            found[k] = len(encoder.whole(texts[k].as_py())) // encoder.width
+        return found
+
+
+def _parts(texts: pa.Array, most: int = 16 << 20) -> Iterator[pa.Array]:
+    """Runs of texts of at most ``most`` bytes together, or a single longer one."""
+    sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+    upto, begin = np.cumsum(sizes), 0
+    while begin < len(texts):
+        before = upto[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(upto, before + most, "right")))
+        yield texts.slice(begin, end - begin)
+        begin = end
 
 
 @functools.cache

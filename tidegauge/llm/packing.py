@@ -113,8 +113,8 @@ class Schedule:
         high = np.minimum(mine[1:], first + n)
         used = high > low
         low, high, base = low[used], high[used], (ahead - mine[:-1])[used]
-        position = base + low
         # Cut where a window ends.
+        position = base + low
         cuts = (position + high - low - 1) // self.window - position // self.window
         owner = np.repeat(np.arange(len(low)), cuts + 1)
         step = np.arange(len(owner)) - np.repeat(np.cumsum(cuts + 1) - cuts - 1, cuts + 1)
@@ -124,6 +124,29 @@ class Schedule:
         start = low[owner] + begin_at - position[owner] - first
         return np.stack([start, end_at - begin_at, begin_at], axis=1)
 
+    def documents(self, queue: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Rows (document, start, length, position) for documents at ``first`` in their queues.
+
+        Documents that follow each other in a queue are placed at once and then cut apart.
+        """
+        order = np.lexsort((first, queue))
+        follows = (queue[order][1:] == queue[order][:-1]) & (
+            first[order][1:] == first[order][:-1] + n[order][:-1]
+        )
+        runs = np.split(order, np.flatnonzero(~follows) + 1) if len(order) else []
+        placed = [np.zeros((0, 4), np.int64)]
+        for run in runs:
+            at = np.cumsum(n[run]) - n[run]
+            whole = self.pieces(int(queue[run[0]]), int(first[run[0]]), int(n[run].sum()))
+            begins = np.unique(np.concatenate([whole[:, 0], at[n[run] > 0]]))
+            ends = np.append(begins[1:], n[run].sum())
+            piece = np.searchsorted(whole[:, 0], begins, "right") - 1
+            doc = np.searchsorted(at, begins, "right") - 1
+            position = whole[piece, 2] + begins - whole[piece, 0]
+            placed.append(np.stack([run[doc], begins - at[doc], ends - begins, position], axis=1))
+        rows = np.concatenate(placed)
+        return rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+
 
 def _queues(docs: DataFrame, source: str, limit: int) -> dict[str | None, int]:
     """Queue numbers of the ``limit`` - 1 sources with most documents; all others share queue 0."""
@@ -141,10 +164,10 @@ def encoded(
         encoder, part = process_encoder(tokenizer_path), TaskContext.get().partitionId()
         before: dict[int, int] = {}
         end = np.array([end_id], encoder.dtype).tobytes()
-        for batch in slices(batches):
+        for batch in slices(batches, 4096):
             lines = []
-            for name, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                ids, queue = encoder.packed(text) + end, queues.get(name, 0)
+            for name, tokens in zip(batch.column(1).to_pylist(), encoder.packed(batch.column(2))):
+                ids, queue = tokens + end, queues.get(name, 0)
                 n = len(ids) // encoder.width
                 lines.append((part, queue, before.get(queue, 0), n, ids))
                 before[queue] = before.get(queue, 0) + n
@@ -200,28 +223,33 @@ def packed(
     schedule = Schedule(tokens, _weights(tokens, numbers, targets), window, grain)
 
     def place(batches):
-        for batch in slices(batches, 256):
-            queue, doc, before, n, ids, base = (batch.column(i).to_pylist() for i in range(6))
-            columns: list[list] = [[] for _ in range(9)]
-            for q, d, b, count, raw, first in zip(queue, doc, before, n, ids, base):
-                wide = np.frombuffer(raw, "<u2" if width == 2 else "<u4").astype("<u4").tobytes()
-                for start, length, position in schedule.pieces(q, first + b, count).tolist():
-                    row = (
-                        d,
-                        start,
-                        length,
-                        zlib.crc32(wide[4 * start : 4 * (start + length)]),
-                        count,
-                        position // window,
-                        position % window,
-                        q,
-                        raw[width * start : width * (start + length)],
-                    )
-                    for column, value in zip(columns, row):
-                        column.append(value)
-            kinds = [pa.int64()] * 7 + [pa.int32(), pa.binary()]
-            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-            yield as_batch([*names, "queue", "ids"], [pa.array(c, t) for c, t in zip(columns, kinds)])
+        for batch in slices(batches, 1024):
+            queue, before, n, base = (batch.column(i).to_numpy() for i in (0, 2, 3, 5))
+            rows = schedule.documents(queue.astype(np.int64), base + before, n)
+            doc, start, length, position = rows.T
+            # Documents are stored whole and in order, so their pieces in order are the same bytes.
+            raw = b"".join(batch.column(4).to_pylist())
+            wide = memoryview(np.frombuffer(raw, "<u2" if width == 2 else "<u4").astype("<u4")).cast("B")
+            edges = np.concatenate([[0], np.cumsum(length)])
+            spans = zip((4 * edges[:-1]).tolist(), (4 * edges[1:]).tolist())
+            checks = [zlib.crc32(wide[a:b]) for a, b in spans]
+            offsets = pa.py_buffer((edges * width).astype(np.int64).tobytes())
+            ids = pa.Array.from_buffers(pa.large_binary(), len(doc), [None, offsets, pa.py_buffer(raw)])
+            take = pa.array(doc)
+            yield as_batch(
+                [part.split()[0].strip("`") for part in _PIECES.split(", ")],
+                [
+                    batch.column(1).take(take),
+                    pa.array(start),
+                    pa.array(length),
+                    pa.array(checks, pa.int64()),
+                    batch.column(3).take(take),
+                    pa.array(position // window),
+                    pa.array(position % window),
+                    batch.column(0).take(take),
+                    ids.cast(pa.binary()),
+                ],
+            )
 
     located = table.join(bases, ["queue", "part"]).select("queue", "doc_id", "before", "n", "ids", "base")
     return located.mapInArrow(place, _PIECES)

@@ -94,11 +94,11 @@ def write_records(
         shard = TaskContext.get().partitionId()
         end = np.array([end_id], encoder.dtype).tobytes()
         out, name, rows, offset, number, before = None, "", [], 0, 0, 0
-        for batch in slices(batches):
+        for batch in slices(batches, 4096):
             payloads, ids = [], batch.column(0).to_pylist()
-            for doc_id, text in zip(ids, batch.column(1).to_pylist()):
+            for doc_id, tokens in zip(ids, encoder.packed(batch.column(1))):
                 head = struct.pack(_HEADER, doc_id is None, encoder.width, doc_id or 0)
-                payloads.append(head + encoder.packed(text) + end)
+                payloads.append(head + tokens + end)
             if out is None:
                 name = f"part-{shard:06d}-{uuid.uuid4().hex}.rec"
                 out, offset, rows = system.open_output_stream(f"{folder}/{name}"), 0, []

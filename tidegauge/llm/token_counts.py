@@ -13,11 +13,12 @@ import uuid
 from collections import Counter as Tally
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import as_batch, slices, text_of
-from tidegauge.llm.encoding import Counter, NotSplittable, SpacedWords, load_tokenizer
+from tidegauge.llm.common import as_batch, leading, slices, text_of
+from tidegauge.llm.encoding import Counter, SpacedWords, load_tokenizer
 
 _COUNTERS: dict[str, Counter] = {}
 _COUNTS = "doc_id long, n_bytes long, n_tokens long"
@@ -30,29 +31,23 @@ def frequent_lengths(
     """Lengths of the ``size`` words that lead the tasks' summaries of ``per_task`` words each."""
 
     def summaries(batches):
-        splitter = SpacedWords(load_tokenizer(tokenizer_path))
-        seen = Tally()
-        for batch in slices(batches):
-            for text in batch.column(0).to_pylist():
-                seen.update(splitter.units(text))
+        splitter, seen = SpacedWords(load_tokenizer(tokenizer_path)), Tally()
+        for batch in slices(batches, 4096):
+            words = pc.value_counts(splitter.units(batch.column(0)).flatten())
+            seen.update(dict(zip(words.field(0).to_pylist(), words.field(1).to_pylist())))
             if len(seen) > 32 * per_task:
                 seen = Tally(dict(seen.most_common(8 * per_task)))
-        top = [(u, n) for u, n in seen.most_common(per_task) if len(u) <= 64]
+        top = [(u, n) for u, n in seen.most_common(per_task) if 0 < len(u) <= 64]
         yield as_batch(
             ["unit", "n"],
             [pa.array([u for u, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())],
         )
 
     summed = docs.select(text_of().alias("text")).mapInArrow(summaries, _SUMMARY)
-    leading = summed.groupBy("unit").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "unit")
-    counter = Counter(tokenizer_path, {}, 0)
-    table = {}
-    for row in leading.limit(size).collect():
-        try:
-            table[row.unit] = counter.length(row.unit)
-        except NotSplittable:  # texts that hold it are encoded whole
-            continue
-    return table
+    totals = summed.groupBy("unit").agg(F.sum("n").alias("n"))
+    counter = Counter(tokenizer_path, {}, size)
+    lengths = {row.unit: counter.length(row.unit) for row in leading(totals, size).collect()}
+    return {unit: n for unit, n in lengths.items() if n > 0}
 
 
 def _process_counter(version: str, tokenizer_path: str, frequent) -> Counter:
@@ -73,11 +68,10 @@ def token_counts(docs: DataFrame, tokenizer_path: str, frequent: dict[str, int])
 
     def counted(batches):
         counter = _process_counter(version, tokenizer_path, shared)
-        for batch in slices(batches):
-            lengths = [counter.count(t) for t in batch.column(1).to_pylist()]
+        for batch in slices(batches, 4096):
+            lengths = pa.array(counter.counts(batch.column(1)))
             yield as_batch(
-                ["doc_id", "n_bytes", "n_tokens"],
-                [batch.column(0), batch.column(2), pa.array(lengths, pa.int64())],
+                ["doc_id", "n_bytes", "n_tokens"], [batch.column(0), batch.column(2), lengths]
             )
 
     text = text_of()
