@@ -173,17 +173,15 @@ def thresholds(sketch: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
     own = _limits(sketch, ["lang", "source"])
     by_lang = sketch.groupBy("lang", "metric", "bin").agg(F.sum("n").alias("n"))
     overall = by_lang.groupBy("metric", "bin").agg(F.sum("n").alias("n"))
-    lang = _limits(by_lang, ["lang"]).alias("l")
-    every = _limits(overall.withColumn("all", F.lit(1)), ["all"]).alias("a")
-    joined = (
-        own.alias("o")
-        .join(lang, F.col("o.lang").eqNullSafe(F.col("l.lang")), "left")
-        .join(every, F.lit(1) == F.col("a.all"), "left")
+    # One row, or none without documents; it joins as literals.
+    every = _limits(overall, []).first().asDict()
+    joined = own.alias("o").join(
+        _limits(by_lang, ["lang"]).alias("l"), F.col("o.lang").eqNullSafe(F.col("l.lang")), "left"
     )
     chosen = [
         F.when(F.col("o.docs") >= least_docs, F.col(f"o.{b}"))
         .when(F.col("l.docs") >= least_docs, F.col(f"l.{b}"))
-        .otherwise(F.col(f"a.{b}"))
+        .otherwise(F.lit(every[b]).cast("long"))
         .alias(b)
         for b in bounds
     ]
