@@ -53,7 +53,8 @@ def watermark_text(df: DataFrame, column: str) -> Column:
 def since(df: DataFrame, column: str, kind: str, value: str, lookback_minutes: int = 0) -> Column:
     """``column > value - lookback`` in the column's own type.
 
-    The lookback counts whole days for dates and does not apply to ``bigint``.
+    For dates the lookback is rounded up to whole days, as rows of the watermark's own day may still
+    come; it does not apply to ``bigint``.
     """
     bound: Column
     if check_type(kind) == "epoch_ms":
@@ -61,13 +62,17 @@ def since(df: DataFrame, column: str, kind: str, value: str, lookback_minutes: i
     elif kind == "bigint":
         bound = F.lit(int(value))
     elif kind == "date":
-        earlier = typed_value(value, kind) - timedelta(days=lookback_minutes // _MINUTES_PER_DAY)
+        earlier = typed_value(value, kind) - timedelta(days=_whole_days(lookback_minutes))
         bound = F.lit(earlier.isoformat())
     else:
         bound = F.lit(str(typed_value(value, kind) - timedelta(minutes=lookback_minutes)))
     return col(column) > bound.cast(df.schema[column].dataType)
 
 
+def _whole_days(minutes: int) -> int:
+    return -(-minutes // _MINUTES_PER_DAY)
+
+
 def jdbc_predicate(column: str, kind: str, value: str, lookback_minutes: int = 0) -> str:
     """The same bound as SQL text for a JDBC subquery."""
     known = typed_value(value, kind)
@@ -76,7 +81,7 @@ def jdbc_predicate(column: str, kind: str, value: str, lookback_minutes: int = 0
     if kind == "epoch_ms":
         return f"{column} > {known - lookback_minutes * 60_000}"
     if kind == "date":
-        earlier = known - timedelta(days=lookback_minutes // _MINUTES_PER_DAY)
+        earlier = known - timedelta(days=_whole_days(lookback_minutes))
         return f"{column} > DATE '{earlier.isoformat()}'"
     moment = (known - timedelta(minutes=lookback_minutes)).replace(tzinfo=None)
     return f"{column} > TIMESTAMP '{moment.isoformat(sep=' ')}'"
@@ -91,7 +96,10 @@ def timestamp_to_epoch_ms(value: Column) -> Column:
 
 
 def order_key(moment: Column, sequence: Column, digits: int = 12) -> Column:
-    """One increasing number for (time, sequence): microseconds, then the padded sequence."""
+    """One increasing number for (time, sequence): microseconds, then the padded sequence.
+
+    Sequences run from 0 to 10**digits - 1; others give null, or an error in ANSI mode.
+    """
     micros = F.unix_micros(moment.cast("timestamp")).cast("decimal(20,0)")
     padded = micros * F.lit(10**digits).cast(f"decimal({digits + 1},0)")
     return (padded + sequence.cast(f"decimal({digits},0)")).cast("decimal(38,0)")

@@ -30,20 +30,11 @@ def latest_per_key(df: DataFrame, keys: list[str], sequence_by: list[str]) -> Da
     return newest.select(*[col(n) if n in keys else F.col("_newest")[n].alias(n) for n in df.columns])
 
 
-def _by_keys_of(rows: DataFrame, other: DataFrame, keys: list[str], how: str) -> DataFrame:
-    theirs = other.select(*[col(k).alias(f"_other_{i}") for i, k in enumerate(keys)])
-    match = [col(k).eqNullSafe(F.col(f"_other_{i}")) for i, k in enumerate(keys)]
-    return rows.join(theirs, reduce(Column.__and__, match), how)
-
-
 def without_keys_of(rows: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose key does not occur in ``other``; null keys count as equal."""
-    return _by_keys_of(rows, other, keys, "left_anti")
-
-
-def with_keys_of(rows: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose key occurs in ``other``; null keys count as equal."""
-    return _by_keys_of(rows, other, keys, "left_semi")
+    theirs = other.select(*[col(k).alias(f"_other_{i}") for i, k in enumerate(keys)])
+    match = [col(k).eqNullSafe(F.col(f"_other_{i}")) for i, k in enumerate(keys)]
+    return rows.join(theirs, reduce(Column.__and__, match), "left_anti")
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
@@ -52,6 +43,46 @@ def upsert(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
     return kept.unionByName(updates, allowMissingColumns=True)
 
 
+def merge_latest(
+    target: DataFrame,
+    newest: DataFrame,
+    keys: list[str],
+    sequence_by: list[str],
+    ties_to_newest: bool = False,
+) -> DataFrame:
+    """Per key the row with the higher sequence of two tables that are unique by key.
+
+    One join that reads each side once. Equal sequences go to the greater row digest, so the result
+    does not depend on which side a row came from, or to ``newest`` if so asked; null keys count as
+    equal. Columns that one side
+    lacks are null in its rows.
+    """
+    names = list(dict.fromkeys([*target.columns, *newest.columns]))
+
+    def packed(df: DataFrame, side: str) -> DataFrame:
+        whole = widened(df, names, newest if df is target else target)
+        tie = [] if ties_to_newest else [row_digest(whole)]
+        order = F.struct(*cols(sequence_by), *tie).alias(f"{side}_order")
+        own = [col(k).alias(f"{side}_{i}") for i, k in enumerate(keys)]
+        return whole.select(F.struct(*cols(names)).alias(side), order, *own)
+
+    match = reduce(
+        Column.__and__,
+        [F.col(f"_held_{i}").eqNullSafe(F.col(f"_new_{i}")) for i in range(len(keys))],
+    )
+    both = packed(target, "_held").join(packed(newest, "_new"), match, "full_outer")
+    held, new = F.col("_held_order"), F.col("_new_order")
+    stays = F.col("_new").isNull() | (held > new if ties_to_newest else held >= new)
+    chosen = F.when(F.col("_held").isNotNull() & stays, F.col("_held")).otherwise(F.col("_new"))
+    return both.select(chosen.alias("row")).select("row.*")
+
+
+def widened(df: DataFrame, names: list[str], other: DataFrame) -> DataFrame:
+    """``df`` with the columns ``names``; those it lacks are null, in the type ``other`` has."""
+    lacking = {n: F.lit(None).cast(other.schema[n].dataType) for n in names if n not in df.columns}
+    return df.withColumns(lacking).select(*cols(names)) if lacking else df.select(*cols(names))
+
+
 def apply_changes(
     target: DataFrame | None,
     changes: DataFrame,
@@ -64,17 +95,14 @@ def apply_changes(
     Deleted keys stay as rows flagged ``_deleted``, so that an older change that comes late cannot
     bring them back; ``live_rows`` hides them. Applying the same changes again changes nothing.
 
-    Only target rows whose key changes are compared. When the changes are small enough to broadcast
-    the target is not shuffled; else both joins share one shuffle of it.
+    The target is read once, in one join with the reduced changes.
     """
     flag = F.lit(False) if delete_when is None else F.coalesce(delete_when, F.lit(False))
     marked = changes.withColumn(DELETED, flag)
     newest = latest_per_key(marked, keys, sequence_by)
     if target is None:
         return newest
-    held = with_keys_of(target, newest, keys)
-    settled = latest_per_key(held.unionByName(newest), keys, sequence_by)
-    return without_keys_of(target, newest, keys).unionByName(settled)
+    return merge_latest(target, newest, keys, sequence_by)
 
 
 def live_rows(target: DataFrame) -> DataFrame:
@@ -84,10 +112,12 @@ def live_rows(target: DataFrame) -> DataFrame:
 def change_feed(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
     """Row-level changes between two snapshots that are unique by key.
 
-    Inserts and deletes give one row; an update gives its image before and after. Columns follow
-    ``after``, with ``_change_type`` last.
+    Inserts and deletes give one row; an update gives its image before and after. Columns are those
+    of ``after`` and then those that only ``before`` has, null where a side lacks them, with
+    ``_change_type`` last.
     """
-    names = after.columns
+    names = list(dict.fromkeys([*after.columns, *before.columns]))
+    before, after = widened(before, names, after), widened(after, names, before)
     values = [n for n in names if n not in keys]
 
     def packed(df: DataFrame, side: str) -> DataFrame:
@@ -148,7 +178,7 @@ def follow_changes(feed: DataFrame, on_change: str = "fail") -> DataFrame:
 
 def missing_rows(bronze: DataFrame, silver: DataFrame, keys: list[str]) -> DataFrame:
     """Bronze rows whose key never reached silver, such as rows dropped as late."""
-    return without_keys_of(bronze, silver.select(*cols(keys)).distinct(), keys)
+    return without_keys_of(bronze, silver, keys)
 
 
 def catch_up(
@@ -156,4 +186,5 @@ def catch_up(
 ) -> DataFrame:
     """Silver with the missing keys put in, the latest row each."""
     latest = latest_per_key(missing_rows(bronze, silver, keys), keys, sequence_by)
-    return upsert(silver, latest.select(*silver.columns), keys)
+    # No key of these rows is in silver, so nothing has to be replaced there.
+    return silver.unionByName(latest.select(*cols(silver.columns)))

@@ -11,8 +11,11 @@ puts them in place a second time without effect.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import nullcontext
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from threading import Lock
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -84,6 +87,34 @@ def commit_watermark(
     control: VersionedTable, source: Source, value: str, status: str, rows: int, by: str
 ) -> int:
     """Write the source's control row; the value never goes back."""
+    with _alone(control):
+        return _committed(control, source, value, status, rows, by)
+
+
+def _alone(control):
+    return getattr(control, "gate", None) or nullcontext()
+
+
+def mark_failed(control: VersionedTable, run: RunStatus, by: str) -> int | None:
+    """Record a failed run in the source's control row, which keeps its watermark."""
+    with _alone(control):
+        current = _current(control)
+        mine = _of(run.source_system, run.source_table)
+        if current is None or current.filter(mine).isEmpty():
+            return None
+        changed = {
+            "last_run_status": F.lit("failed"),
+            "last_run_timestamp": F.lit(datetime.now(timezone.utc)),
+            "rows_processed": F.lit(0).cast("long"),
+            "updated_by": F.lit(by),
+        }
+        rows = current.withColumns({n: F.when(mine, v).otherwise(F.col(n)) for n, v in changed.items()})
+        return control.publish(rows.coalesce(1))
+
+
+def _committed(
+    control: VersionedTable, source: Source, value: str, status: str, rows: int, by: str
+) -> int:
     current = _current(control)
     stored = read_watermark(current, source.source_system, source.source_table)
     row = (
@@ -131,23 +162,26 @@ def ingest_source(
     target: VersionedTable,
     control: VersionedTable,
     updated_by: str = "tidegauge",
-    count_unmarked: bool = True,
+    count_unmarked: bool | None = None,
     logic: str | None = None,
+    keep: int | None = None,
 ) -> RunStatus:
     """One incremental run of one source.
 
     If ``logic`` is given and differs from the one the target was built with, the run falls back
     to a full load that replaces the target.
 
-    ``count_unmarked`` reports the rows without a watermark value, which are never extracted; it
-    costs a scan of that column.
+    ``count_unmarked`` reports the rows without a watermark value, which are never extracted. It
+    costs a scan of that column and by default happens in full loads only. With ``keep`` only that
+    many versions of the target stay.
     """
     system, table, column = source.source_system, source.source_table, source.watermark_column
     keys = list(source.primary_keys)
     stored = read_watermark(_current(control), system, table)
-    unmarked = df.filter(col(column).isNull()).count() if count_unmarked else None
     built = target.version()
     full = built is None or (logic is not None and built.logic != logic)
+    counting = full if count_unmarked is None else count_unmarked
+    unmarked = df.filter(col(column).isNull()).count() if counting else None
     since = None if full else stored
     rows = extract_increment(df, column, source.watermark_type, since, source.lookback_minutes)
 
@@ -167,6 +201,8 @@ def ingest_source(
         commit_watermark(control, source, value, "success", count, updated_by)
     if staging is not None:
         control.files.delete(staging)
+    if keep is not None:
+        target.expire(keep)
     return RunStatus(system, table, "success", count, unmarked, value)
 
 
@@ -176,21 +212,58 @@ def ingest(
     targets: Callable[[Source], VersionedTable],
     control: VersionedTable,
     updated_by: str = "tidegauge",
+    logic: Callable[[Source], str | None] | None = None,
+    threads: int = 4,
+    count_unmarked: bool | None = None,
+    keep: int | None = 10,
 ) -> DataFrame:
-    """Run all active sources, one status row each; a failing source does not stop the others."""
-    statuses = []
-    for row in active_sources(registry):
+    """Run all active sources, one status row each; a failing source does not stop the others.
+
+    Sources run side by side; the control table has one writer at a time. A run that fails keeps its
+    watermark and is recorded as ``failed`` in the control table, if the source has a row there.
+    ``logic`` gives each source's logic version, ``keep`` the versions that targets and the control
+    table retain.
+    """
+    gate = Lock()
+    guarded = _Guarded(control, gate)
+
+    def one(row) -> RunStatus:
         try:
             source = source_of(row)
-            statuses.append(
-                ingest_source(source, read(source), targets(source), control, updated_by)
+            version = None if logic is None else logic(source)
+            return ingest_source(
+                source,
+                read(source),
+                targets(source),
+                guarded,
+                updated_by,
+                count_unmarked,
+                version,
+                keep,
             )
         except Exception as error:  # recorded; the watermark stays where it was
             failed = RunStatus(row["source_system"], row["source_table"], "failed")
             failed.error = str(error)
-            statuses.append(failed)
+            mark_failed(guarded, failed, updated_by)
+            return failed
+
+    rows = active_sources(registry)
+    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(rows)))) as pool:
+        statuses = list(pool.map(one, rows))
+    if keep is not None:
+        control.expire(keep)
     return status_table(control.spark, statuses)
 
 
+class _Guarded:
+    """The control table of runs side by side: whoever changes it reads and writes alone."""
+
+    def __init__(self, table: VersionedTable, gate: Lock):
+        self.table, self.gate = table, gate
+
+    def __getattr__(self, name: str):
+        return getattr(self.table, name)
+
+
 def status_table(spark: SparkSession, statuses: list[RunStatus]) -> DataFrame:
     return spark.createDataFrame([vars(s) for s in statuses], STATUS_SCHEMA)

@@ -8,12 +8,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegauge.functions.columns import cols
 from tidegauge.operators.changes import (
+    CHANGE_TYPE,
     COMMIT_VERSION,
     apply_changes,
     change_feed,
     follow_changes,
     latest_per_key,
+    merge_latest,
     upsert,
 )
 from tidegauge.sources.versions import VersionedTable
@@ -34,12 +37,20 @@ def upsert_table(
     sequence_by: list[str] | None = None,
     batches: dict[str, int] | None = None,
 ) -> int:
-    """Upsert into the table and publish; duplicates by key are reduced by sequence first."""
+    """Upsert into the table and publish.
+
+    With ``sequence_by`` duplicates by key are reduced to the highest sequence first, and a stored
+    row of a higher sequence stays, one of an equal sequence does not; without it ``updates`` must be unique by key and always win.
+    """
     rows = updates if sequence_by is None else latest_per_key(updates, keys, sequence_by)
     if table.latest() is None:
         return table.publish(rows, batches=batches)
     part, slices = _touched(table, updates)
-    return table.publish(upsert(part, rows, keys), replace=slices, batches=batches)
+    if sequence_by is None:
+        merged = upsert(part, rows, keys)
+    else:
+        merged = merge_latest(part, rows, keys, sequence_by, ties_to_newest=True)
+    return table.publish(merged, replace=slices, batches=batches)
 
 
 def apply_changes_table(
@@ -85,7 +96,51 @@ def read_changes(
     if not feeds:
         now = table.spark.createDataFrame([], table.version(after).schema)
         feeds = [change_feed(now, now, keys).withColumn(COMMIT_VERSION, F.lit(after))]
-    return follow_changes(reduce(DataFrame.unionByName, feeds), on_change)
+    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), feeds)
+    names = [n for n in together.columns if n not in (CHANGE_TYPE, COMMIT_VERSION)]
+    return follow_changes(together.select(*cols(names), CHANGE_TYPE, COMMIT_VERSION), on_change)
+
+
+class FeedReader:
+    """A named reader of a table's changes that remembers how far it has read.
+
+    The position is kept in numbered files below ``path``, the highest one counting, and moves only
+    after ``handle`` has returned: a reader that dies in between gets the same changes again.
+    """
+
+    def __init__(self, table: VersionedTable, path: str, name: str):
+        self.table, self.folder = table, f"{path.rstrip('/')}/{name}"
+        self.files = table.files
+
+    def position(self) -> int | None:
+        """The last version that was read, or None before the first run."""
+        return max((int(n) for n in self.files.children(self.folder) if n.isdigit()), default=None)
+
+    def run(
+        self,
+        keys: list[str],
+        handle: Callable[[DataFrame], object],
+        on_change: str = "feed",
+    ) -> int | None:
+        """Pass all changes since the last run to ``handle``; returns the new position.
+
+        The first run passes the oldest version that is still kept as inserts, then what followed.
+        """
+        newest, last = self.table.latest(), self.position()
+        if newest is None or newest == last:
+            return last
+        if last is None:
+            last = self.table.versions()[0]
+            first = self.table.read(last)
+            fresh = change_feed(first.limit(0), first, keys).withColumn(COMMIT_VERSION, F.lit(last))
+            feeds = [fresh]
+        else:
+            feeds = []
+        if newest != last:
+            feeds.append(read_changes(self.table, keys, last, newest, on_change))
+        handle(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), feeds))
+        self.files.write_text(f"{self.folder}/{newest:09d}", "")
+        return newest
 
 
 def merge_into(spark: SparkSession, target: str, updates: DataFrame, keys: list[str]) -> None:

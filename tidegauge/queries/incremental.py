@@ -22,7 +22,13 @@ from tidegauge.operators.changes import (
 )
 from tidegauge.operators.joins import aggregate_then_join, dimension_join
 from tidegauge.plans.ingest import WATERMARK_SCHEMA, ingest
-from tidegauge.plans.tables import apply_changes_table, read_changes, recompute, upsert_table
+from tidegauge.plans.tables import (
+    FeedReader,
+    apply_changes_table,
+    read_changes,
+    recompute,
+    upsert_table,
+)
 from tidegauge.queries.base import Registry, table
 from tidegauge.session import scratch
 from tidegauge.sources.increments import (
@@ -61,7 +67,7 @@ def extract_timestamp(spark, sf_dir):
     "extract_date",
     """
     SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS _source_watermark_value
-    FROM orders WHERE CAST(o_orderdate AS DATE) > DATE '1998-02-27'
+    FROM orders WHERE CAST(o_orderdate AS DATE) > DATE '1998-02-26'
     """,
 )
 def extract_date(spark, sf_dir):
@@ -276,6 +282,58 @@ def watermark_control(spark, sf_dir):
     return control.read().select(*[n for n in WATERMARK_SCHEMA.names if n not in timed])
 
 
+@register(
+    "control_after_failure",
+    """
+    SELECT 'shop' AS source_system, 'orders' AS source_table,
+           CAST(max(o_orderdate) AS VARCHAR) AS watermark_value, 'failed' AS last_run_status,
+           CAST(0 AS BIGINT) AS rows_processed
+    FROM orders
+    """,
+)
+def control_after_failure(spark, sf_dir):
+    """A good run, then one whose source cannot be read: the watermark stays, the status tells."""
+    registry = spark.createDataFrame(
+        [("shop", "orders", "o_orderkey", "o_orderdate", "timestamp", None, None, None)],
+        SOURCE_SCHEMA,
+    )
+    target = VersionedTable(spark, scratch(spark, "target"))
+    control = VersionedTable(spark, scratch(spark, "control"))
+
+    def broken(source):
+        raise LookupError("the source is gone")
+
+    for read in (lambda source: _orders(spark, sf_dir).select(*_ORDER_COLUMNS), broken):
+        ingest(registry, read, lambda source: target, control)
+    return control.read().select(
+        "source_system", "source_table", "watermark_value", "last_run_status", "rows_processed"
+    )
+
+
+@register(
+    "ingest_date_late",
+    """
+    SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day FROM orders
+    WHERE o_orderdate IS NOT NULL AND (
+        o_orderstatus = 'F' OR CAST(o_orderdate AS DATE) >= (
+            SELECT CAST(max(o_orderdate) AS DATE) FROM orders WHERE o_orderstatus = 'F'))
+    """,
+)
+def ingest_date_late(spark, sf_dir):
+    """Rows of the watermark's own day that come after the run are still loaded."""
+    dated = _orders(spark, sf_dir).select(
+        "o_orderkey", F.col("o_orderdate").cast("date").alias("o_orderdate"), "o_orderstatus"
+    )
+    registry = spark.createDataFrame(
+        [("shop", "orders", "o_orderkey", "o_orderdate", "date", None, None, None)], SOURCE_SCHEMA
+    )
+    target = VersionedTable(spark, scratch(spark, "target"))
+    control = VersionedTable(spark, scratch(spark, "control"))
+    for available in (dated.filter("o_orderstatus = 'F'"), dated):
+        ingest(registry, lambda source, rows=available: rows, lambda source: target, control)
+    return target.read().select("o_orderkey", F.col("o_orderdate").cast("string").alias("day"))
+
+
 # -- ordered changes ---------------------------------------------------------------------------
 
 _LATEST_EVENT = """
@@ -318,6 +376,54 @@ def apply_changes_stored(spark, sf_dir):
     return live_rows(stored.read())
 
 
+_NULL_KEYS = """
+    WITH keyed AS (
+        SELECT CASE WHEN event_type IN ('view', 'error') THEN user_id END AS k1, event_id AS k2,
+               event_type, ts FROM events)
+"""
+
+
+def _keyed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with a first key that is null for all but two types."""
+    kinds = F.col("event_type").isin("view", "error")
+    return table(spark, sf_dir, "events").select(
+        F.when(kinds, F.col("user_id")).alias("k1"), F.col("event_id").alias("k2"), "event_type", "ts"
+    )
+
+
+@register(
+    "upsert_null_keys",
+    f"""{_NULL_KEYS}
+    SELECT k1, k2, CASE WHEN event_type = 'click' THEN 'seen' ELSE event_type END AS event_type, ts
+    FROM keyed
+    """,
+)
+def upsert_null_keys(spark, sf_dir):
+    """A table sliced by a key that may be null: an upsert of some null slices keeps the others."""
+    rows = _keyed_events(spark, sf_dir)
+    stored = VersionedTable(spark, scratch(spark, "nulls"), F.floor(F.col("k1") / 100_000))
+    first = F.col("event_type").isin("view", "purchase", "click")
+    stored.publish(rows.filter(first))
+    upsert_table(stored, rows.filter(~first), ["k1", "k2"], ["ts"])
+    seen = rows.filter("event_type = 'click'").withColumn("event_type", F.lit("seen"))
+    upsert_table(stored, seen, ["k1", "k2"], ["ts"])
+    return stored.read()
+
+
+@register(
+    "apply_changes_null_keys",
+    f"{_NULL_KEYS} SELECT k1, k2, event_type, ts FROM keyed WHERE event_type <> 'signup'",
+)
+def apply_changes_null_keys(spark, sf_dir):
+    rows = _keyed_events(spark, sf_dir)
+    stored = VersionedTable(spark, scratch(spark, "nulls"), F.floor(F.col("k1") / 100_000))
+    gone = F.col("event_type") == "signup"
+    for kinds in (["view", "signup"], ["click"], ["purchase", "error"], ["view", "signup"]):
+        batch = rows.filter(F.col("event_type").isin(kinds))
+        apply_changes_table(stored, batch, ["k1", "k2"], ["ts"], gone)
+    return live_rows(stored.read())
+
+
 _CUSTOMER = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 
 
@@ -373,6 +479,63 @@ def change_feed_query(spark, sf_dir):
     return read_changes(stored, ["c_custkey"], after=1, on_change="feed")
 
 
+@register(
+    "change_feed_widened",
+    """
+    SELECT c_custkey, CAST(NULL AS VARCHAR) AS c_mktsegment, 'update_preimage' AS _change_type,
+           2 AS _commit_version
+    FROM customer WHERE c_mktsegment = 'BUILDING'
+    UNION ALL
+    SELECT c_custkey, c_mktsegment, 'update_postimage', 2 FROM customer
+    WHERE c_mktsegment = 'BUILDING'
+    """,
+)
+def change_feed_widened(spark, sf_dir):
+    """The second version adds a column, which is null in what the first one held."""
+    customers = table(spark, sf_dir, "customer")
+    stored = VersionedTable(spark, scratch(spark, "wider"))
+    stored.publish(customers.select("c_custkey"))
+    segments = customers.filter("c_mktsegment = 'BUILDING'").select("c_custkey", "c_mktsegment")
+    upsert_table(stored, segments, ["c_custkey"])
+    return read_changes(stored, ["c_custkey"], after=1, on_change="feed")
+
+
+@register(
+    "feed_consumer",
+    """
+    SELECT c_custkey, c_acctbal, 'insert' AS _change_type, 1 AS _commit_version, 1 AS run
+    FROM customer WHERE c_mktsegment <> 'BUILDING'
+    UNION ALL SELECT c_custkey, c_acctbal, 'insert', 2, 2 FROM customer
+    WHERE c_mktsegment = 'BUILDING'
+    UNION ALL SELECT c_custkey, c_acctbal, 'update_preimage', 3, 2 FROM customer
+    WHERE c_mktsegment = 'MACHINERY'
+    UNION ALL SELECT c_custkey, c_acctbal + 1, 'update_postimage', 3, 2 FROM customer
+    WHERE c_mktsegment = 'MACHINERY'
+    """,
+)
+def feed_consumer(spark, sf_dir):
+    """A reader that remembers its place: three runs, the last one with nothing new."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    folder = scratch(spark, "feed")
+    stored = VersionedTable(spark, f"{folder}/table", F.floor(F.col("c_custkey") / 100_000))
+    reader = FeedReader(stored, f"{folder}/positions", "silver")
+
+    def run(number: int) -> None:
+        def handle(feed: DataFrame) -> None:
+            feed.withColumn("run", F.lit(number)).write.mode("append").parquet(f"{folder}/seen")
+
+        reader.run(["c_custkey"], handle)
+
+    stored.publish(customers.filter("c_mktsegment <> 'BUILDING'"))
+    run(1)
+    upsert_table(stored, customers.filter("c_mktsegment = 'BUILDING'"), ["c_custkey"])
+    machinery = customers.filter("c_mktsegment = 'MACHINERY'")
+    upsert_table(stored, machinery.withColumn("c_acctbal", F.col("c_acctbal") + 1), ["c_custkey"])
+    run(2)
+    run(3)
+    return spark.read.parquet(f"{folder}/seen").drop("c_mktsegment")
+
+
 @register(
     "skip_change_commits",
     f"""

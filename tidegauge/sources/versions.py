@@ -22,6 +22,14 @@ _MARKER = "_published.json"
 _SLICE = "slice_id"
 _WHOLE = "all"
 
+# What Spark names the folder of a null partition value.
+_NULL_SLICE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _slice_key(number: int | None) -> str:
+    """The name of a slice in folders and markers; null is a slice of its own."""
+    return _NULL_SLICE if number is None else str(number)
+
 
 @dataclass(frozen=True)
 class Version:
@@ -69,13 +77,15 @@ class VersionedTable:
             chosen, m["folders"], T.StructType.fromJson(m["schema"]), m["batches"], m["logic"]
         )
 
-    def read(self, number: int | None = None, slices: list[int] | None = None) -> DataFrame:
+    def read(
+        self, number: int | None = None, slices: list[int | None] | None = None
+    ) -> DataFrame:
         """The current version, or a given one, whole or by slices."""
         v = self.version(number)
         if v is None:
             raise LookupError(f"{self.path} has no published version")
         wanted = v.folders if slices is None else {
-            k: f for k, f in v.folders.items() if k in {str(s) for s in slices}
+            k: f for k, f in v.folders.items() if k in {_slice_key(s) for s in slices}
         }
         return self._load(v.schema, wanted)
 
@@ -106,14 +116,16 @@ class VersionedTable:
 
     # -- writing ---------------------------------------------------------------------------
 
-    def slices_of(self, df: DataFrame) -> list[int]:
-        """The slices a DataFrame touches: at most one number per slice comes to the driver."""
-        return sorted(r[0] for r in df.select(self.slice_by.cast("bigint")).distinct().collect())
+    def slices_of(self, df: DataFrame) -> list[int | None]:
+        """The slices a DataFrame touches, the null one last: at most one number per slice comes to
+        the driver."""
+        found = [r[0] for r in df.select(self.slice_by.cast("bigint")).distinct().collect()]
+        return sorted(found, key=lambda s: (s is None, s or 0))
 
     def publish(
         self,
         df: DataFrame,
-        replace: list[int] | None = None,
+        replace: list[int | None] | None = None,
         batches: dict[str, int] | None = None,
         logic: str | None = None,
     ) -> int:
@@ -136,7 +148,7 @@ class VersionedTable:
             written = [n for n in self.files.children(target) if n.startswith(f"{_SLICE}=")]
             folders = {n.split("=", 1)[1]: f"{name}/{n}" for n in written}
             if replace is not None and last is not None:
-                gone = {str(s) for s in replace}
+                gone = {_slice_key(s) for s in replace}
                 kept = {k: f for k, f in last.folders.items() if k not in gone}
                 folders = {**kept, **folders}
         marker = {
