@@ -21,7 +21,12 @@ from tidegauge.streaming.flows import (
     upsert_flow,
 )
 from tidegauge.streaming.joins import interval_join
-from tidegauge.streaming.monitor import dropped_rows, flow_metrics, late_audit
+from tidegauge.streaming.monitor import (
+    dropped_rows,
+    late_audit,
+    lost_windows,
+    store_metrics,
+)
 from tidegauge.streaming.sources import local_clock, stream_table, watermarked
 from tidegauge.streaming.windows import session_counts, windowed_counts, windowed_counts_sql
 
@@ -167,12 +172,12 @@ def stream_watermark_max(spark, sf_dir):
 
 @register("stream_dedup", "SELECT event_id, ts, user_id, event_type FROM events")
 def stream_dedup(spark, sf_dir):
-    """Every event twice, in two files."""
+    """Every event twice, in two files and two micro-batches: the second asks the state."""
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
     landing = scratch(spark, "copies")
     for _ in range(2):
-        events.write.mode("append").parquet(landing)
-    stream = stream_table(spark, landing, events.schema)
+        events.coalesce(1).write.mode("append").parquet(landing)
+    stream = stream_table(spark, landing, events.schema, max_files=1)
     return _finished(deduplicated(stream, "ts", _DELAY, ["event_id"]), "dedup", "ts")
 
 
@@ -242,6 +247,23 @@ def _static_join(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
     return _finished(joined.select("event_id", "ts", "event_type", "c_name", "c_mktsegment"), label)
 
 
+@register(
+    "interval_join_days",
+    f"""{_SIDES}
+    SELECT view_id, click_id FROM views v JOIN clicks c
+    ON c.user_id = v.user_id AND c.click_time >= v.view_time
+        AND c.click_time <= v.view_time + INTERVAL 24 HOUR
+    """,
+)
+def interval_join_days(spark, sf_dir):
+    """A bound of a day, which counts as 24 hours, with busy keys salted; from tables at rest."""
+    views, clicks = _views_and_clicks(table(spark, sf_dir, "events"))
+    joined = interval_join(
+        views, clicks, ["user_id"], "view_time", "click_time", "1 DAY", _DELAY, _DELAY, "inner", 4
+    )
+    return joined.select("view_id", "click_id")
+
+
 @register("stream_static_join", _STATIC)
 def stream_static_join(spark, sf_dir):
     """Events beside the customer table, which is read in full at every run."""
@@ -321,17 +343,24 @@ def _landed_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_table(spark, landing, events.schema, max_files=1)
 
 
-@register(
-    "stream_upsert",
-    """
-    SELECT event_id AS user_id, event_id, ts, event_type FROM events
-    """,
-)
+@register("stream_upsert", _LATEST)
 def stream_upsert(spark, sf_dir):
-    """Micro-batches upserted by key; every event is sent twice over two runs of the flow."""
-    events = _landed_by_type(spark, sf_dir).withColumn("user_id", F.col("event_id"))
+    """Micro-batches upserted by user, the newest events first; all are sent twice over two runs.
+
+    What a later batch brings of an older time must not replace the stored row.
+    """
+    source = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type")
     folder = scratch(spark, "upserts")
-    stored = VersionedTable(spark, f"{folder}/table", F.floor(F.col("user_id") / 1_000_000))
+    edges = [F.lit(f"2024-01-{d:02d}").cast("timestamp_ntz") for d in (21, 11)]
+    newest_first = (
+        source.filter(F.col("ts") >= edges[0]),
+        source.filter((F.col("ts") < edges[0]) & (F.col("ts") >= edges[1])),
+        source.filter(F.col("ts") < edges[1]),
+    )
+    for part in newest_first:
+        part.coalesce(1).write.mode("append").parquet(f"{folder}/landing")
+    events = stream_table(spark, f"{folder}/landing", source.schema, max_files=1)
+    stored = VersionedTable(spark, f"{folder}/table", F.floor(F.col("user_id") / 100_000))
     for attempt in ("first", "reset"):
         checkpoint = f"{folder}/checkpoint-{attempt}"
         upsert_flow(events, stored, ["user_id"], ["ts", "event_id"], checkpoint, attempt)
@@ -419,6 +448,36 @@ def late_dropped(spark, sf_dir):
     return lost.select("event_id", "ts", "event_type")
 
 
+_PARTLY_LATE = "(event_type = 'error' OR (event_type = 'view' AND user_id % 2 = 0))"
+
+
+@register(
+    "late_lost_windows",
+    f"""
+    SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS lost FROM events
+    WHERE {_PARTLY_LATE} AND date_trunc('hour', ts) + INTERVAL 1 HOUR <= (
+        SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE FROM events
+        WHERE NOT {_PARTLY_LATE})
+    GROUP BY ALL
+    """,
+)
+def late_lost_windows(spark, sf_dir):
+    """What closed windows are short of, also where some of their rows came in time."""
+    events = table(spark, sf_dir, "events")
+    folder = scratch(spark, "partly-late")
+    for part in (events.filter(f"NOT {_PARTLY_LATE}"), events.filter(_PARTLY_LATE)):
+        part.write.mode("append").parquet(f"{folder}/landing")
+        stream = stream_table(spark, f"{folder}/landing", events.schema)
+        counts = windowed_counts(stream, "ts", _DELAY, "1 hour", ["event_type"])
+        run = run_flow(counts, f"{folder}/checkpoint", "late", path=f"{folder}/rows")
+    hour = F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz").alias("window_start")
+    due = events.groupBy(hour, "event_type").agg(F.count(F.lit(1)).alias("n"))
+    closed = F.lit(run.watermark).cast("timestamp").cast("timestamp_ntz")
+    due = due.filter(F.col("window_start") + F.expr("INTERVAL 1 HOUR") <= closed)
+    found = local_clock(spark.read.parquet(f"{folder}/rows"), *_CLOCK)
+    return lost_windows(due, found, ["window_start", "event_type"])
+
+
 @register(
     "late_audit",
     """
@@ -434,18 +493,28 @@ def late_audit_query(spark, sf_dir):
 
 @register(
     "stream_metrics",
-    """
-    SELECT 'hourly' AS flow, count(*) AS input_rows, CAST(0 AS BIGINT) AS rows_dropped,
-           strftime(date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE,
+    f"""
+    SELECT 'late' AS flow, count(*) AS input_rows,
+           count(*) FILTER ({_LATE_EVENTS}) > 0 AS dropped_some,
+           strftime((SELECT date_trunc('millisecond', max(ts)) FROM events
+                     WHERE event_type <> 'error') - INTERVAL 10 MINUTE,
                     '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS watermark
     FROM events
     """,
 )
 def stream_metrics(spark, sf_dir):
-    counts = windowed_counts(_events(spark, sf_dir), "ts", _DELAY, "1 hour", ["event_type"])
-    _, run = _run(counts, "hourly")
-    return flow_metrics(spark, [run]).groupBy("flow").agg(
+    """The stored metrics of two runs of a flow, the second of which drops late rows."""
+    events = table(spark, sf_dir, "events")
+    folder = scratch(spark, "metrics")
+    is_error = F.col("event_type") == "error"
+    for part in (events.filter(~is_error), events.filter(is_error)):
+        part.write.mode("append").parquet(f"{folder}/landing")
+        stream = stream_table(spark, f"{folder}/landing", events.schema)
+        counts = windowed_counts(stream, "ts", _DELAY, "1 hour", ["event_type"])
+        run = run_flow(counts, f"{folder}/checkpoint", "late", path=f"{folder}/rows")
+        stored = store_metrics(spark, [run], f"{folder}/metrics")
+    return stored.groupBy("flow").agg(
         F.sum("input_rows").alias("input_rows"),
-        F.sum("rows_dropped").alias("rows_dropped"),
+        (F.sum("rows_dropped") > 0).alias("dropped_some"),
         F.max("watermark").alias("watermark"),
     )

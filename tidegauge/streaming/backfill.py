@@ -2,7 +2,8 @@
 
 The file source takes files by modification time, not event time. A backfill in order first splits
 the history into event-time slices and lands them oldest first, one run per slice: within a run's
-single batch nothing can be late, and the next slice is newer than everything before it.
+single batch nothing can be late, and the next slice is newer than everything before it. Rows without
+an event time belong to no slice; they are written apart and counted.
 """
 
 from __future__ import annotations
@@ -19,9 +20,19 @@ from tidegauge.streaming.flows import FlowRun
 
 _SLICE, _SPREAD = "event_slice", "_spread"
 
+# What Spark names the folder of a null partition value.
+_NONE = "__HIVE_DEFAULT_PARTITION__"
 
-def split_history(history: DataFrame, event_time: str, seconds: int) -> tuple[str, list[int]]:
-    """Write the history by event-time slice; returns the folder and the slices, oldest first.
+
+class UndatedRowsError(ValueError):
+    """The history holds rows without an event time and nothing says where they should go."""
+
+
+def split_history(
+    history: DataFrame, event_time: str, seconds: int
+) -> tuple[str, list[int], str | None]:
+    """Write the history by event-time slice; returns the folder, the slices, oldest first, and the
+    folder of the rows without an event time, if there are any.
 
     Rows are ranged by slice and a row number, so a slice with a third of all rows is written by
     many tasks.
@@ -29,8 +40,7 @@ def split_history(history: DataFrame, event_time: str, seconds: int) -> tuple[st
     number = F.floor(F.unix_seconds(as_instant(col(event_time))) / seconds)
     folder = scratch(history.sparkSession, "history")
     (
-        history.filter(col(event_time).isNotNull())
-        .withColumn(_SLICE, number)
+        history.withColumn(_SLICE, number)
         .withColumn(_SPREAD, F.monotonically_increasing_id())
         .repartitionByRange(_SLICE, _SPREAD)
         .drop(_SPREAD)
@@ -38,7 +48,9 @@ def split_history(history: DataFrame, event_time: str, seconds: int) -> tuple[st
         .parquet(folder)
     )
     written = SharedFiles(history.sparkSession).children(folder)
-    return folder, sorted(int(n.split("=")[1]) for n in written if n.startswith(f"{_SLICE}="))
+    names = [n.split("=")[1] for n in written if n.startswith(f"{_SLICE}=")]
+    undated = f"{folder}/{_SLICE}={_NONE}" if _NONE in names else None
+    return folder, sorted(int(n) for n in names if n != _NONE), undated
 
 
 def land_in_order(
@@ -47,14 +59,26 @@ def land_in_order(
     seconds: int,
     landing: str,
     after_slice: Callable[[int], FlowRun] | None = None,
+    undated: str | None = None,
 ) -> list[FlowRun]:
-    """Append the history to ``landing`` oldest slice first, running a flow after each slice."""
+    """Append the history to ``landing`` oldest slice first, running a flow after each slice.
+
+    Rows without an event time are appended to ``undated``; without that path their presence is an
+    error, raised before anything lands. A slice's copy goes once it has landed.
+    """
     spark = history.sparkSession
-    folder, slices = split_history(history, event_time, seconds)
+    files = SharedFiles(spark)
+    folder, slices, without_time = split_history(history, event_time, seconds)
+    reader = spark.read.schema(history.schema)
+    if without_time is not None:
+        if undated is None:
+            raise UndatedRowsError(f"rows without {event_time}: name a place for them")
+        reader.parquet(without_time).write.mode("append").parquet(undated)
     runs = []
     for number in slices:
-        part = spark.read.schema(history.schema).parquet(f"{folder}/{_SLICE}={number}")
-        part.write.mode("append").parquet(landing)
+        part = f"{folder}/{_SLICE}={number}"
+        reader.parquet(part).write.mode("append").parquet(landing)
+        files.delete(part)
         if after_slice is not None:
             runs.append(after_slice(number))
     return runs

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import threading
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -10,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from tidegauge.plans.tables import apply_changes_table, upsert_table
 from tidegauge.sources.files import SharedFiles
@@ -25,9 +27,10 @@ FLOW_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.join.stateFormatVersion": "3",
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
-    "spark.sql.streaming.numRecentProgressUpdates": "10000",
 }
 
+_EVENTS_DONE_S = 60
+
 
 def state_partitions(spark: SparkSession) -> int:
     """How many state partitions a new checkpoint gets; they cannot be changed later.
@@ -53,6 +56,35 @@ def settings(spark: SparkSession, **conf: str) -> Iterator[None]:
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
+class _Progress(StreamingQueryListener):
+    """Keeps the progress of every micro-batch of a run, however many the session remembers."""
+
+    def __init__(self):
+        self.seen: dict[str, list[dict]] = {}
+        self.ended: dict[str, threading.Event] = {}
+
+    def _end(self, run: str) -> threading.Event:
+        return self.ended.setdefault(run, threading.Event())
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        self.seen.setdefault(str(event.progress.runId), []).append(json.loads(event.progress.json))
+
+    def onQueryTerminated(self, event):
+        self._end(str(event.runId)).set()
+
+    def of(self, run: str) -> list[dict]:
+        """All of a run that has ended; the events of one query arrive in order."""
+        if not self._end(run).wait(_EVENTS_DONE_S):
+            raise TimeoutError("the listener bus did not report the end of the query")
+        return self.seen.get(run, [])
+
+
 @dataclass
 class FlowRun:
     """What one run of a flow did, batch by batch."""
@@ -113,10 +145,15 @@ def run_flow(
         writer = writer.format("parquet").option("path", path)
     else:
         raise ValueError("a flow needs a path or a batch function")
-    with settings(spark, **conf):
-        query = writer.start()
-    query.awaitTermination()
-    return FlowRun(name, [json.loads(p.json) for p in query.recentProgress])
+    listener = _Progress()
+    spark.streams.addListener(listener)
+    try:
+        with settings(spark, **conf):
+            query = writer.start()
+        query.awaitTermination()
+        return FlowRun(name, listener.of(str(query.runId)))
+    finally:
+        spark.streams.removeListener(listener)
 
 
 class ResetNotAllowed(PermissionError):
@@ -136,22 +173,29 @@ class FlowTarget:
         self.reset_allowed = reset_allowed
         self.files = SharedFiles(spark)
 
-    def _state_file(self, flow: str) -> str:
-        return f"{self.path}/_flows/{flow}.json"
+    def _state_folder(self, flow: str) -> str:
+        return f"{self.path}/_flows/{flow}"
+
+    def _state_numbers(self, flow: str) -> list[int]:
+        names = self.files.children(self._state_folder(flow))
+        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
 
     def state(self, flow: str) -> dict:
-        if not self.files.exists(self._state_file(flow)):
+        numbers = self._state_numbers(flow)
+        if not numbers:
             return {"first": 1, "current": 1, "logic": None}
-        return json.loads(self.files.read_text(self._state_file(flow)))
+        return json.loads(self.files.read_text(f"{self._state_folder(flow)}/{numbers[-1]:06d}.json"))
 
     def _save(self, flow: str, state: dict) -> None:
-        if self.files.exists(self._state_file(flow)):
-            self.files.delete(self._state_file(flow))
-        self.files.write_text(self._state_file(flow), json.dumps(state))
+        # A new file each time, the highest one counts: there is no moment without a state.
+        numbers = self._state_numbers(flow)
+        following = numbers[-1] + 1 if numbers else 1
+        self.files.write_text(f"{self._state_folder(flow)}/{following:06d}.json", json.dumps(state))
+        for old in numbers[:-1]:
+            self.files.delete(f"{self._state_folder(flow)}/{old:06d}.json")
 
     def flows(self) -> list[str]:
-        names = self.files.children(f"{self.path}/_flows")
-        return [n.removesuffix(".json") for n in names if n.endswith(".json")]
+        return self.files.children(f"{self.path}/_flows")
 
     def data_folder(self, flow: str, generation: int) -> str:
         return f"{self.path}/flow={flow}/generation={generation}"

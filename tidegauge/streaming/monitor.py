@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegauge.functions.columns import as_instant, col
+from tidegauge.functions.columns import as_instant, col, cols
 from tidegauge.operators.changes import missing_rows
 from tidegauge.streaming.flows import FlowRun
 
@@ -49,6 +51,24 @@ def flow_metrics(spark: SparkSession, runs: list[FlowRun]) -> DataFrame:
     return spark.createDataFrame(rows, METRICS_SCHEMA)
 
 
+def store_metrics(spark: SparkSession, runs: list[FlowRun], path: str) -> DataFrame:
+    """Append the runs' metrics to a Parquet table and return the whole table."""
+    flow_metrics(spark, runs).coalesce(1).write.mode("append").parquet(path)
+    return spark.read.schema(METRICS_SCHEMA).parquet(path)
+
+
+def lost_windows(expected: DataFrame, found: DataFrame, keys: list[str], count: str = "n") -> DataFrame:
+    """Rows that late data is short of, per window and key: ``lost`` is expected minus found.
+
+    A window that has some of its rows is reported with the rest, one that never closed as a whole.
+    """
+    theirs = found.select(*[col(k).alias(f"_found_{i}") for i, k in enumerate(keys)], col(count).alias("_found"))
+    match = [col(k).eqNullSafe(F.col(f"_found_{i}")) for i, k in enumerate(keys)]
+    joined = expected.join(theirs, reduce(Column.__and__, match), "left")
+    lost = col(count) - F.coalesce("_found", F.lit(0))
+    return joined.select(*cols(keys), lost.alias("lost")).filter("lost != 0")
+
+
 def late_audit(bronze: DataFrame, event_time: str, watermark: str) -> DataFrame:
     """How many bronze rows lie within and beyond a watermark, with their event-time range."""
     time = as_instant(col(event_time))

@@ -64,10 +64,14 @@ def windowed_counts_sql(
     """The tumbling count through SQL's WATERMARK clause."""
     view = f"stream_{uuid.uuid4().hex}"
     with_event_time(stream, event_time).createOrReplaceTempView(view)
-    time, names = quoted(event_time), ", ".join(quoted(k) for k in keys)
-    counted = stream.sparkSession.sql(
-        f"SELECT window({time}, '{size}') AS _window, {names}, count(*) AS n "
-        f"FROM {view} WATERMARK {time} DELAY OF INTERVAL {delay} "
-        f"GROUP BY _window, {names}"
-    )
+    time, names = quoted(event_time), [quoted(k) for k in keys]
+    listed = ", ".join([f"window({time}, '{size}') AS _window", *names, "count(*) AS n"])
+    try:
+        counted = stream.sparkSession.sql(
+            f"SELECT {listed} FROM {view} WATERMARK {time} DELAY OF INTERVAL {delay} "
+            f"GROUP BY {', '.join(['_window', *names])}"
+        )
+    finally:
+        # The plan holds the stream by now.
+        stream.sparkSession.catalog.dropTempView(view)
     return _flat(counted, keys, ["n"])
