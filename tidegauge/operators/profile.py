@@ -80,7 +80,9 @@ def _lane(kind: T.DataType) -> tuple[str, str]:
     if isinstance(kind, T.DecimalType):
         return "numeric", f"decimal(38,{kind.scale})"
     if isinstance(kind, T.StringType):
-        return "text", "string"
+        return "text", kind.simpleString()
+    if isinstance(kind, T.VariantType):
+        return "other", "variant"
     if isinstance(kind, _SCALAR):
         return "scalar", kind.simpleString()
     return "other", kind.simpleString()
@@ -181,15 +183,25 @@ def _text(df: DataFrame, members: list[tuple[int, str]], kind: str) -> list[Data
         "max_length": "max(length({}))",
         "avg_length": "avg(CAST(length({}) AS double))",
     }
+    # A collation decides which texts are equal, so those are grouped as they are, whatever their
+    # length; in the default one texts are equal when their bytes are, and so are their digests.
     short = f"CASE WHEN octet_length({{0}}) <= {LONG_TEXT_BYTES} THEN {{0}} ELSE sha2({{0}}, 256) END"
+    if "collate" in kind.lower():
+        short = "{}"
     return [_one_row_metrics(df, members, metrics), _distinct(df, members, short)]
 
 
 def _text_class(kind: str) -> str:
     """Values of one class order as text the way they order by type, or exactly the other way
-    round: same sign and number of digits in the year. Booleans have one class."""
+    round: same sign and number of digits in the year, and the same offset for instants. Booleans
+    have one class."""
     if kind == "boolean":
         return "0"
+    if kind == "timestamp":
+        # Clock times run backwards where the offset changes, so each offset is a class of its own.
+        zone = "date_format(v, 'xxx')"
+        sign = "CASE WHEN year(v) < 0 THEN '-' ELSE '+' END"
+        return f"concat({zone}, {sign}, length(CAST(abs(year(v)) AS string)))"
     return "CASE WHEN year(v) < 0 THEN -1 ELSE 1 END * length(CAST(abs(year(v)) AS string))"
 
 
@@ -233,13 +245,15 @@ def _scalar(df: DataFrame, members: list[tuple[int, str]], kind: str) -> list[Da
 
 
 def _other(df: DataFrame, members: list[tuple[int, str]], kind: str) -> list[DataFrame]:
-    """Binary and nested columns; values are grouped in their own type."""
+    """Binary, nested and variant columns; values are grouped in their own type, variants by the
+    digest of their JSON form, as they have no order to group by."""
     metrics = {
         "filled": "count({})",
         "min_value": "min(CAST({} AS string))",
         "max_value": "max(CAST({} AS string))",
     }
-    key = "sha2({}, 256)" if kind == "binary" else "{}"
+    keys = {"binary": "sha2({}, 256)", "variant": "sha2(to_json({}), 256)"}
+    key = keys.get(kind, "{}")
     return [_one_row_metrics(df, members, metrics), _distinct(df, members, key)]
 
 

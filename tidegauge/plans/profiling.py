@@ -156,14 +156,24 @@ def _publish(
         failure_output.publish(spark.createDataFrame(failures, FAILURE_SCHEMA))
     if profiles is None:
         return JobResult("aborted", failures=failures)
-    built = (
+    built = _built(profiles, profiled, failures, columns, metadata)
+    return JobResult("written", output.publish(built.coalesce(1)), profiled, failures)
+
+
+def _built(
+    profiles: DataFrame,
+    profiled: int,
+    failures: list[dict[str, str]],
+    columns: list[str],
+    metadata: DataFrame | None,
+) -> DataFrame:
+    return (
         attach_metadata(profiles, metadata)
         .withColumn("build_timestamp", F.current_timestamp())
         .withColumn("total_datasets_profiled", F.lit(profiled))
         .withColumn("total_datasets_failed", F.lit(len(failures)))
         .select(*columns)
     )
-    return JobResult("written", output.publish(built.coalesce(1)), profiled, failures)
 
 
 def run_registry_job(
@@ -205,14 +215,46 @@ def run_adhoc_job(
     return _publish(*found, output, WIDE_COLUMNS, metadata, failure_output)
 
 
+def _shared_output(
+    config: GovernedConfig,
+    catalog: Catalog,
+    output: VersionedTable,
+    metadata: DataFrame | None,
+) -> dict[str, JobResult]:
+    spark = output.spark
+    governed = [DatasetRef(r.rid, r.path, DEFAULT_BRANCH) for r in config.governed]
+    adhoc = control_refs(catalog.dataframe(config.adhoc_control_rid))
+    found = {
+        "governed": profile_all(spark, governed, catalog, "governed"),
+        "ad_hoc": profile_all(spark, adhoc, catalog, "ad_hoc"),
+    }
+    built = [
+        _built(profiles, profiled, failures, WIDE_COLUMNS, metadata)
+        for profiles, profiled, failures in found.values()
+        if profiles is not None
+    ]
+    version = output.publish(union_profiles(built).coalesce(1)) if built else None
+    return {
+        mode: JobResult("aborted", failures=failures)
+        if profiles is None
+        else JobResult("written", version, profiled, failures)
+        for mode, (profiles, profiled, failures) in found.items()
+    }
+
+
 def run_configured_jobs(
     config: GovernedConfig,
     catalog: Catalog,
     outputs: dict[str, VersionedTable],
     metadata: DataFrame | None = None,
 ) -> dict[str, JobResult]:
-    """The governed job if datasets are listed, the ad-hoc job if a control table is named."""
+    """The governed job if datasets are listed, the ad-hoc job if a control table is named.
+
+    Where both write to one output it gets the rows of both, in one version.
+    """
     results = {}
+    if config.governed and config.has_adhoc and config.adhoc_output_rid == config.output_rid:
+        return _shared_output(config, catalog, outputs[config.output_rid], metadata)
     if config.governed:
         output = outputs[config.output_rid]
         results["governed"] = run_governed_job(config, catalog, output, metadata)

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tidegauge.functions.columns import DEFAULT_BRANCH, branch_or_default
 from tidegauge.sources.datasets import DatasetRef, list_files
 
+# The schemas of the registry, the control table and the config.
 REGISTRY_SCHEMA = T.StructType(
     [
         T.StructField("rid", T.StringType()),
@@ -57,7 +58,9 @@ def build_control_table(spark: SparkSession, rows: list[dict | Row]) -> DataFram
 def control_from_folder(spark: SparkSession, folder: str, pattern: str = "*.parquet") -> DataFrame:
     """Control rows from a folder scan: one per dataset file or dataset directory in the folder."""
     root = folder.rstrip("/")
-    inside = F.substring_index("path", f"{root}/", -1)
+    qualified = _qualified(spark, root)
+    # The root is cut off once, from the front: its text may occur again below it.
+    inside = F.substr("path", F.lit(len(qualified) + 2))
     files = list_files(spark, root, pattern).withColumn("name", F.split_part(inside, F.lit("/"), F.lit(1)))
     found = files.groupBy("name").agg(F.min("modificationTime").alias("added_at"))
     return found.select(
@@ -71,6 +74,13 @@ def control_from_folder(spark: SparkSession, folder: str, pattern: str = "*.parq
     )
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The path with scheme and authority, the way file listings show it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    return hadoop.getFileSystem(conf).makeQualified(hadoop).toString().rstrip("/")
+
+
 def only_enabled(control: DataFrame) -> DataFrame:
     """Enabled rows where the table has the flag, all rows where it has not."""
     return control.filter(F.col("enabled")) if "enabled" in control.columns else control
