@@ -78,8 +78,8 @@ def test_lookback_by_type(spark):
     assert df.filter(since(df, "e", "epoch_ms", "2000000", 30)).count() == 1
     assert df.filter(since(df, "e", "bigint", "2000000", 30)).count() == 0
     assert jdbc_predicate("t", "timestamp", "2024-05-01 12:00:00", 30) == "t > TIMESTAMP '2024-05-01 11:30:00'"
-    assert jdbc_predicate("d", "date", "2024-05-01", 30) == "d > DATE '2024-05-01'"
-    assert jdbc_predicate("d", "date", "2024-05-03", 2 * 1440 + 5) == "d > DATE '2024-05-01'"
+    assert jdbc_predicate("d", "date", "2024-05-01", 30) == "d > DATE '2024-04-30'"
+    assert jdbc_predicate("d", "date", "2024-05-03", 2 * 1440 + 5) == "d > DATE '2024-04-30'"
     assert jdbc_predicate("e", "epoch_ms", "2000000", 30) == "e > 200000"
     assert jdbc_predicate("n", "bigint", "7", 30) == "n > 7"
 

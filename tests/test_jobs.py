@@ -156,8 +156,8 @@ def test_configured_jobs(spark, catalog, folder):
     output = table(spark, "out")
     results = run_configured_jobs(read, catalog, {"out": output})
     assert {k: r.status for k, r in results.items()} == {"governed": "written", "ad_hoc": "written"}
-    assert {r["profiling_mode"] for r in output.previous().collect()} == {"governed"}
-    assert {r["profiling_mode"] for r in output.read().collect()} == {"ad_hoc"}
+    assert {r["profiling_mode"] for r in output.read().collect()} == {"governed", "ad_hoc"}
+    assert output.versions() == [1]
 
 
 def test_profile_and_tag(spark):
@@ -177,3 +177,10 @@ def test_shared_folder_comes_from_the_session(spark):
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert scratch(spark, "x") != scratch(spark, "x")
     assert profiling.scratch(spark, "x").startswith(shared_root(spark))
+
+
+def test_folder_scan_cuts_the_root_once(spark, folder):
+    root = f"{folder}/data"
+    spark.range(3).write.parquet(f"{root}/ds1{root}/x")
+    spark.range(3).write.parquet(f"{root}/ds2")
+    assert sorted(r["path"] for r in control_from_folder(spark, root).collect()) == ["ds1", "ds2"]

@@ -5,9 +5,11 @@ import pytest
 
 import __spark_entry__ as contract
 from tests.compare import differences
+from tidegauge.queries import MODULES
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES = {name: query for m in MODULES for name, query in m.register.queries.items()}
+ORACLES = {name: sql for m in MODULES for name, sql in m.register.oracles.items()}
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +26,8 @@ def test_entry(spark):
 
 
 def test_every_oracle_has_a_query():
-    assert set(ORACLES) <= set(QUERIES)
+    assert set(contract.oracle_sql()) <= set(contract.queries())
+    assert set(QUERIES) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

@@ -113,7 +113,7 @@ def test_split_history_keeps_every_row_of_a_hot_slice(spark):
     history = spark.range(3000).select(
         F.when(F.col("id") < 1000, 0).otherwise(F.col("id") * 60).cast("timestamp").alias("t"), "id"
     )
-    folder, slices = split_history(history, "t", 3600)
+    folder, slices, undated = split_history(history, "t", 3600)
     assert slices == sorted(slices) and slices[0] == 0
     assert spark.read.parquet(folder).count() == 3000
 
