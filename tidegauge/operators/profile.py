@@ -115,7 +115,9 @@ def _grouped(df: DataFrame, keys: list[str], *aggregates: str) -> DataFrame:
     return df.groupBy(*keys).agg(*[F.expr(a) for a in aggregates])
 
 
-def _numeric(df: DataFrame, members: list[tuple[int, str]], kind: str) -> list[DataFrame]:
+def _numeric(
+    df: DataFrame, members: list[tuple[int, str]], kind: str, values: bool = True
+) -> list[DataFrame]:
     pairs = _pairs(df, members, f"CAST({{}} AS {kind})")
     moments = _grouped(
         pairs,
@@ -127,6 +129,17 @@ def _numeric(df: DataFrame, members: list[tuple[int, str]], kind: str) -> list[D
         "avg(CAST(v AS double)) AS mean",
         "stddev_pop(CAST(v AS double)) AS spread",
     )
+    summary = _parts(
+        moments,
+        row_count="row_count",
+        filled="filled",
+        min_value="low",
+        max_value="high",
+        mean="mean",
+        stddev_pop="spread",
+    )
+    if not values:
+        return [summary]
     # Values per (position, n): at most sqrt(2 * rows) rows per column, usually a handful.
     per_count = _grouped(
         _counted(pairs), ["position", "n"], "count(1) AS distinct_values", "min(v) AS v"
@@ -137,18 +150,7 @@ def _numeric(df: DataFrame, members: list[tuple[int, str]], kind: str) -> list[D
         "sum(distinct_values) AS distinct_values",
         "min(struct(-n AS n, v)) AS top",
     )
-    return [
-        _parts(
-            moments,
-            row_count="row_count",
-            filled="filled",
-            min_value="low",
-            max_value="high",
-            mean="mean",
-            stddev_pop="spread",
-        ),
-        _parts(ranked, distinct_count="distinct_values", numeric_mode="top.v"),
-    ]
+    return [summary, _parts(ranked, distinct_count="distinct_values", numeric_mode="top.v")]
 
 
 def _one_row_metrics(
@@ -174,7 +176,9 @@ def _distinct(df: DataFrame, members: list[tuple[int, str]], key: str) -> DataFr
     return _parts(per_column, distinct_count="distinct_values")
 
 
-def _text(df: DataFrame, members: list[tuple[int, str]], kind: str) -> list[DataFrame]:
+def _text(
+    df: DataFrame, members: list[tuple[int, str]], kind: str, values: bool = True
+) -> list[DataFrame]:
     metrics = {
         "filled": "count({})",
         "min_value": "min({})",
@@ -188,7 +192,8 @@ def _text(df: DataFrame, members: list[tuple[int, str]], kind: str) -> list[Data
     short = f"CASE WHEN octet_length({{0}}) <= {LONG_TEXT_BYTES} THEN {{0}} ELSE sha2({{0}}, 256) END"
     if "collate" in kind.lower():
         short = "{}"
-    return [_one_row_metrics(df, members, metrics), _distinct(df, members, short)]
+    summary = _one_row_metrics(df, members, metrics)
+    return [summary, _distinct(df, members, short)] if values else [summary]
 
 
 def _text_class(kind: str) -> str:
@@ -205,13 +210,19 @@ def _text_class(kind: str) -> str:
     return "CASE WHEN year(v) < 0 THEN -1 ELSE 1 END * length(CAST(abs(year(v)) AS string))"
 
 
-def _scalar(df: DataFrame, members: list[tuple[int, str]], kind: str) -> list[DataFrame]:
+def _scalar(
+    df: DataFrame, members: list[tuple[int, str]], kind: str, values: bool = True
+) -> list[DataFrame]:
     """Dates, timestamps and booleans, all metrics from one scan.
 
     Range is that of the text form; typed extremes per text class keep the buffers fixed-width,
     and text is made for the extremes only.
     """
-    counts = _grouped(_pairs(df, members), ["position", "v"], "count(1) AS n")
+    pairs = _pairs(df, members)
+    if values:
+        counts = _grouped(pairs, ["position", "v"], "count(1) AS n")
+    else:
+        counts = pairs.selectExpr("position", "v", "1L AS n")
     classed = counts.selectExpr("position", "v", "n", f"{_text_class(kind)} AS class")
     per_class = _grouped(
         classed,
@@ -237,14 +248,16 @@ def _scalar(df: DataFrame, members: list[tuple[int, str]], kind: str) -> list[Da
             one,
             row_count="row_count",
             filled="filled",
-            distinct_count="distinct_values",
+            distinct_count="distinct_values" if values else "NULL",
             min_value="low",
             max_value="high",
         )
     ]
 
 
-def _other(df: DataFrame, members: list[tuple[int, str]], kind: str) -> list[DataFrame]:
+def _other(
+    df: DataFrame, members: list[tuple[int, str]], kind: str, values: bool = True
+) -> list[DataFrame]:
     """Binary, nested and variant columns; values are grouped in their own type, variants by the
     digest of their JSON form, as they have no order to group by."""
     metrics = {
@@ -254,15 +267,24 @@ def _other(df: DataFrame, members: list[tuple[int, str]], kind: str) -> list[Dat
     }
     keys = {"binary": "sha2({}, 256)", "variant": "sha2(to_json({}), 256)"}
     key = keys.get(kind, "{}")
-    return [_one_row_metrics(df, members, metrics), _distinct(df, members, key)]
+    summary = _one_row_metrics(df, members, metrics)
+    return [summary, _distinct(df, members, key)] if values else [summary]
 
 
 _FAMILIES = {"numeric": _numeric, "text": _text, "scalar": _scalar, "other": _other}
 
 
-def column_metrics(df: DataFrame, columns_per_scan: int = COLUMNS_PER_SCAN) -> DataFrame:
+# Metrics that need every value of a column counted, which is a shuffle of its own.
+_OF_VALUES = ("distinct_count", "uniqueness_ratio", "numeric_mode")
+
+
+def column_metrics(
+    df: DataFrame, columns_per_scan: int = COLUMNS_PER_SCAN, values: bool = True
+) -> DataFrame:
     """One row per column position with the raw, unrounded parts.
 
+    Without ``values`` no values are counted: distinct counts and modes are null.
+
     A lane with more columns than ``columns_per_scan`` is read in several scans, of other columns
     each.
     """
@@ -273,7 +295,7 @@ def column_metrics(df: DataFrame, columns_per_scan: int = COLUMNS_PER_SCAN) -> D
     pieces: list[DataFrame] = []
     for (family, kind), members in lanes.items():
         for start in range(0, len(members), width):
-            pieces += _FAMILIES[family](df, members[start : start + width], kind)
+            pieces += _FAMILIES[family](df, members[start : start + width], kind, values)
     together = reduce(DataFrame.unionAll, pieces)
     return _grouped(together, ["position"], *[f"max({n}) AS {n}" for n in _PARTS])
 
@@ -288,8 +310,13 @@ def profile_dataframe(
     source_rid: str | None = None,
     dataset_path: str | None = None,
     columns_per_scan: int = COLUMNS_PER_SCAN,
+    metrics: list[str] | None = None,
 ) -> DataFrame:
-    """Profile ``df``: one row per column, no rows for an empty input. Lazy; nothing is collected."""
+    """Profile ``df``: one row per column, no rows for an empty input. Lazy; nothing is collected.
+
+    ``metrics`` names the metrics that are wanted, and only those come back beside name, type and
+    tags; without distinct counts and modes among them no values are shuffled.
+    """
     spark = df.sparkSession
     if not df.columns:
         return spark.createDataFrame([], PROFILE_SCHEMA)
@@ -297,8 +324,9 @@ def profile_dataframe(
     kinds = _text_literals([f.dataType.simpleString() for f in df.schema])
     missing, distinct = "row_count - filled", "coalesce(distinct_count, 0L)"
     # Sources without rows have no profile.
-    metrics = column_metrics(df, columns_per_scan).filter("row_count > 0")
-    profile = metrics.selectExpr(
+    values = metrics is None or not set(metrics).isdisjoint(_OF_VALUES)
+    raw = column_metrics(df, columns_per_scan, values).filter("row_count > 0")
+    profile = raw.selectExpr(
         f"get(array({names}), position) AS column_name",
         f"get(array({kinds}), position) AS data_type",
         "row_count",
@@ -316,8 +344,9 @@ def profile_dataframe(
         "max_length",
         "round(avg_length, 4) AS avg_length",
     )
+    wanted = ["*"] if metrics is None else ["column_name", "data_type", *metrics]
     return profile.select(
-        "*",
+        *wanted,
         tag(source_rid).alias("source_rid"),
         tag(dataset_path).alias("dataset_path"),
         F.current_timestamp().alias("profiled_at"),

@@ -135,8 +135,11 @@ METRICS = list(_column_sql("region", "r_regionkey", "int"))
 
 
 def _profiles(spark: SparkSession, sf_dir: str, names: list[str], fields: list[str]) -> DataFrame:
+    metrics = [f for f in fields if f not in ("column_name", "data_type")]
     each = [
-        _picked(profile_dataframe(table(spark, sf_dir, n), n, n), fields, "dataset_path")
+        _picked(
+            profile_dataframe(table(spark, sf_dir, n), n, n, metrics=metrics), fields, "dataset_path"
+        )
         for n in names
     ]
     return union_profiles(each).withColumnRenamed("dataset_path", "table_name")
@@ -309,6 +312,50 @@ def profile_failures(spark, sf_dir):
     return union_profiles([failed, good])
 
 
+@register(
+    "profile_aborted",
+    """
+    SELECT 'written' AS status, 1 AS latest, count(*) AS row_count, TRUE AS clocked FROM orders
+    UNION ALL
+    SELECT 'aborted', 1, count(*), TRUE FROM orders
+    """,
+)
+def profile_aborted(spark, sf_dir):
+    """A job, then one that can read nothing: it leaves the output as it was. Clocks are set."""
+    output = _output(spark, "profiles")
+    found = []
+    for name in ("orders", "gone"):
+        registry = spark.createDataFrame([(f"id.{name}", name, None)], REGISTRY_SCHEMA)
+        result = run_registry_job(registry, _catalog(spark, sf_dir, ["orders"]), output)
+        clocks = F.col("profiled_at").isNotNull() & F.col("build_timestamp").isNotNull()
+        found.append(
+            output.read().agg(
+                F.lit(result.status).alias("status"),
+                F.lit(output.latest()).alias("latest"),
+                F.max("row_count").alias("row_count"),
+                F.every(clocks).alias("clocked"),
+            )
+        )
+    return found[0].unionAll(found[1])
+
+
+@register(
+    "profile_odd_names",
+    """
+    SELECT 'n.name' AS column_name, count(DISTINCT n_name) AS distinct_count FROM nation
+    UNION ALL SELECT 'the `key`', count(DISTINCT n_nationkey) FROM nation
+    UNION ALL SELECT 'a region', count(DISTINCT n_regionkey) FROM nation
+    """,
+)
+def profile_odd_names(spark, sf_dir):
+    """Names with dots, spaces and backticks; a table without rows adds no profile."""
+    nation = table(spark, sf_dir, "nation")
+    odd = nation.toDF("the `key`", "n.name", "a region")
+    metrics = ["distinct_count"]
+    profiles = [profile_dataframe(d, metrics=metrics) for d in (odd, odd.limit(0))]
+    return union_profiles(profiles).select("column_name", "distinct_count")
+
+
 @register(
     "profile_governed",
     profile_sql(["customer", "orders"], METRICS, table_column="dataset_path").replace(

@@ -16,11 +16,13 @@ from tidegauge.streaming.dedup import deduplicated
 from tidegauge.streaming.flows import (
     FlowRun,
     FlowTarget,
+    ResetNotAllowed,
     apply_changes_flow,
     run_flow,
+    settings,
     upsert_flow,
 )
-from tidegauge.streaming.joins import interval_join
+from tidegauge.streaming.joins import UnboundedStateError, interval_join
 from tidegauge.streaming.monitor import (
     dropped_rows,
     late_audit,
@@ -302,6 +304,90 @@ def full_refresh(spark, sf_dir):
     return target.read()
 
 
+@register(
+    "reset_keeps_data",
+    """
+    SELECT 'reset' AS step, 2 * count(*) AS n, count(DISTINCT event_id) AS ids, FALSE AS refused
+    FROM events
+    UNION ALL SELECT 'guarded', count(*), count(*), TRUE FROM events
+    """,
+)
+def reset_keeps_data(spark, sf_dir):
+    """A reset checkpoint reads its source again beside the data it keeps; a guard forbids resets."""
+    events = _events(spark, sf_dir).select("event_id", "event_type")
+    steps = []
+    for step, allowed in (("reset", True), ("guarded", False)):
+        target, refused = FlowTarget(spark, scratch(spark, step), allowed), False
+        target.append("raw", events)
+        try:
+            target.reset_checkpoint("raw")
+        except ResetNotAllowed:
+            refused = True
+        target.append("raw", events)
+        steps.append(
+            target.read().agg(
+                F.lit(step).alias("step"),
+                F.count(F.lit(1)).alias("n"),
+                F.count_distinct("event_id").alias("ids"),
+                F.lit(refused).alias("refused"),
+            )
+        )
+    return steps[0].unionAll(steps[1])
+
+
+@register(
+    "unbounded_joins_refused",
+    """
+    SELECT * FROM (VALUES ('no time bound between the streams', 1),
+                          ('no watermark on the left and right stream', 2),
+                          ('no watermark on the right stream', 3)) v(error, n)
+    CROSS JOIN (SELECT count(*) AS events FROM events)
+    """,
+)
+def unbounded_joins_refused(spark, sf_dir):
+    """What a stream-stream join without watermarks or a bound is told."""
+    views, clicks = _views_and_clicks(_events(spark, sf_dir))
+    errors = []
+    for n, bounds in enumerate(((_DELAY, _DELAY, ""), ("", "", "1 HOUR"), (_DELAY, None, "1 HOUR")), 1):
+        left, right, within = bounds
+        try:
+            interval_join(views, clicks, ["user_id"], "view_time", "click_time", within, left, right)
+        except UnboundedStateError as error:
+            errors.append((str(error), n))
+    told = spark.createDataFrame(errors, "error string, n int")
+    events = table(spark, sf_dir, "events").agg(F.count(F.lit(1)).alias("events")).first()[0]
+    return told.withColumn("events", F.lit(events))
+
+
+@register(
+    "backfill_wide_threshold",
+    """
+    SELECT hour AS window_start, event_type, count(*) AS n
+    FROM (SELECT date_trunc('hour', ts) AS hour, event_type FROM events)
+    WHERE hour + INTERVAL 1 HOUR <= (
+        SELECT date_trunc('millisecond', max(ts)) - INTERVAL 20 DAY FROM events)
+    GROUP BY hour, event_type
+    """,
+)
+def backfill_wide_threshold(spark, sf_dir):
+    """Files newest first, with a delay wider than the history of the open windows: none is late."""
+    events = table(spark, sf_dir, "events")
+    landing = scratch(spark, "wide")
+    middle = F.lit("2024-01-16").cast("timestamp_ntz")
+    for part in (events.filter(F.col("ts") >= middle), events.filter(F.col("ts") < middle)):
+        part.coalesce(1).write.mode("append").parquet(landing)
+    stream = stream_table(spark, landing, events.schema, max_files=1)
+    counts = windowed_counts(stream, "ts", "20 days", "1 hour", ["event_type"])
+    return _finished(counts.drop("window_end"), "wide", "window_start")
+
+
+@register("stream_static_join_salted", _STATIC)
+def stream_static_join_salted(spark, sf_dir):
+    """The same join where the table is too big to broadcast."""
+    with settings(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        return _static_join(spark, sf_dir, "static-join-salted")
+
+
 @register(
     "stream_layers",
     f"""
