@@ -338,10 +338,10 @@ def reset_keeps_data(spark, sf_dir):
 @register(
     "unbounded_joins_refused",
     """
-    SELECT * FROM (VALUES ('no time bound between the streams', 1),
-                          ('no watermark on the left and right stream', 2),
-                          ('no watermark on the right stream', 3)) v(error, n)
-    CROSS JOIN (SELECT count(*) AS events FROM events)
+    SELECT error, n, (SELECT count(*) FROM events) AS events
+    FROM (VALUES ('no time bound between the streams', 1),
+                 ('no watermark on the left and right stream', 2),
+                 ('no watermark on the right stream', 3)) v(error, n)
     """,
 )
 def unbounded_joins_refused(spark, sf_dir):

@@ -31,6 +31,12 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, **conf: st
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process, which a ``local-cluster`` master is not."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
@@ -39,7 +45,7 @@ def shared_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not is_local(spark):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by driver and executors")
         root = tempfile.mkdtemp(prefix="tidegauge-")
         spark.conf.set(CHECKPOINT_CONF, root)
@@ -60,5 +66,6 @@ def estimated_bytes(df: DataFrame) -> int | None:
 def broadcast_limit(spark: SparkSession) -> int:
     """The session's own broadcast bound in bytes; 0 where broadcasts are switched off."""
     text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    limit = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
-    return max(limit, 0)
+    if text.strip().startswith("-"):
+        return 0
+    return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))

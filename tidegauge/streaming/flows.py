@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
 from tidegauge.plans.tables import apply_changes_table, upsert_table
+from tidegauge.session import is_local
 from tidegauge.sources.files import SharedFiles
 from tidegauge.sources.versions import VersionedTable
 
@@ -39,8 +40,7 @@ def state_partitions(spark: SparkSession) -> int:
     partitions than cores, and every partition costs a state store commit per micro-batch.
     """
     wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    context = spark.sparkContext
-    return min(wanted, context.defaultParallelism) if context.master.startswith("local") else wanted
+    return min(wanted, spark.sparkContext.defaultParallelism) if is_local(spark) else wanted
 
 
 @contextmanager
