@@ -58,7 +58,7 @@ def lower_ascii(text: Column) -> Column:
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Written once below the shared folder and read back, which also cuts the lineage."""
     path = scratch(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
