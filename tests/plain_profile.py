@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def plain_profile(df: DataFrame) -> dict[str, dict]:
+def plain_profile(df: DataFrame, split: bool = False) -> dict[str, dict]:
+    """With ``split`` the distinct counts are an aggregate of their own."""
     total = df.count()
-    wanted = []
+    wanted, distinct = [], []
     for field in df.schema:
         c, n = F.col(field.name), field.name
-        wanted += [F.count(c).alias(f"{n}|filled"), F.countDistinct(c).alias(f"{n}|distinct")]
+        wanted.append(F.count(c).alias(f"{n}|filled"))
+        distinct.append(F.countDistinct(c).alias(f"{n}|distinct"))
         value = c
         if isinstance(field.dataType, T.NumericType):
             wanted += [
@@ -32,7 +34,10 @@ def plain_profile(df: DataFrame) -> dict[str, dict]:
         else:
             value = c.cast("string")
         wanted += [F.min(value).alias(f"{n}|min"), F.max(value).alias(f"{n}|max")]
-    one = df.agg(*wanted).first().asDict()
+    if split:
+        one = df.agg(*wanted).first().asDict() | df.agg(*distinct).first().asDict()
+    else:
+        one = df.agg(*wanted, *distinct).first().asDict()
     out = {}
     for field in df.schema:
         n = field.name
