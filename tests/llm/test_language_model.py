@@ -60,10 +60,10 @@ def test_scores_are_probabilities(make):
 
 def test_learns_what_follows_what(make):
     deal, rows = random.Random(2), []
-    for k in range(400):
+    for k in range(4000):
         side = deal.choice("ab")
         rows.append(row(k, " ".join(f"{side}{deal.randrange(12)}" for _ in range(40))))
-    docs = make(rows).withColumn("train", F.col("doc_id") < 320)
+    docs = make(rows).withColumn("train", F.col("doc_id") < 3600)
     held = [r for r in m.scored(docs).collect() if not r.train]
     assert sum(r.score for r in held) > sum(r.base_score for r in held) + 0.1 * sum(r.n_tokens for r in held)
 

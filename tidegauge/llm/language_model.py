@@ -37,7 +37,7 @@ FREQUENT = 1 << 18
 DIMENSIONS = 24
 ROUNDS = 3
 NOISE = 32
-BATCH = 4096
+BATCH, RATE = 1024, 0.3
 
 # Classes: the start of a text (context only), its end, the words, the buckets.
 START, END = 0, 1
@@ -273,7 +273,7 @@ def _added(rows: np.ndarray, values: np.ndarray, into: np.ndarray) -> None:
 class _Trainer:
     """Adagrad steps on the contrast between data and NOISE shared noise classes a batch."""
 
-    def __init__(self, table: np.ndarray, noise: np.ndarray, seed: int, rate: float = 0.1):
+    def __init__(self, table: np.ndarray, noise: np.ndarray, seed: int, rate: float = RATE):
         self.model = LogBilinear(table.copy())
         self.noise, self.rate = noise, rate
         self.log_noise = np.log(np.maximum(NOISE * noise, 1e-12)).astype(np.float32)
@@ -358,8 +358,8 @@ def _log_probabilities(model: LogBilinear, sums: np.ndarray, before, last, word)
         part = missing[begin : begin + BATCH]
         sums[part] = model.log_sums(part // CLASSES, part % CLASSES)
     own = np.empty(len(word))
-    for begin in range(0, len(word), 16 * BATCH):
-        s = slice(begin, begin + 16 * BATCH)
+    for begin in range(0, len(word), 64 * BATCH):
+        s = slice(begin, begin + 64 * BATCH)
         context = model.contexts(before[s], last[s])
         own[s] = np.einsum("ij,ij->i", context, model.outer[word[s]]) + model.bias[word[s]]
     return own - sums[key]
