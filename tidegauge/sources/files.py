@@ -34,12 +34,15 @@ class SharedFiles:
             stream.close()
 
     def write_text(self, path: str, text: str) -> None:
+        self.write_bytes(path, text.encode("utf-8"))
+
+    def write_bytes(self, path: str, data: bytes) -> None:
         """Write next to the final name, then rename, so that readers never see half a file."""
         draft = f"{path}.draft"
         fs = self._fs(path)
         stream = fs.create(self._path(draft), True)
         try:
-            stream.write(bytearray(text.encode("utf-8")))
+            stream.write(bytearray(data))
         finally:
             stream.close()
         if not fs.rename(self._path(draft), self._path(path)):
