@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import io
 import itertools
 import os
-import tempfile
 import zipfile
 from collections.abc import Iterable, Iterator
 
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 import tidegauge
 from tidegauge.session import scratch
+from tidegauge.sources.files import SharedFiles
 
 # The white space that separates words, and the letters that are lower-cased.
 SPACES = " \t\n\x0b\x0c\r"
@@ -21,17 +22,21 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the workers this package, once per context, wherever the driver runs from."""
+    """Give the workers this package, once per context, wherever the driver runs from.
+
+    The archive lies in the shared folder, from which every executor fetches it.
+    """
     context = spark.sparkContext
     if getattr(context, "_tidegauge_shipped", False):
         return
-    root = os.path.dirname(os.path.abspath(tidegauge.__file__))
-    path = os.path.join(tempfile.mkdtemp(prefix="tidegauge-"), "tidegauge.zip")
-    with zipfile.ZipFile(path, "w") as archive:
+    root, packed = os.path.dirname(os.path.abspath(tidegauge.__file__)), io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
         for folder, _, names in os.walk(root):
             for name in sorted(n for n in names if n.endswith(".py")):
                 full = os.path.join(folder, name)
                 archive.write(full, os.path.join("tidegauge", os.path.relpath(full, root)))
+    path = f"{scratch(spark, 'package')}/tidegauge.zip"
+    SharedFiles(spark).write_bytes(path, packed.getvalue())
     context.addPyFile(path)
     context._tidegauge_shipped = True
 
