@@ -249,6 +249,7 @@ def _once_per_batch(
     table: VersionedTable,
     checkpoint: str,
     write: Callable[[DataFrame, dict[str, int]], int],
+    keep: int | None,
 ) -> Callable[[DataFrame, int], None]:
     """A batch function that passes over batches the table already holds.
 
@@ -265,6 +266,8 @@ def _once_per_batch(
             write(kept, {query: number})
         finally:
             kept.unpersist()
+        if keep is not None:
+            table.expire(keep)
 
     return each
 
@@ -276,13 +279,19 @@ def upsert_flow(
     sequence_by: list[str],
     checkpoint: str,
     name: str,
+    keep: int | None = 10,
 ) -> FlowRun:
-    """Upsert every micro-batch into a versioned table, once even if a batch is repeated."""
+    """Upsert every micro-batch into a versioned table, once even if a batch is repeated.
+
+    A batch rewrites the slices it touches, so slices should be of a size that a batch may rewrite.
+    Of the versions, one per batch, the last ``keep`` stay; readers of changes must not fall behind
+    further than that.
+    """
 
     def write(rows: DataFrame, batches: dict[str, int]) -> int:
         return upsert_table(table, rows, keys, sequence_by, batches)
 
-    each = _once_per_batch(table, checkpoint, write)
+    each = _once_per_batch(table, checkpoint, write, keep)
     return run_flow(stream, checkpoint, name, each_batch=each)
 
 
@@ -294,11 +303,15 @@ def apply_changes_flow(
     checkpoint: str,
     name: str,
     delete_when: Column | None = None,
+    keep: int | None = 10,
 ) -> FlowRun:
-    """Apply every micro-batch of changes to a versioned table by key and sequence."""
+    """Apply every micro-batch of changes to a versioned table by key and sequence.
+
+    ``keep`` versions stay, as in ``upsert_flow``.
+    """
 
     def write(rows: DataFrame, batches: dict[str, int]) -> int:
         return apply_changes_table(table, rows, keys, sequence_by, delete_when, batches)
 
-    each = _once_per_batch(table, checkpoint, write)
+    each = _once_per_batch(table, checkpoint, write, keep)
     return run_flow(stream, checkpoint, name, each_batch=each)
