@@ -7,6 +7,11 @@ import pytest
 import __spark_entry__ as contract
 import corpus_pipeline
 from tests.compare import differences
+from tests.llm.test_decontaminate import plain
+from tests.llm.test_line_dedup import distance
+from tests.llm.test_near_dup import plain_components
+from tests.llm.test_packing import check
+from tidegauge.llm.common import staged
 from tidegauge.llm.queries import register
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -52,14 +57,72 @@ def test_language_model_beats_counts_on_held_out_texts(spark):
     assert held.score.sum() > held.base_score.sum()
 
 
-def test_pipeline_stages(spark):
+def plain_lines(db, docs):
+    """Texts by document without lines of a class that occurred before, by all pairs of lines."""
+    places = [
+        (doc_id, k, line)
+        for doc_id, text in sorted(docs.items())
+        for k, line in enumerate((text or "").split("\n"))
+        if len(line) >= 32 and line.split()
+    ]
+    texts = sorted({line for _, _, line in places})
+    frame = pd.DataFrame({"id": range(len(texts)), "line": texts, "n": [len(t) for t in texts]})  # noqa: F841
+    # Byte distances bound the distance in characters: two edits change eight bytes at most.
+    near = db.sql(
+        """SELECT a.id, b.id FROM frame a JOIN frame b ON a.id < b.id AND abs(a.n - b.n) <= 2
+           AND levenshtein(a.line, b.line) <= 8"""
+    ).fetchall()
+    part = list(range(len(texts)))
+    links = [(i, j) for i, j in near if distance(texts[i], texts[j]) <= 2]
+    for _ in range(len(links)):
+        before = list(part)
+        for i, j in links:
+            part[i] = part[j] = min(part[i], part[j])
+        if part == before:
+            break
+    number, seen, removed = {t: k for k, t in enumerate(texts)}, set(), {}
+    for doc_id, k, line in places:
+        if part[number[line]] in seen:
+            removed.setdefault(doc_id, set()).add(k)
+        seen.add(part[number[line]])
+    left = {}
+    for doc_id, text in docs.items():
+        if doc_id not in removed:
+            left[doc_id] = text
+            continue
+        kept = [line for k, line in enumerate(text.split("\n")) if k not in removed[doc_id]]
+        if any(len(line) >= 32 and line.split() for line in kept) or len(" ".join(kept).split()) >= 20:
+            left[doc_id] = "\n".join(kept)
+    return left
+
+
+def test_pipeline_stages_equal_plain_versions(spark, db):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
-    columns, before = docs.columns, docs.count()
+    columns, first = docs.columns, docs.count()
+    items = db.sql("SELECT item_id, text FROM benchmark").fetchall()
+
+    def texts(frame):
+        return {r.doc_id: r.text for r in frame.select("doc_id", "text").collect()}
+
+    before = texts(docs)
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        docs = stage(spark, docs, SF_DIR).cache()
-        assert docs.columns == columns and 0 < docs.count() < before, name
+        docs = staged(stage(spark, docs, SF_DIR), "test")
+        after = texts(docs)
+        if name == "quality_rules":
+            kept = db.sql(f"SELECT doc_id FROM ({register.oracles['op3_quality_rules']}) WHERE kept")
+            want = {r[0]: before[r[0]] for r in kept.fetchall()}
+        elif name == "line_dedup":
+            want = plain_lines(db, before)
+        elif name == "near_dedup":
+            parts = plain_components(sorted(before.items()))
+            want = {k: t for k, t in before.items() if parts[k][1] == k}
+        else:
+            hit = {doc_id for doc_id, _, n, _ in plain(sorted(before.items()), items) if n}
+            want = {k: t for k, t in before.items() if k not in hit}
+        assert docs.columns == columns and after == want, name
         assert docs.filter("n_chars != length(text)").isEmpty()
-        before = docs.count()
-    kept = {r.doc_id for r in docs.collect()}
-    packed = {r.doc_id for r in corpus_pipeline.run(spark, SF_DIR).select("doc_id").collect()}
-    assert packed == kept
+        before = after
+    assert 0 < len(before) < first
+    pieces = corpus_pipeline.run(spark, SF_DIR).collect()
+    check(pieces, docs.collect())
+    assert {p.doc_id for p in pieces} == set(before)

@@ -67,12 +67,13 @@ def test_report_and_removal(make):
     docs = make(
         [
             row(1, f"{LINE}\nfirst of its kind, and rather long as well"),
-            row(2, f"before it\n{LINE}\nshort"),
+            row(2, f"before it\n{LINE}\n" + "short\n" * 18),
             row(3, f"{LINE}!"),
             row(4, f"{LINE[:-1]}Z\nand some more that nobody else says here"),
             row(5, "nothing in common with the others, whatever they say"),
             row(6, f"{LINE}\n{LINE}"),
             row(7, "short\nshort"),
+            row(8, f"before it\n{LINE}\nshort"),
         ]
     )
     report = {r.doc_id: r for r in d.line_report(docs).collect()}
@@ -81,7 +82,7 @@ def test_report_and_removal(make):
     assert report[3].n_links == 2 and report[7].n_lines == 0 and report[1].n_lines == 2
     left = {r.doc_id: r.text for r in d.without_repeats(docs).collect()}
     assert set(left) == {1, 2, 4, 5, 7}
-    assert left[2] == "before it\nshort" and left[7] == "short\nshort"
+    assert left[2] == "before it\n" + "short\n" * 18 and left[7] == "short\nshort"
     assert left[4] == "and some more that nobody else says here"
 
 
