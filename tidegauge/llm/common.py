@@ -64,7 +64,24 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """Written once below the shared folder and read back, which also cuts the lineage."""
     path = scratch(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    written._staged_at = path
+    return written
+
+
+def discard(*written: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for df in written:
+        SharedFiles(df.sparkSession).delete(df._staged_at)
+
+
+def bounded(ids: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """A written table of ids with a broadcast hint where it has ``most`` rows or fewer.
+
+    It then finds its few rows in a large table without moving that; a longer one is joined by a
+    shuffle of both.
+    """
+    return F.broadcast(ids) if ids.count() <= most else ids
 
 
 def slices(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:

@@ -2,7 +2,8 @@
 
 Equal lines collapse first. The edit join then cuts every distinct line of LEAST_CHARS code points or
 more into EDITS + 1 segments: two lines within EDITS edits share a segment, at places that the
-lengths bound (an index of segments by length is probed with the few substrings that can match).
+lengths bound (an index of segments is probed with the few substrings that can match), and their
+letter counts are close, which is checked where two lines meet.
 Pairs that share a segment are verified with a banded bit-parallel edit distance: one small bit
 vector per diagonal band, moved over the characters that common words at both ends leave over.
 
@@ -14,11 +15,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import staged, text_of
+from tidegauge.llm.common import bounded, discard, staged, text_of
 from tidegauge.llm.components import components
 
 EDITS = 2
 LEAST_CHARS = 32
+LEAST_WORDS = 20
+
+# Letters whose counts tell lines apart before they are compared.
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 _WORD = r"[^\x20\x09-\x0D]"
 
@@ -43,23 +48,32 @@ def occurrences(docs: DataFrame, least_chars: int) -> DataFrame:
     return rows.withColumn("digest", F.unhex(F.md5("line")))
 
 
-def _segment(length: Column, number: int, edits: int) -> tuple[Column, Column]:
-    """Start (from 1) and length of a segment of a line of this length; the last ones take the rest."""
-    parts = edits + 1
-    size, longer = F.floor(length / parts), length % parts
-    extra = F.greatest(F.lit(0), longer - (parts - number))
-    start = (number * size + extra + 1).cast("int")
-    return start, (size + F.when(number >= parts - longer, 1).otherwise(0)).cast("int")
-
+def _keys(moves: list[tuple[int, int, int]], edits: int) -> Column:
+    """Keys of substrings of ``line``, one for each (shorter, segment, move) in ``moves``.
 
-def _key(number: int, length: Column, line: Column, start: Column, size: Column) -> Column:
-    return F.xxhash64(F.lit(number), length, F.substring(line, start, size))
+    A line that is ``shorter`` by that many code points than this one is cut into edits + 1 segments
+    (the last ones take the remainder); the substring lies where its segment does, moved by ``move``.
+    Where it lies depends on the length's quotient and remainder by the number of segments only, so
+    the places are worked out here, once per remainder.
+    """
+    parts, arms = edits + 1, []
+    for rest in range(parts):
+        # Offsets from multiples of the quotient, for any length with this remainder.
+        n, places = 1000 * parts + rest, {}
+        for shorter, i, move in moves:
+            size, longer = divmod(n - shorter, parts)
+            size -= 1000
+            places[i, i * size + max(0, i - parts + longer) + move, size + (i >= parts - longer)] = None
+        listed = ", ".join(f"struct({i} AS i, {a} AS a, {b} AS b)" for i, a, b in places)
+        arms.append(f"WHEN {rest} THEN array({listed})")
+    start, size = f"t.i * (n div {parts}) + t.a + 1", f"n div {parts} + t.b"
+    piece = f"substring(line, cast({start} AS int), cast({size} AS int))"
+    return F.expr(f"transform(CASE n % {parts} {' '.join(arms)} END, t -> xxhash64(t.i, {piece}))")
 
 
 def _index(edits: int) -> Column:
     """Keys of a line's own segments."""
-    line, n = F.col("line"), F.col("n")
-    return F.array(*[_key(i, n, line, *_segment(n, i, edits)) for i in range(edits + 1)])
+    return _keys([(0, i, 0) for i in range(edits + 1)], edits)
 
 
 def _probes(edits: int) -> Column:
@@ -68,21 +82,42 @@ def _probes(edits: int) -> Column:
     For the segment in which a match must exist, at most as many edits lie to its left as there are
     segments there, and the same on its right: both bound how far it can have moved.
     """
-    line, keys = F.col("line"), []
-    for shorter in range(edits + 1):
-        n = F.col("n") - shorter
-        for i in range(edits + 1):
-            start, size = _segment(n, i, edits)
-            low, high = max(-i, shorter - (edits - i)), min(i, shorter + (edits - i))
-            for move in range(low, high + 1):
-                begin = start + move
-                inside = (begin >= 1) & (begin + size - 1 <= F.col("n")) & (size > 0)
-                keys.append(F.when(inside, _key(i, n, line, begin, size)))
-    return F.array(*keys)
-
-
-def _within(a: str, b: str, edits: int) -> Column:
-    """Whether the character arrays ``a`` and ``b`` are within ``edits`` edits.
+    return _keys(
+        [
+            (shorter, i, move)
+            for shorter in range(edits + 1)
+            for i in range(edits + 1)
+            for move in range(max(-i, shorter - (edits - i)), min(i, shorter + (edits - i)) + 1)
+        ],
+        edits,
+    )
+
+
+def _profile() -> list[Column]:
+    """How often each letter occurs in ``line``, modulo 256, in the bytes of four numbers."""
+    packed = []
+    for first in range(0, len(LETTERS), 7):
+        value = F.lit(0).cast("long")
+        for k, letter in enumerate(LETTERS[first : first + 7]):
+            times = F.length("line") - F.length(F.replace("line", F.lit(letter)))
+            value = value.bitwiseOR(F.shiftleft(times.cast("long").bitwiseAND(255), 8 * k))
+        packed.append(value.alias(f"letters_{first // 7}"))
+    return packed
+
+
+def _alike(x: str, y: str, edits: int) -> Column:
+    """Whether letter counts differ by two per edit at most, as an edit changes two by one or one."""
+    changed = F.lit(0)
+    for k in range(len(LETTERS)):
+        word, place = f"letters_{k // 7}", 8 * (k % 7)
+        more, less = (F.shiftright(f"{side}.{word}", place).bitwiseAND(255) for side in (x, y))
+        up = (more - less).bitwiseAND(255)
+        changed = changed + F.least(up, 256 - up)
+    return changed <= 2 * edits
+
+
+def _within(a: str, b: str, edits: int) -> str:
+    """SQL: whether the character arrays ``a`` and ``b`` are within ``edits`` edits.
 
     Bit i of a vector stands for row j - edits + i of column j, so a vector spans the band of
     diagonals that matter and moves down one row with each column. ``vp`` and ``vn`` say where the
@@ -96,8 +131,7 @@ def _within(a: str, b: str, edits: int) -> Column:
     rises = f"(v.vn | (~(d | v.vp) & {mask}))"
     falls = "(d & v.vp)"
     last = f"s.m - v.j + {edits}"
-    return F.expr(
-        f"""
+    return f"""
         element_at(transform(
             array(struct(
                 concat(array_repeat('', {edits}), {a}, array_repeat('', {width})) AS p,
@@ -114,45 +148,43 @@ def _within(a: str, b: str, edits: int) -> Column:
                     ) AS score,
                     v.j + 1 AS j)), 1)),
                 v -> v.score <= {edits})), 1)
-        """
-    )
+    """
 
 
-def _cores(pairs: DataFrame) -> DataFrame:
-    """Adds x and y: the characters of both lines between the words that they begin and end with.
+def verified(pairs: DataFrame, edits: int = EDITS) -> DataFrame:
+    """The pairs whose lines ``of_a`` and ``of_b`` are within ``edits`` edits.
 
-    Words carry the space behind them, so what is cut off is the same text in both lines.
+    Only what lies between the words that both lines begin and end with is compared. Words carry the
+    space behind them, so what is cut off is the same text in both lines. It is one expression, as
+    columns of its parts would be computed once per use.
     """
-    words = pairs.select(
-        "*",
-        F.expr("transform(split(of_a, ' ', -1), w -> concat(w, ' '))").alias("wa"),
-        F.expr("transform(split(of_b, ' ', -1), w -> concat(w, ' '))").alias("wb"),
-    )
+
+    def words(line: str) -> str:
+        return f"transform(split({line}, ' ', -1), w -> concat(w, ' '))"
+
     shorter = "least(size(s.a), size(s.b))"
-    same_first = (
-        f"coalesce(array_min(filter(sequence(0, {shorter}), i -> i = {shorter} OR s.a[i] <> s.b[i])), 0)"
-    )
+    same_first = f"array_min(filter(sequence(0, {shorter}), i -> i = {shorter} OR s.a[i] <> s.b[i]))"
     same_last = (
         f"array_min(filter(sequence(0, {shorter} - f), i -> i = {shorter} - f "
         "OR s.a[size(s.a) - 1 - i] <> s.b[size(s.b) - 1 - i]))"
     )
-    middle = "split(array_join(slice(s.{0}, f + 1, size(s.{0}) - f - l), ''), '')"
-    both = F.expr(
-        f"""
-        element_at(transform(array(struct(wa AS a, wb AS b)), s ->
-            element_at(transform(array({same_first}), f ->
-                element_at(transform(array({same_last}), l ->
-                    struct({middle.format("a")} AS x, {middle.format("b")} AS y)), 1)), 1)), 1)
-        """
-    )
-    cut = words.select(*pairs.columns, both.alias("c"))
-    return cut.select(*pairs.columns, *[F.array_remove(F.col(f"c.{k}"), "").alias(k) for k in "xy"])
-
 
-def verified(pairs: DataFrame, edits: int = EDITS) -> DataFrame:
-    """The pairs whose lines ``of_a`` and ``of_b`` are within ``edits`` edits."""
-    cores = _cores(pairs).filter(F.abs(F.size("x") - F.size("y")) <= edits)
-    return cores.filter(_within("x", "y", edits)).drop("x", "y")
+    def middle(side: str) -> str:
+        inner = f"slice(s.{side}, f + 1, size(s.{side}) - f - l)"
+        return f"array_remove(split(array_join({inner}, ''), ''), '')"
+
+    return pairs.filter(
+        F.expr(
+            f"""
+            element_at(transform(array(struct({words("of_a")} AS a, {words("of_b")} AS b)), s ->
+                element_at(transform(array({same_first}), f ->
+                    element_at(transform(array({same_last}), l ->
+                        element_at(transform(array(struct({middle("a")} AS x, {middle("b")} AS y)), c ->
+                            if(abs(size(c.x) - size(c.y)) <= {edits}, {_within("c.x", "c.y", edits)}, false)
+                        ), 1)), 1)), 1)), 1)
+            """
+        )
+    )
 
 
 def distinct_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
@@ -166,6 +198,8 @@ def distinct_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame
             F.count(F.lit(1)).alias("copies"),
         )
     )
+    if least_chars <= EDITS:
+        raise ValueError(f"lines of {EDITS} code points or fewer cannot be cut into segments")
     numbered = grouped.select(
         F.monotonically_increasing_id().alias("id"), "*", F.length("line").alias("n")
     )
@@ -173,16 +207,37 @@ def distinct_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame
 
 
 def edit_links(lines: DataFrame, edits: int = EDITS) -> DataFrame:
-    """a and b, the ids of all pairs of distinct lines within ``edits`` edits."""
+    """a and b, the ids of all pairs of distinct lines within ``edits`` edits.
+
+    ``lines`` has id, line and n, its code points, which must be more than ``edits``. First the probes
+    that meet any segment of another line are found, then the segments that they meet; only then do
+    lines meet in pairs, and only where their letter counts are alike.
+    """
     index = lines.select("id", "n", F.explode(_index(edits)).alias("key"))
-    probes = lines.select("id", "n", F.explode(_probes(edits)).alias("key")).filter("key IS NOT NULL")
+    probes = lines.select("id", "n", F.explode(_probes(edits)).alias("key"))
     i, p = index.alias("i"), probes.alias("p")
-    meet = (F.col("i.key") == F.col("p.key")) & (F.col("i.id") != F.col("p.id"))
-    once = (F.col("p.n") > F.col("i.n")) | (F.col("p.id") > F.col("i.id"))
-    pairs = i.join(p, meet & once).select(F.col("i.id").alias("a"), F.col("p.id").alias("b")).distinct()
-    texts = lines.select("id", "line")
+    meet = (F.col("i.key") == F.col("p.key")) & _longer("p", "i", edits)
+    probes = staged(p.join(i, meet, "left_semi"), "line-probes")
+    index = staged(index.join(probes.select("key").distinct(), "key", "left_semi"), "line-index")
+    met = staged(index.select("id").unionByName(probes.select("id")).distinct(), "line-ids")
+    whole_texts = lines.join(bounded(met), "id").select("id", "line", *_profile())
+    whole_texts = staged(whole_texts, "line-texts")
+    letters = whole_texts.drop("line")
+    i, p = index.join(letters, "id").alias("i"), probes.join(letters, "id").alias("p")
+    pairs = i.join(p, meet & _alike("i", "p", edits))
+    pairs = pairs.select(F.col("i.id").alias("a"), F.col("p.id").alias("b")).distinct()
+    texts = whole_texts.select("id", "line")
     pairs = pairs.join(texts.toDF("a", "of_a"), "a").join(texts.toDF("b", "of_b"), "b")
-    return staged(verified(pairs, edits).select("a", "b"), "line-links")
+    links = staged(verified(pairs, edits).select("a", "b"), "line-links")
+    discard(probes, index, met, whole_texts)
+    return links
+
+
+def _longer(p: str, i: str, edits: int) -> Column:
+    """Another line, as long as ``i`` or longer by ``edits`` at most; equal lengths meet once."""
+    more = F.col(f"{p}.n") - F.col(f"{i}.n")
+    once = (more > 0) | (F.col(f"{p}.id") > F.col(f"{i}.id"))
+    return more.between(0, edits) & once
 
 
 def repeated_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
@@ -209,6 +264,7 @@ def repeated_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST
         )
     )
     classed = staged(classed.filter("copies > 1 OR links > 0"), "repeated")
+    discard(lines, links, labels)
     whole = classed.groupBy("class").agg(F.min("first").alias("first"), F.sum("copies").alias("copies"))
     return classed.select("digest", "class", "links").join(whole, "class")
 
@@ -249,19 +305,29 @@ def line_report(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CH
     return joined.select("e.doc_id", "e.n_lines", *counts, "p.first_doc_id")
 
 
-def without_repeats(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
+def without_repeats(
+    docs: DataFrame,
+    edits: int = EDITS,
+    least_chars: int = LEAST_CHARS,
+    least_words: int = LEAST_WORDS,
+) -> DataFrame:
     """The documents without lines that occurred before, in the columns they came with.
 
-    A line goes if it is not the first occurrence of its class. Documents of which no word is left
-    go as a whole; documents without repeated lines stay as they are, without words too. Rows
-    without an id are left alone, and rows that share an id lose the same line numbers.
+    A line goes if it is not the first occurrence of its class. A document that loses lines goes as a
+    whole when neither an eligible line nor ``least_words`` words are left; documents without
+    repeated lines stay as they are, without words too. Rows without an id are left alone, and rows
+    that share an id lose the same line numbers.
     """
     found = repeated_occurrences(docs, edits, least_chars).filter(~_is_first() & F.col("doc_id").isNotNull())
     removed = found.groupBy(F.col("doc_id").alias("_removed_id")).agg(
         F.collect_set("line_no").alias("_removed")
     )
+    removed = bounded(staged(removed, "removed"), 200_000)
     joined = docs.join(removed, F.col("doc_id").cast("long") == F.col("_removed_id"), "left")
     left = F.filter(_lines(F.col("text")), lambda line, i: ~F.array_contains(F.col("_removed"), i))
     text = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
     cut = joined.withColumn("text", text)
-    return cut.filter(F.col("_removed").isNull() | F.col("text").rlike(_WORD)).select(*docs.columns)
+    words = F.size(F.array_remove(F.split("text", r"[\x20\x09-\x0D]+", -1), ""))
+    line_left = F.exists(_lines(F.col("text")), lambda line: _eligible(line, least_chars))
+    stays = F.col("_removed").isNull() | line_left | (words >= least_words)
+    return cut.filter(stays).select(*docs.columns)
