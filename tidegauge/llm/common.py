@@ -75,13 +75,14 @@ def discard(*written: DataFrame) -> None:
         SharedFiles(df.sparkSession).delete(df._staged_at)
 
 
-def bounded(ids: DataFrame, most: int = 1_000_000) -> DataFrame:
-    """A written table of ids with a broadcast hint where it has ``most`` rows or fewer.
+def bounded(ids: DataFrame, most: int = 1_000_000, size: Column | None = None) -> DataFrame:
+    """A written table of ids with a broadcast hint where it holds ``most`` of them or fewer.
 
     It then finds its few rows in a large table without moving that; a longer one is joined by a
-    shuffle of both.
+    shuffle of both. ``size`` counts the ids of a row, one each by default.
     """
-    return F.broadcast(ids) if ids.count() <= most else ids
+    total = ids.agg(F.sum(F.lit(1) if size is None else size)).first()[0] or 0
+    return F.broadcast(ids) if total <= most else ids
 
 
 def slices(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:

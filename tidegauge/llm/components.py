@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import staged
+from tidegauge.llm.common import discard, staged
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -27,7 +27,11 @@ def components(links: DataFrame) -> DataFrame:
         met = labels.join(near, "id").select("id", "label", F.least("label", "near").alias("best"))
         ahead = labels.select(F.col("id").alias("best"), F.col("label").alias("ahead"))
         moved = met.join(ahead, "best").select("id", "label", F.least("best", "ahead").alias("next"))
-        moved = staged(moved, "labels")
-        labels = moved.select("id", F.col("next").alias("label"))
-        if moved.filter("next < label").isEmpty():
-            return labels.withColumnRenamed("label", "component")
+        moved, earlier = staged(moved, "labels"), labels
+        settled = moved.filter("next < label").isEmpty()
+        labels = moved.select("id", F.col("next").alias("component" if settled else "label"))
+        labels._staged_at = moved._staged_at
+        discard(earlier)
+        if settled:
+            discard(edges)
+            return labels

@@ -322,7 +322,7 @@ def without_repeats(
     removed = found.groupBy(F.col("doc_id").alias("_removed_id")).agg(
         F.collect_set("line_no").alias("_removed")
     )
-    removed = bounded(staged(removed, "removed"), 200_000)
+    removed = bounded(staged(removed, "removed"), size=1 + F.size("_removed"))
     joined = docs.join(removed, F.col("doc_id").cast("long") == F.col("_removed_id"), "left")
     left = F.filter(_lines(F.col("text")), lambda line, i: ~F.array_contains(F.col("_removed"), i))
     text = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import as_batch, slices, staged, text_of
+from tidegauge.llm.common import as_batch, bounded, discard, slices, staged, text_of
 from tidegauge.llm.components import components
 
 SHINGLE = 5
@@ -214,7 +214,9 @@ def _prefix_pairs(apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     x, y = met.filter("part != main").alias("x"), met.alias("y")
     apart_still = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.part") != F.col("y.part"))
     pairs = x.join(y, apart_still & _may_link("x", "y", percent))
-    return pairs.select(*_ordered("x.rep", "y.rep")).distinct()
+    pairs = staged(pairs.select(*_ordered("x.rep", "y.rep")).distinct(), "pairs")
+    discard(prefix)
+    return pairs
 
 
 def _may_link(x: str, y: str, percent: int) -> Column:
@@ -251,7 +253,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     sizes = dealt.groupBy("band").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = staged(dealt.join(sizes, "band"), "members")
     wanted = members.select("rep").distinct().join(classes.select("rep", "set_key"), "rep")
-    sets = staged(_sets_of(docs, wanted), "sets")
+    wanted = staged(wanted, "wanted")
+    sets = staged(_sets_of(docs, bounded(wanted)), "sets")
 
     support = members.groupBy("rep").agg(F.sum("size").alias("support"))
     centres = (
@@ -278,12 +281,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     )
     apart = open_members.join(unsettled, "band").select("rep", "n", "part").distinct()
     rest = _prefix_pairs(apart, sets, percent)
-    second = staged(_verified(rest, sets, percent), "links")
+    second, spent = staged(_verified(rest, sets, percent), "links"), []
     if not second.isEmpty():
-        labels = components(first.unionByName(second))
+        spent, labels = [labels], components(first.unionByName(second))
 
     parts = classes.join(labels, classes.rep == labels.id, "left")
-    parts = parts.select("set_key", F.coalesce("component", "rep").alias("component"))
+    parts = staged(parts.select("set_key", F.coalesce("component", "rep").alias("component")), "parts")
+    discard(classes, members, wanted, sets, first, rest, second, labels, *spent)
     found = rows.join(parts, "set_key", "left")
     component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component", "doc_id"))
     kept = F.col("doc_id").isNull() | (F.col("doc_id") == component)
@@ -294,4 +298,4 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     """One document of each group, the one with the smallest id, with all its columns."""
     dropped = near_duplicates(docs).filter("NOT kept").select(F.col("doc_id").alias("_dropped")).distinct()
     same = F.col("doc_id").cast("long") == F.col("_dropped")
-    return docs.join(dropped, same, "left_anti")
+    return docs.join(bounded(staged(dropped, "dropped")), same, "left_anti")

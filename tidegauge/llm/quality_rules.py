@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import SPACES, staged, text_of
+from tidegauge.llm.common import SPACES, bounded, staged, text_of
 
 # Fixed values of the base rules.
 SYMBOLS = "#*$%&|<>"
@@ -196,7 +196,7 @@ def judged(docs: DataFrame) -> DataFrame:
     verdicts; an empty table gives an empty result. ``docs`` needs text, lang and source.
     """
     values = _values(staged(measured(docs), "quality"))
-    limits = thresholds(sketches(values))
+    limits = bounded(staged(thresholds(sketches(values)), "limits"), 100_000)
     same = F.col("doc.lang").eqNullSafe(F.col("lang")) & F.col("doc.source").eqNullSafe(F.col("source"))
     joined = values.join(limits, same, "left")
     within = F.lit(True)
