@@ -8,7 +8,7 @@ Nothing here is labelled by hand. Positive examples are spans of the base patter
 written another way (without a plus, with other separators, with the signs spelled out); negative
 ones are the candidates of the same texts that no base span touches, and dates, times, prices and
 plain numbers put in the place of a base span. The sample is bounded: at most
-SAMPLE texts that hold a candidate, those with the smallest hashes.
+SAMPLE texts that may hold a candidate, those with the smallest hashes.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +45,7 @@ _SPELLED = re.compile(
 )
 _CUES = ("mail", "contact", "tel", "phone", "call", "fax", "card", "visa", "ip", "host", "server")
 
+FEATURES = 24
 Span = tuple[str, int, int]
 
 
@@ -241,15 +243,13 @@ class Detector:
         return base, sorted(base + added, key=lambda s: (order[s[0]], s[1], s[2]))
 
 
-def fit(rows: list[tuple[int, list[float]]], precision: float = PRECISION) -> Detector:
+def fit(x: np.ndarray, y: np.ndarray, precision: float = PRECISION) -> Detector:
     """Trees on four fifths of the examples; thresholds on the rest, by the precision they reach.
 
     A kind whose examples never reach the precision, or that has none, adds no spans.
     """
-    if not rows:
+    if not len(y):
         return Detector(boosting.BoostedTrees(), {k: 2.0 for k in KINDS})
-    y = np.array([label for label, _ in rows], np.float64)
-    x = np.array([values for _, values in rows], np.float64)
     held = np.arange(len(y)) % 5 == 0
     trees = boosting.fit(x[~held], y[~held])
     chance = trees.probability(x[held])
@@ -267,35 +267,35 @@ def fit(rows: list[tuple[int, list[float]]], precision: float = PRECISION) -> De
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> Detector:
-    """Fit on at most ``sample`` texts that hold a candidate or a base span."""
-    text = F.col("text")
-    wanted = docs.filter(text.rlike("[0-9]{2}|@")).select(F.xxhash64("text").alias("h"), "text")
+    """Fit on at most ``sample`` different texts that may hold a candidate or a base span.
+
+    Hashes are chosen first, so that only texts of the sample are described and sent on.
+    """
+    hashed = docs.select(F.xxhash64("text").alias("h"), "text")
+    may_hold = F.col("text").rlike("[0-9]{2}|@|[dD]ot|[(\\[]at[)\\]]")
+    hashes = hashed.filter(may_hold).select("h").distinct().orderBy("h").limit(sample)
+    highest = hashes.agg(F.max("h")).first()[0]
+    if highest is None:
+        return fit(np.zeros((0, FEATURES)), np.zeros(0))
+    wanted = hashed.filter(F.col("h") <= highest).filter(may_hold).dropDuplicates(["h"])
 
     def labelled(batches):
-        for batch in slices(batches):
-            hashes, labels, values = [], [], []
-            for h, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                rows = examples(t)
-                if rows:
-                    hashes.append(h)
-                    labels.append([label for label, _ in rows][:200])
-                    values.append([v for _, one in rows[:200] for v in one])
+        for batch in slices(batches, 256):
+            rows = [examples(t) for t in batch.column(1).to_pylist()]
+            flat = [np.array([v for _, v in r], np.float32).reshape(-1) for r in rows]
             yield as_batch(
                 ["h", "labels", "x"],
                 [
-                    pa.array(hashes, pa.int64()),
-                    pa.array(labels, pa.list_(pa.int32())),
-                    pa.array(values, pa.list_(pa.float64())),
+                    batch.column(0),
+                    pa.array([[label for label, _ in r] for r in rows], pa.list_(pa.int8())),
+                    pa.array(flat, pa.list_(pa.float32())),
                 ],
             )
 
-    rows = wanted.mapInArrow(labelled, "h long, labels array<int>, x array<double>")
-    chosen = rows.dropDuplicates(["h"]).orderBy("h").limit(sample).toArrow()
-    found = []
-    for labels, values in zip(chosen["labels"].to_pylist(), chosen["x"].to_pylist()):
-        size = len(values) // len(labels)
-        found += [(label, values[i * size : (i + 1) * size]) for i, label in enumerate(labels)]
-    return fit(found)
+    found = wanted.mapInArrow(labelled, "h long, labels array<byte>, x array<float>").toArrow()
+    found = found.sort_by("h")
+    labels, values = (pc.list_flatten(found[n]).to_numpy().astype(np.float64) for n in ("labels", "x"))
+    return fit(values.reshape(-1, FEATURES), labels)
 
 
 _SPANS = "array<struct<kind:string,first:int,last:int>>"
