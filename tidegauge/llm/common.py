@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import io
-import itertools
 import os
 import zipfile
 from collections.abc import Iterable, Iterator
@@ -16,9 +15,8 @@ import tidegauge
 from tidegauge.session import scratch
 from tidegauge.sources.files import SharedFiles
 
-# The white space that separates words, and the letters that are lower-cased.
+# Fixed value: the white space that separates words.
 SPACES = " \t\n\x0b\x0c\r"
-UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def ship(spark: SparkSession) -> None:
@@ -56,10 +54,6 @@ def id_remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % F.lit(modulus)
 
 
-def lower_ascii(text: Column) -> Column:
-    return F.translate(text, UPPER, UPPER.lower())
-
-
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Written once below the shared folder and read back, which also cuts the lineage."""
     path = scratch(df.sparkSession, label)
@@ -96,12 +90,6 @@ def as_batch(names: list[str], arrays: Iterable[pa.Array]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(arrays), names=names)
 
 
-def chunked(items: Iterable, size: int) -> Iterator[list]:
-    walker = iter(items)
-    while chunk := list(itertools.islice(walker, size)):
-        yield chunk
-
-
 def leading(counted: DataFrame, size: int, count: str = "n") -> DataFrame:
     """At most ``size`` rows of the highest counts, without sorting all rows into one task.
 
