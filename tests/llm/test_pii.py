@@ -104,3 +104,25 @@ def test_awkward_and_empty_tables(awkward, empty):
 def test_redaction():
     text = "a joe@x.org b 10.0.0.1"
     assert pii.redacted(text, pii.base_spans(text)) == "a <email> b <ip>"
+
+
+def test_numbers_side_by_side():
+    def parts(text):
+        return {(k, text[a:b]) for k, a, b in pii.candidates(text, pii.base_spans(text))}
+
+    cards = "7536784127813050 4845168114407329"
+    assert {("card", c) for c in cards.split()} <= parts(cards)
+    assert ("phone", "+1 (826) 555-4081") in parts("+1 (826) 555-4081 190.137.223.204")
+    phones = ", ".join(f"212-555-01{k}" for k in range(10, 30))
+    assert {("phone", p) for p in phones.split(", ")} <= parts(phones)
+    assert ("email", "joe AT example DOT com") in parts("joe AT example DOT com")
+    assert ("email", "joe at example.com") in parts("joe at example.com")
+
+
+def test_finds_numbers_side_by_side(make):
+    detector = pii.train(make(corpus()))
+    for text in ("pay 7536784127813050 4845168114407329 now", "call 212-555-0143, 212-555-0199 now"):
+        pieces = text.replace(",", "").split()[1:3]
+        assert [text[a:b] for _, a, b in detector.spans(text)[1]] == pieces
+    text = "+1 (826) 555-4081 190.137.223.204"
+    assert detector.spans(text) == ([("ip", 18, 33)], [("ip", 18, 33), ("phone", 0, 17)])

@@ -1,20 +1,27 @@
 """Personal data: base patterns, and boosted trees over candidates that the patterns leave out.
 
-Generators with high recall propose overlapping spans: runs of digits and separators, and addresses
-with the at sign or dots spelled out. Boosted trees judge each candidate by its format and its
-surroundings, and thresholds calibrated per kind pick the spans that are added to the base ones.
+Generators with high recall propose overlapping spans between the base ones: of each run of digits
+and separators, every part from one group of digits to another that has a kind's number of digits,
+and addresses with the at sign or dots spelled out. Boosted trees judge each candidate by its format
+and its surroundings, and thresholds calibrated per kind pick the spans that are added.
 
 Nothing here is labelled by hand. Positive examples are spans of the base patterns and copies of them
-written another way (without a plus, with other separators, with the signs spelled out); negative
-ones are the candidates of the same texts that no base span touches, and dates, times, prices and
-plain numbers put in the place of a base span. The sample is bounded: at most
-SAMPLE texts that may hold a candidate, those with the smallest hashes.
+written another way (without a plus, with other separators, with the signs spelled out) or beside
+another number; negative ones are candidates that overlap these without being the same, the
+candidates of the same texts between the base spans, and dates, times, prices and plain numbers put
+in the place of a base span. The sample is bounded: at most SAMPLE texts that may hold a candidate,
+those with the smallest hashes, and of each text at most EXAMPLES negative and a third as many
+positive examples, drawn by chance with the text as seed.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import batched
+from random import Random
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +36,7 @@ from tidegauge.llm.common import as_batch, slices, text_of
 KINDS = ("email", "ip", "card", "phone")
 
 SAMPLE = 5_000
+EXAMPLES = 24
 PRECISION = 0.98
 
 _AT = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -38,14 +46,18 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 
-_RUN = re.compile(r"[+(]?[0-9][0-9\x20().,/:_-]*[0-9]")
+_GROUP = re.compile(r"[0-9]+")
+_RUN = re.compile(r"[0-9](?:[0-9\x20().,/:_-]*[0-9])?")
+_BETWEEN = frozenset(" ().,/:_-")
 _SPELLED = re.compile(
-    r"(?:[ ]?(?:@|\[at\]|\(at\))[ ]?|[ ]at[ ])[A-Za-z0-9-]{1,63}"
-    r"(?:(?:\.|[ ]?(?:\[dot\]|\(dot\))[ ]?|[ ]dot[ ])[A-Za-z0-9-]{1,63})+"
+    r"(?:[ ]?(?:@|\[at\]|\(at\))[ ]?|[ ]at[ ])[a-z0-9-]{1,63}"
+    r"(?:(?:\.|[ ]?(?:\[dot\]|\(dot\))[ ]?|[ ]dot[ ])[a-z0-9-]{1,63})+",
+    re.ASCII | re.IGNORECASE,
 )
+MOST_DIGITS = 20
 _CUES = ("mail", "contact", "tel", "phone", "call", "fax", "card", "visa", "ip", "host", "server")
 
-FEATURES = 24
+FEATURES = 33
 Span = tuple[str, int, int]
 
 
@@ -94,29 +106,62 @@ def base_spans(text: str) -> list[Span]:
     return found
 
 
-def candidates(text: str) -> list[Span]:
-    """Overlapping spans that could be personal data, each for every kind that it could be."""
-    found: list[Span] = []
-    if "@" in text or "dot" in text or "[at]" in text or "(at)" in text:
-        for m in _SPELLED.finditer(text):
-            start = m.start()
-            while start > max(0, m.start() - 64) and text[start - 1] in _LOCAL:
-                start -= 1
-            if start < m.start():
-                found.append(("email", start, m.end()))
-    if _DIGIT.search(text) is None:
-        return found
-    for m in _RUN.finditer(text):
-        if not 7 <= m.end() - m.start() <= 48:
-            continue
-        digits = sum(c.isascii() and c.isdigit() for c in m.group())
-        if 4 <= digits <= 12 and sum(c in ".,:_" for c in m.group()) >= 3:
-            found.append(("ip", *m.span()))
-        if 12 <= digits <= 20:
-            found.append(("card", *m.span()))
-        if 7 <= digits <= 16:
-            found.append(("phone", *m.span()))
-    return found
+def _parts(text: str, low: int, high: int) -> Iterator[Span]:
+    """Parts of the runs of digits in ``text[low:high]``, from one group of digits to another."""
+    for run in _RUN.finditer(text, low, high):
+        groups = [m.span() for m in _GROUP.finditer(text, *run.span())]
+        for k, (first, _) in enumerate(groups):
+            digits = 0
+            for start, end in groups[k:]:
+                digits += end - start
+                if digits > MOST_DIGITS:
+                    break
+                if digits < 4:
+                    continue
+                begin = _opened(text, first, end, low)
+                if digits <= 12 and sum(c in ".,:_" for c in text[first:end]) >= 3:
+                    yield ("ip", begin, end)
+                if digits >= 12:
+                    yield ("card", begin, end)
+                if 7 <= digits <= 16:
+                    yield ("phone", begin, end)
+
+
+def _opened(text: str, first: int, end: int, low: int) -> int:
+    """Where a part begins with the plus and the parenthesis, if closed in it, that stand before it."""
+    for mark in "+(+" if text.find(")", first, end) > first else "+":
+        if first > low and text[first - 1] == mark:
+            first -= 1
+    return first
+
+
+def _proposed(text: str, base: list[Span]) -> Iterator[Span]:
+    low, has_digit = 0, _DIGIT.search(text) is not None
+    for start, end in [*sorted(s[1:] for s in base), (len(text), len(text))]:
+        for m in _SPELLED.finditer(text, low, start):
+            first = m.start()
+            while first > max(low, m.start() - 64) and text[first - 1] in _LOCAL:
+                first -= 1
+            if first < m.start():
+                yield ("email", first, m.end())
+        if has_digit:
+            yield from _parts(text, low, start)
+        low = max(low, end)
+
+
+def candidates(text: str, base: list[Span] = ()) -> list[Span]:
+    """Overlapping spans between ``base`` that could be personal data, for every kind that they could be."""
+    return list(_proposed(text, base))
+
+
+def _joined(text: str, place: int, step: int) -> str:
+    """At most three separators from ``place`` on, where a digit follows them; else nothing."""
+    at = place
+    while abs(at - place) < 3 and 0 <= at < len(text) and text[at] in _BETWEEN:
+        at += step
+    if not 0 <= at < len(text) or _DIGIT.match(text[at]) is None:
+        return ""
+    return text[min(at, place) : max(at, place) + 1].strip("0123456789")
 
 
 def features(text: str, span: Span) -> list[float]:
@@ -124,10 +169,12 @@ def features(text: str, span: Span) -> list[float]:
     kind, start, end = span
     piece, before, after = text[start:end], text[max(0, start - 24) : start], text[end : end + 1]
     digits = _digits(piece)
-    groups = [len(g) for g in re.findall(r"[0-9]+", piece)] or [0]
+    groups = [len(g) for g in _GROUP.findall(piece)] or [0]
     marks = [c for c in piece if not c.isalnum()]
-    octets = [int(g[:9]) for g in re.findall(r"[0-9]+", piece)][:8] or [999]
+    octets = [int(g[:9]) for g in _GROUP.findall(piece)][:8] or [999]
     cue = before.lower()
+    gaps = _GROUP.split(piece)[1:-1] or [""]
+    joins = _joined(text, start - 1, -1), _joined(text, end, 1)
     return [
         *(float(kind == k) for k in KINDS),
         len(piece),
@@ -150,6 +197,13 @@ def features(text: str, span: Span) -> list[float]:
         float(before[-1:] in "#$%&*" and before != ""),
         float(after in "#$%&*" and after != ""),
         float(sum(word in cue for word in _CUES)),
+        *(len(join) for join in joins),
+        *(float(join != "" and join in gaps) for join in joins),
+        max(map(len, gaps)),
+        piece.count(","),
+        piece.count(" "),
+        len(set(groups)),
+        piece.count("(") - piece.count(")"),
     ]
 
 
@@ -165,12 +219,14 @@ def _rewritten(text: str, span: Span) -> list[tuple[str, Span]]:
             f"{local} [at] {domain}",
             f"{local}(at){domain.replace('.', '(dot)')}",
             f"{local} @ {domain}",
+            f"{local} AT {domain.replace('.', ' DOT ')}",
+            f"{local}[At]{domain.replace('.', ' [Dot] ')}",
         ]
     elif kind == "phone":
         tail = digits[-10:]
         ways = [f"({tail[:3]}) {tail[3:6]}-{tail[6:]}", f"{tail[:3]}-{tail[3:6]}-{tail[6:]}", f"00{digits[:2]} {digits[2:]}"]
     elif kind == "card":
-        ways = [sep.join(digits[i : i + 4] for i in range(0, len(digits), 4)) for sep in (".", "/", "_")]
+        ways = [sep.join(digits[i : i + 4] for i in range(0, len(digits), 4)) for sep in ".-/_ "]
     else:
         ways = [piece.replace(".", sep) for sep in (":", "_")]
     left, right = text[max(0, start - 24) : start], text[end : end + 8]
@@ -207,17 +263,65 @@ def _touches(span: Span, others: list[Span]) -> bool:
     return any(span[1] < o[2] and o[1] < span[2] for o in others)
 
 
+_OTHER = str.maketrans("0123456789", "7418529630")
+
+
+def _beside(text: str, span: Span) -> list[tuple[str, Span]]:
+    """The span behind and before another number of its format."""
+    kind, start, end = span
+    if kind == "email":
+        return []
+    piece, left, right = text[start:end], text[max(0, start - 24) : start], text[end : end + 8]
+    other = piece.translate(_OTHER)
+    found = []
+    for sep in (" ", ", ", " / "):
+        found.append((left + other + sep + piece + right, (kind, len(left + other + sep), len(left + other + sep + piece))))
+        found.append((left + piece + sep + other + right, (kind, len(left), len(left + piece))))
+    return found
+
+
+def _window(text: str, span: Span) -> tuple[str, Span]:
+    """The span with a little text around it."""
+    kind, start, end = span
+    first = max(0, start - 24)
+    return text[first : end + 24], (kind, start - first, end - first)
+
+
+def _alone(text: str, span: Span) -> bool:
+    """Whether the span would be one of the base patterns if nothing stood around it."""
+    kind, start, end = span
+    return (kind, 0, end - start) in base_spans(text[start:end])
+
+
+def _wrong(text: str, span: Span) -> list[Span]:
+    """Candidates that overlap the span and are something else, and cards that fail the check."""
+
+    def fails(c: Span) -> bool:
+        return c[0] == "card" and not luhn(_digits(text[c[1] : c[2]]))
+
+    return [c for c in candidates(text) if c != span and (_touches(c, [span]) or fails(c))]
+
+
 def examples(text: str) -> list[tuple[int, list[float]]]:
     """Labelled feature rows of a text."""
     base = base_spans(text)
-    rows = []
+    good: list[tuple[str, Span]] = []
+    bad = [(text, c) for c in candidates(text, base) if not _alone(text, c)]
     for span in base:
-        rows.append((1, features(text, span)))
-        rows += [(1, features(t, s)) for t, s in _rewritten(text, span)]
+        written = _rewritten(text, span)
+        beside = [x for k, w in enumerate(written) for x in _beside(*w)[k % 3 * 2 :][:2]]
+        mine = [(text, span), *written, *_beside(text, span), *beside]
+        good += mine
+        near = [(_window(text, span) if t is text else (t, s)) for t, s in mine]
+        bad += [(t, c) for t, s in near for c in _wrong(t, s) if not _alone(t, c)]
         for decoy, place in _decoys(text, span):
             taken = [c for c in candidates(decoy) if _touches(c, [place])]
-            rows += [(0, features(decoy, c)) for c in taken if not luhn(_digits(decoy[c[1] : c[2]]))]
-    rows += [(0, features(text, c)) for c in candidates(text) if not _touches(c, base)]
+            bad += [(decoy, c) for c in taken if not luhn(_digits(decoy[c[1] : c[2]]))]
+    deal = Random(zlib.crc32(text.encode("utf-8", "replace")))
+    rows = []
+    for label, found, most in ((1, good, EXAMPLES // 3), (0, bad, EXAMPLES)):
+        chosen = found if len(found) <= most else deal.sample(found, most)
+        rows += [(label, features(t, s)) for t, s in chosen]
     return rows
 
 
@@ -231,14 +335,18 @@ class Detector:
     def spans(self, text: str) -> tuple[list[Span], list[Span]]:
         """Base spans, and all spans: the base ones and the candidates that were taken."""
         base = base_spans(text)
-        others = [c for c in candidates(text) if not _touches(c, base)]
-        if not others:
+        likely: list[tuple[float, Span]] = []
+        for part in batched(_proposed(text, base), 4096):
+            chance = self.trees.probability(np.array([features(text, c) for c in part]))
+            likely += [(p, c) for p, c in zip(chance.tolist(), part) if p >= self.thresholds[c[0]]]
+        if not likely:
             return base, base
-        chance = self.trees.probability(np.array([features(text, c) for c in others]))
-        added: list[Span] = []
-        for k in np.argsort(-chance, kind="stable").tolist():
-            if chance[k] >= self.thresholds[others[k][0]] and not _touches(others[k], added):
-                added.append(others[k])
+        added, taken = [], bytearray(len(text))
+        for _, span in sorted(likely, key=lambda x: (-x[0], x[1][1] - x[1][2])):
+            _, start, end = span
+            if taken.find(1, start, end) < 0:
+                taken[start:end] = b"\1" * (end - start)
+                added.append(span)
         order = {kind: n for n, kind in enumerate(KINDS)}
         return base, sorted(base + added, key=lambda s: (order[s[0]], s[1], s[2]))
 
@@ -251,7 +359,7 @@ def fit(x: np.ndarray, y: np.ndarray, precision: float = PRECISION) -> Detector:
     if not len(y):
         return Detector(boosting.BoostedTrees(), {k: 2.0 for k in KINDS})
     held = np.arange(len(y)) % 5 == 0
-    trees = boosting.fit(x[~held], y[~held])
+    trees = boosting.fit(x[~held], y[~held], rounds=60, depth=4)
     chance = trees.probability(x[held])
     thresholds = {}
     for number, kind in enumerate(KINDS):
@@ -272,7 +380,9 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Detector:
     Hashes are chosen first, so that only texts of the sample are described and sent on.
     """
     hashed = docs.select(F.xxhash64("text").alias("h"), "text")
-    may_hold = F.col("text").rlike("[0-9]{2}|@|[dD]ot|[(\\[]at[)\\]]")
+    may_hold = F.col("text").rlike(
+        "[0-9]{2}|[0-9][.][0-9]|@|(?i:[ (\\[]dot[ )\\]]|[(\\[]at[)\\]]| at [a-z0-9-]+[.][a-z0-9])"
+    )
     hashes = hashed.filter(may_hold).select("h").distinct().orderBy("h").limit(sample)
     highest = hashes.agg(F.max("h")).first()[0]
     if highest is None:
@@ -294,8 +404,8 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Detector:
 
     found = wanted.mapInArrow(labelled, "h long, labels array<byte>, x array<float>").toArrow()
     found = found.sort_by("h")
-    labels, values = (pc.list_flatten(found[n]).to_numpy().astype(np.float64) for n in ("labels", "x"))
-    return fit(values.reshape(-1, FEATURES), labels)
+    labels, values = (pc.list_flatten(found[n]).to_numpy() for n in ("labels", "x"))
+    return fit(values.reshape(-1, FEATURES), labels.astype(np.float64))
 
 
 _SPANS = "array<struct<kind:string,first:int,last:int>>"
