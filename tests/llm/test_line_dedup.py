@@ -98,3 +98,22 @@ def test_awkward_and_empty_tables(awkward, empty):
 def test_prose_lines_repeat_within_a_document(make):
     found = d.line_report(make([row(9, f"{PROSE}\n{PROSE}")])).first()
     assert (found.n_lines, found.n_repeated, found.n_removed, found.first_doc_id) == (2, 2, 1, 9)
+
+
+def test_short_lines_repeat_exactly(make):
+    docs = make([row(1, f"Les.\n{LINE}\n \nand"), row(2, "Les.\nLes!\nsome"), row(3, f"Les.\n{LINE}!")])
+    report = {r.doc_id: r for r in d.line_report(docs, exact_chars=1).collect()}
+    assert [report[k].n_lines for k in (1, 2, 3)] == [3, 3, 2]
+    assert [report[k].n_repeated for k in (1, 2, 3)] == [2, 1, 2]
+    assert [report[k].n_removed for k in (1, 2, 3)] == [0, 1, 2]
+    assert [report[k].n_links for k in (1, 2, 3)] == [1, 0, 1]
+    left = {r.doc_id: r.text for r in d.without_repeats(docs, least_words=1, exact_chars=1).collect()}
+    assert left == {1: f"Les.\n{LINE}\n \nand", 2: "Les!\nsome"}
+
+
+def test_query_counts_short_lines(spark, folder, make):
+    from tidegauge.llm.queries import register
+
+    make([row(1, "Les."), row(2, "Les.")]).write.parquet(f"{folder}/documents.parquet")
+    found = {r.doc_id: r for r in register.queries["op10_line_dedup"](spark, folder).collect()}
+    assert (found[1].n_lines, found[2].n_removed, found[2].first_doc_id) == (1, 1, 1)

@@ -1,6 +1,7 @@
 """Lines that repeat, exactly or within a few edits, across and within documents.
 
-Equal lines collapse first. The edit join then cuts every distinct line of LEAST_CHARS code points or
+Equal lines collapse first, from ``exact_chars`` code points on (LEAST_CHARS unless given; 1 takes every
+line with a word). The edit join then cuts every distinct line of LEAST_CHARS code points or
 more into EDITS + 1 segments: two lines within EDITS edits share a segment, at places that the
 lengths bound (an index of segments is probed with the few substrings that can match), and their
 letter counts are close, which is checked where two lines meet.
@@ -187,10 +188,10 @@ def verified(pairs: DataFrame, edits: int = EDITS) -> DataFrame:
     )
 
 
-def distinct_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
+def distinct_lines(docs: DataFrame, exact_chars: int = LEAST_CHARS) -> DataFrame:
     """id, digest, line, n (code points), first occurrence and copies of every distinct line."""
     grouped = (
-        occurrences(docs, least_chars)
+        occurrences(docs, exact_chars)
         .groupBy("digest")
         .agg(
             F.first("line").alias("line"),
@@ -198,8 +199,6 @@ def distinct_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame
             F.count(F.lit(1)).alias("copies"),
         )
     )
-    if least_chars <= EDITS:
-        raise ValueError(f"lines of {EDITS} code points or fewer cannot be cut into segments")
     numbered = grouped.select(
         F.monotonically_increasing_id().alias("id"), "*", F.length("line").alias("n")
     )
@@ -240,14 +239,18 @@ def _longer(p: str, i: str, edits: int) -> Column:
     return more.between(0, edits) & once
 
 
-def repeated_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
+def repeated_lines(
+    docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS, exact_chars: int | None = None
+) -> DataFrame:
     """Per distinct line whose class occurs more than once: digest, class, first, copies, links.
 
     A class joins lines over links; ``first`` is the class's occurrence with the smallest doc_id and
     line number, ``copies`` counts all its occurrences and ``links`` the line's links to other texts.
     """
-    lines = distinct_lines(docs, least_chars)
-    links = edit_links(lines, edits)
+    if least_chars <= edits:
+        raise ValueError(f"lines of {edits} code points or fewer cannot be cut into segments")
+    lines = distinct_lines(docs, least_chars if exact_chars is None else exact_chars)
+    links = edit_links(lines.filter(F.col("n") >= least_chars), edits)
     labels = components(links)
     ends = links.select(F.explode(F.array("a", "b")).alias("id"))
     counts = ends.groupBy("id").agg(F.count(F.lit(1)).alias("links"))
@@ -269,10 +272,12 @@ def repeated_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST
     return classed.select("digest", "class", "links").join(whole, "class")
 
 
-def repeated_occurrences(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
+def repeated_occurrences(
+    docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS, exact_chars: int | None = None
+) -> DataFrame:
     """doc_id, line_no, class, first (doc_id and line_no), copies and links of lines that repeat."""
-    repeated = staged(repeated_lines(docs, edits, least_chars), "repeated")
-    places = occurrences(docs, least_chars).drop("line")
+    repeated = staged(repeated_lines(docs, edits, least_chars, exact_chars), "repeated")
+    places = occurrences(docs, least_chars if exact_chars is None else exact_chars).drop("line")
     return places.join(repeated, "digest").drop("digest")
 
 
@@ -281,23 +286,26 @@ def _is_first() -> Column:
     return F.col("first").eqNullSafe(here)
 
 
-def line_report(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
+def line_report(
+    docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS, exact_chars: int | None = None
+) -> DataFrame:
     """One row per doc_id: n_lines, n_repeated, n_removed, n_links, first_doc_id.
 
-    ``n_lines`` counts eligible lines (LEAST_CHARS code points or more, with a word), ``n_repeated``
+    ``n_lines`` counts eligible lines (``exact_chars`` code points or more, with a word), ``n_repeated``
     those whose class occurs elsewhere too, ``n_removed`` those that are not their class's first
     occurrence, ``n_links`` sums links to other texts, and ``first_doc_id`` is the smallest document
     that holds a line of the same classes (null without one). Rows that share an id count as one
     document; null texts have no lines; an empty table gives an empty result.
     """
-    found = repeated_occurrences(docs, edits, least_chars)
+    found = repeated_occurrences(docs, edits, least_chars, exact_chars)
     per_doc = found.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_repeated"),
         F.sum(F.when(_is_first(), 0).otherwise(1)).alias("n_removed"),
         F.sum("links").alias("n_links"),
         F.min("first.doc_id").alias("first_doc_id"),
     )
-    lines = F.size(F.filter(_lines(text_of()), lambda line: _eligible(line, least_chars)))
+    least = least_chars if exact_chars is None else exact_chars
+    lines = F.size(F.filter(_lines(text_of()), lambda line: _eligible(line, least)))
     every = docs.groupBy(F.col("doc_id").cast("long").alias("doc_id"))
     every = every.agg(F.sum(lines).cast("long").alias("n_lines"))
     joined = every.alias("e").join(per_doc.alias("p"), F.col("e.doc_id").eqNullSafe(F.col("p.doc_id")), "left")
@@ -310,15 +318,16 @@ def without_repeats(
     edits: int = EDITS,
     least_chars: int = LEAST_CHARS,
     least_words: int = LEAST_WORDS,
+    exact_chars: int | None = None,
 ) -> DataFrame:
     """The documents without lines that occurred before, in the columns they came with.
 
     A line goes if it is not the first occurrence of its class. A document that loses lines goes as a
-    whole when neither an eligible line nor ``least_words`` words are left; documents without
+    whole when neither a line of ``least_chars`` nor ``least_words`` words are left; documents without
     repeated lines stay as they are, without words too. Rows without an id are left alone, and rows
     that share an id lose the same line numbers.
     """
-    found = repeated_occurrences(docs, edits, least_chars).filter(~_is_first() & F.col("doc_id").isNotNull())
+    found = repeated_occurrences(docs, edits, least_chars, exact_chars).filter(~_is_first() & F.col("doc_id").isNotNull())
     removed = found.groupBy(F.col("doc_id").alias("_removed_id")).agg(
         F.collect_set("line_no").alias("_removed")
     )

@@ -245,5 +245,5 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op10_line_dedup")
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Eligible, repeated, removed and linked lines per document."""
-    return line_dedup.line_report(documents(spark, sf_dir))
+    """Lines with a word, and repeated, removed and linked ones, per document."""
+    return line_dedup.line_report(documents(spark, sf_dir), exact_chars=1)
