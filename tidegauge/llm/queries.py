@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.llm import (
     decontaminate,
+    language_id,
     language_model,
     line_crf,
     line_dedup,
@@ -15,7 +16,9 @@ from tidegauge.llm import (
     packing,
     pii,
     quality_rules,
+    ranked_search,
     records,
+    spelling,
     token_counts,
 )
 from tidegauge.llm.common import documents, id_remainder
@@ -247,3 +250,50 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with a word, and repeated, removed and linked ones, per document."""
     return line_dedup.line_report(documents(spark, sf_dir), exact_chars=1)
+
+
+@register("op11_spelling_groups")
+def op11_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(documents(spark, sf_dir))
+
+
+_SEARCH_SQL = """
+    WITH d AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[0-9a-z\\x{80}-\\x{10FFFF}]+') AS w FROM documents),
+    b AS (
+        SELECT item_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[0-9a-z\\x{80}-\\x{10FFFF}]+') AS w FROM benchmark),
+    asked AS (SELECT item_id, term, count(*) AS q FROM b, unnest(w) AS u(term) GROUP BY ALL),
+    collection AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d WHERE len(w) > 0),
+    held AS (
+        SELECT doc_id, len(w)::BIGINT AS n, term, count(*) AS tf FROM d, unnest(w) AS u(term)
+        WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+    weights AS (
+        SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight
+        FROM held, collection GROUP BY term, n_docs),
+    gains AS (
+        SELECT doc_id, term, weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))) AS gain
+        FROM held JOIN weights USING (term), collection),
+    scores AS (
+        SELECT item_id, doc_id, sum(q * gain)::BIGINT AS score FROM asked JOIN gains USING (term) GROUP BY ALL)
+    SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+        SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+        FROM scores WHERE score > 0)
+    WHERE rank <= 10
+"""
+
+
+@register("op12_ranked_search", _SEARCH_SQL)
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    return ranked_search.ranked(documents(spark, sf_dir), benchmark)
+
+
+@register("op13_language_id")
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = documents(spark, sf_dir), id_remainder(F.col("doc_id"), 3) == 1
+    found = language_id.identified(docs, language_id.train(docs.filter(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
