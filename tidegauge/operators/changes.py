@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions.columns import col, cols, row_digest
+from tidegauge.sources.versions import CHANGE_TYPE, INSERT
 
 DELETED = "_deleted"
-CHANGE_TYPE = "_change_type"
 COMMIT_VERSION = "_commit_version"
-INSERT, DELETE = "insert", "delete"
+DELETE = "delete"
 UPDATE_BEFORE, UPDATE_AFTER = "update_preimage", "update_postimage"
 
 
@@ -49,20 +49,24 @@ def merge_latest(
     keys: list[str],
     sequence_by: list[str],
     ties_to_newest: bool = False,
+    images: bool = False,
 ) -> DataFrame:
     """Per key the row with the higher sequence of two tables that are unique by key.
 
     One join that reads each side once. Equal sequences go to the greater row digest, so the result
     does not depend on which side a row came from, or to ``newest`` if so asked; null keys count as
-    equal. Columns that one side
-    lacks are null in its rows.
+    equal. Without ``sequence_by`` the rows of ``newest`` win. Columns that one side lacks are null
+    in its rows.
+
+    With ``images`` the same join also gives what changed in ``target``: rows with a
+    ``_change_type`` as in ``change_feed``, beside the rows of the result, where it is null.
     """
     names = list(dict.fromkeys([*target.columns, *newest.columns]))
 
     def packed(df: DataFrame, side: str) -> DataFrame:
         whole = widened(df, names, newest if df is target else target)
         tie = [] if ties_to_newest else [row_digest(whole)]
-        order = F.struct(*cols(sequence_by), *tie).alias(f"{side}_order")
+        order = F.struct(*cols(sequence_by), *tie, F.lit(0)).alias(f"{side}_order")
         own = [col(k).alias(f"{side}_{i}") for i, k in enumerate(keys)]
         return whole.select(F.struct(*cols(names)).alias(side), order, *own)
 
@@ -72,9 +76,35 @@ def merge_latest(
     )
     both = packed(target, "_held").join(packed(newest, "_new"), match, "full_outer")
     held, new = F.col("_held_order"), F.col("_new_order")
-    stays = F.col("_new").isNull() | (held > new if ties_to_newest else held >= new)
-    chosen = F.when(F.col("_held").isNotNull() & stays, F.col("_held")).otherwise(F.col("_new"))
-    return both.select(chosen.alias("row")).select("row.*")
+    ahead = held > new if ties_to_newest or not sequence_by else held >= new
+    stays = F.col("_held").isNotNull() & (F.col("_new").isNull() | ahead)
+    chosen = F.when(stays, F.col("_held")).otherwise(F.col("_new"))
+    if not images:
+        return both.select(chosen.alias("row")).select("row.*")
+    rows = F.when(stays, F.array(_image("_held", None))).otherwise(
+        F.concat(F.array(_image("_new", None)), _images_of("_held", "_new", names, keys))
+    )
+    return both.select(F.explode(rows).alias("c")).select("c.row.*", F.col("c.kind").alias(CHANGE_TYPE))
+
+
+def _image(side: str, kind: str | None) -> Column:
+    return F.struct(F.col(side).alias("row"), F.lit(kind).cast("string").alias("kind"))
+
+
+def _images_of(old: str, new: str, names: list[str], keys: list[str]) -> Column:
+    """The change rows between two row structs of one key, either of which may be null."""
+    differs = reduce(
+        Column.__or__,
+        [~F.col(old)[n].eqNullSafe(F.col(new)[n]) for n in names if n not in keys],
+        F.lit(False),
+    )
+    both = F.array(_image(old, UPDATE_BEFORE), _image(new, UPDATE_AFTER))
+    return (
+        F.when(F.col(old).isNull(), F.array(_image(new, INSERT)))
+        .when(F.col(new).isNull(), F.array(_image(old, DELETE)))
+        .when(differs, both)
+        .otherwise(F.slice(both, 1, 0))
+    )
 
 
 def widened(df: DataFrame, names: list[str], other: DataFrame) -> DataFrame:
@@ -89,6 +119,7 @@ def apply_changes(
     keys: list[str],
     sequence_by: list[str],
     delete_when: Column | None = None,
+    images: bool = False,
 ) -> DataFrame:
     """Bring change rows into ``target`` by key and sequence, in any arrival order.
 
@@ -102,7 +133,7 @@ def apply_changes(
     newest = latest_per_key(marked, keys, sequence_by)
     if target is None:
         return newest
-    return merge_latest(target, newest, keys, sequence_by)
+    return merge_latest(target, newest, keys, sequence_by, images=images)
 
 
 def live_rows(target: DataFrame) -> DataFrame:
@@ -118,7 +149,6 @@ def change_feed(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFra
     """
     names = list(dict.fromkeys([*after.columns, *before.columns]))
     before, after = widened(before, names, after), widened(after, names, before)
-    values = [n for n in names if n not in keys]
 
     def packed(df: DataFrame, side: str) -> DataFrame:
         row = F.struct(*cols(names)).alias(side)
@@ -130,20 +160,7 @@ def change_feed(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFra
         [F.col(f"_k{i}_old").eqNullSafe(F.col(f"_k{i}_new")) for i in range(len(keys))],
     )
     both = old.join(new, match, "full_outer")
-    differs = reduce(
-        lambda a, b: a | b,
-        [~F.col("old")[n].eqNullSafe(F.col("new")[n]) for n in values],
-        F.lit(False),
-    )
-
-    def image(side: str, kind: str) -> Column:
-        return F.struct(F.col(side).alias("row"), F.lit(kind).alias("kind"))
-
-    images = (
-        F.when(F.col("old").isNull(), F.array(image("new", INSERT)))
-        .when(F.col("new").isNull(), F.array(image("old", DELETE)))
-        .when(differs, F.array(image("old", UPDATE_BEFORE), image("new", UPDATE_AFTER)))
-    )
+    images = _images_of("old", "new", names, keys)
     exploded = both.select(F.explode(images).alias("c"))
     return exploded.select(
         *[F.col("c.row")[n].alias(n) for n in names], F.col("c.kind").alias(CHANGE_TYPE)

@@ -46,10 +46,10 @@ def upsert_table(
     if table.latest() is None:
         return table.publish(rows, batches=batches)
     part, slices = _touched(table, updates)
-    if sequence_by is None:
+    if sequence_by is None and not table.track_changes:
         merged = upsert(part, rows, keys)
     else:
-        merged = merge_latest(part, rows, keys, sequence_by, ties_to_newest=True)
+        merged = merge_latest(part, rows, keys, sequence_by or [], True, images=table.track_changes)
     return table.publish(merged, replace=slices, batches=batches)
 
 
@@ -66,7 +66,7 @@ def apply_changes_table(
         first = apply_changes(None, changes, keys, sequence_by, delete_when)
         return table.publish(first, batches=batches)
     part, slices = _touched(table, changes)
-    merged = apply_changes(part, changes, keys, sequence_by, delete_when)
+    merged = apply_changes(part, changes, keys, sequence_by, delete_when, table.track_changes)
     return table.publish(merged, replace=slices, batches=batches)
 
 
@@ -84,15 +84,18 @@ def read_changes(
 ) -> DataFrame:
     """Changes of the versions past ``after``, with ``_commit_version``, under a change policy.
 
-    Slices that two versions share are not read.
+    Change rows stored with a commit are read as they are. For other commits the two versions are
+    compared; slices that they share are not read.
     """
     published = [v for v in table.versions() if v >= after and (upto is None or v <= upto)]
     if not published or published[0] != after:
         raise LookupError(f"version {after} is not published")
     feeds = []
     for older, newer in zip(published, published[1:]):
-        before, now = table.changed_folders(older, newer)
-        feeds.append(change_feed(before, now, keys).withColumn(COMMIT_VERSION, F.lit(newer)))
+        stored = table.stored_changes(newer)
+        if stored is None:
+            stored = change_feed(*table.changed_folders(older, newer), keys)
+        feeds.append(stored.withColumn(COMMIT_VERSION, F.lit(newer)))
     if not feeds:
         now = table.spark.createDataFrame([], table.version(after).schema)
         feeds = [change_feed(now, now, keys).withColumn(COMMIT_VERSION, F.lit(after))]

@@ -1,5 +1,5 @@
 """The registered queries, each beside the SQL that must give the same rows."""
 
-from tidegauge.queries import incremental, profiles, streams
+from tidegauge.queries import followers, incremental, profiles, settled, streams
 
-MODULES = (profiles, incremental, streams)
+MODULES = (profiles, incremental, streams, settled, followers)

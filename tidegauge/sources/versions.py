@@ -14,13 +14,18 @@ import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegauge.sources.files import SharedFiles
 
+#: The kind of a change row, and the kind that leaves all earlier rows as they are.
+CHANGE_TYPE, INSERT = "_change_type", "insert"
+
 _MARKER = "_published.json"
 _SLICE = "slice_id"
 _WHOLE = "all"
+_CHANGES = "changes"
 
 # What Spark names the folder of a null partition value.
 _NULL_SLICE = "__HIVE_DEFAULT_PARTITION__"
@@ -38,15 +43,28 @@ class Version:
     schema: T.StructType
     batches: dict[str, int]
     logic: str | None
+    changes: str | None = None
+    rewrites: bool = False
 
 
 class VersionedTable:
-    """``slice_by`` is a bigint expression over key columns, or None for an unsliced table."""
+    """``slice_by`` is a bigint expression over key columns, or None for an unsliced table.
+
+    With ``track_changes`` keyed writes also store the change rows of their commit, which readers of
+    the changes then take as they are.
+    """
 
-    def __init__(self, spark: SparkSession, path: str, slice_by: Column | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        slice_by: Column | None = None,
+        track_changes: bool = False,
+    ):
         self.spark = spark
         self.path = path.rstrip("/")
         self.slice_by = slice_by
+        self.track_changes = track_changes
         self.files = SharedFiles(spark)
 
     # -- reading ---------------------------------------------------------------------------
@@ -73,9 +91,9 @@ class VersionedTable:
         if not self.files.exists(self._marker(chosen)):
             raise LookupError(f"{self.path} has no version {chosen}")
         m = json.loads(self.files.read_text(self._marker(chosen)))
-        return Version(
-            chosen, m["folders"], T.StructType.fromJson(m["schema"]), m["batches"], m["logic"]
-        )
+        schema = T.StructType.fromJson(m["schema"])
+        stored = m.get("changes"), m.get("rewrites", False)
+        return Version(chosen, m["folders"], schema, m["batches"], m["logic"], *stored)
 
     def read(
         self, number: int | None = None, slices: list[int | None] | None = None
@@ -109,6 +127,16 @@ class VersionedTable:
             self._load(b.schema, {k: f for k, f in b.folders.items() if f not in shared}),
         )
 
+    def stored_changes(self, number: int) -> DataFrame | None:
+        """The change rows written with a version; None where a commit stored none."""
+        v = self.version(number)
+        if v.changes is None:
+            return None
+        schema = T.StructType([*v.schema.fields, T.StructField(CHANGE_TYPE, T.StringType())])
+        if not self.files.exists(f"{self.path}/{v.changes}"):
+            return self.spark.createDataFrame([], schema)  # nothing changed
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{v.changes}")
+
     def batch_of(self, query: str) -> int:
         """The last micro-batch a streaming query has published here; -1 before the first."""
         v = self.version()
@@ -131,31 +159,45 @@ class VersionedTable:
     ) -> int:
         """Write ``df`` as the next version and make it current.
 
-        With ``replace`` only those slices are rewritten and all others are kept.
+        With ``replace`` only those slices are rewritten and all others are kept. Where ``df`` has a
+        column ``_change_type``, rows with a type are the commit's change rows, written in the same
+        job into a folder of their own; only rows without one belong to the table.
         """
         last = self.version()
         number = max(self._numbers(), default=0) + 1
         name = f"v={number:06d}"
         target = f"{self.path}/{name}"
-        if self.slice_by is None:
+        with_changes = CHANGE_TYPE in df.columns
+        rewrites = False
+        place = F.lit(_WHOLE) if self.slice_by is None else self.slice_by.cast("bigint")
+        if with_changes:
+            is_change = F.col(CHANGE_TYPE).isNotNull()
+            place = F.when(is_change, F.lit(_CHANGES)).otherwise(place.cast("string"))
+        if self.slice_by is None and not with_changes:
             df.write.mode("overwrite").parquet(target)
             folders = {_WHOLE: name}
         else:
             # The hint lets the adaptive planner split large slices and merge small ones, so a
             # hot slice does not end in one task.
-            sliced = df.withColumn(_SLICE, self.slice_by.cast("bigint")).hint("rebalance", _SLICE)
+            sliced = df.withColumn(_SLICE, place).hint("rebalance", _SLICE)
             sliced.write.mode("overwrite").partitionBy(_SLICE).parquet(target)
             written = [n for n in self.files.children(target) if n.startswith(f"{_SLICE}=")]
             folders = {n.split("=", 1)[1]: f"{name}/{n}" for n in written}
+            if folders.pop(_CHANGES, None):
+                kinds = self.spark.read.schema(f"{CHANGE_TYPE} string").parquet(f"{target}/{_SLICE}={_CHANGES}")
+                rewrites = not kinds.filter(F.col(CHANGE_TYPE) != INSERT).isEmpty()
             if replace is not None and last is not None:
                 gone = {_slice_key(s) for s in replace}
                 kept = {k: f for k, f in last.folders.items() if k not in gone}
                 folders = {**kept, **folders}
+        stored = T.StructType([f for f in df.schema if not (with_changes and f.name == CHANGE_TYPE)])
         marker = {
             "folders": folders,
-            "schema": json.loads(_nullable(df.schema).json()),
+            "schema": json.loads(_nullable(stored).json()),
             "batches": {**(last.batches if last else {}), **(batches or {})},
             "logic": logic if logic is not None or last is None else last.logic,
+            "changes": f"{name}/{_SLICE}={_CHANGES}" if with_changes else None,
+            "rewrites": rewrites,
         }
         self.files.write_text(f"{target}/{_MARKER}", json.dumps(marker))
         return number

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidegauge.functions.columns import col, row_digest
 from tidegauge.streaming.sources import watermarked
 
-_BUCKET, _SALT = "_bucket", "_salt"
+BUCKET, SALT = "_bucket", "_salt"
 
 
 class UnboundedStateError(ValueError):
@@ -99,14 +99,14 @@ def interval_join(
     left, right = watermarked(left, left_time, left_delay), watermarked(right, right_time, right_delay)
 
     salt = F.pmod(row_digest(left), F.lit(salts)).cast("int")
-    left = left.withColumns({_BUCKET: _bucket_of(col(left_time), step), _SALT: salt})
+    left = left.withColumns({BUCKET: _bucket_of(col(left_time), step), SALT: salt})
     own = _bucket_of(col(right_time), step)
     right = right.withColumn("_right_bucket", F.explode(F.array(own, own - 1)))
     right = right.withColumn("_right_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     for key in keys:
         right = right.withColumnRenamed(key, f"right_{key}")
 
-    match = (F.col(_BUCKET) == F.col("_right_bucket")) & (F.col(_SALT) == F.col("_right_salt"))
+    match = (F.col(BUCKET) == F.col("_right_bucket")) & (F.col(SALT) == F.col("_right_salt"))
     for key in keys:
         match = match & (col(key) == col(f"right_{key}"))
     # The first two bounds are what Spark reads to let state go, the last one is exact.
@@ -116,7 +116,7 @@ def interval_join(
     match = match & (col(right_time) >= col(left_time)) & (col(right_time) <= col(left_time) + bound)
     if slack:
         match = match & (F.unix_micros(col(right_time)) - F.unix_micros(col(left_time)) <= micros)
-    return left.join(right, match, how).drop(_BUCKET, "_right_bucket", _SALT, "_right_salt")
+    return left.join(right, match, how).drop(BUCKET, "_right_bucket", SALT, "_right_salt")
 
 
 def _bucket_of(time: Column, step: int) -> Column:
