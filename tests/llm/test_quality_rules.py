@@ -2,6 +2,8 @@
 
 import re
 
+from pyspark.sql import functions as F
+
 from tests.llm.conftest import PROSE, row
 from tidegauge.llm import quality_rules as q
 
@@ -55,6 +57,17 @@ def test_verdicts(awkward):
     assert q.kept_documents(awkward).columns == awkward.columns
 
 
+def test_limits_differ_between_groups(spark):
+    """On real-looking data each group's own quantiles decide, and no constant."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    docs = docs.withColumn("source", F.substring("source", 1, 4))
+    values = q._values(q.measured(docs))
+    limits = q.thresholds(q.sketches(values)).toPandas()
+    for name in ("dup_lines", "repeats", "word_length"):
+        assert limits[f"high_{name}"].nunique() > 4, name
+    assert limits["low_word_length"].nunique() > 4
+
+
 def test_limits_follow_each_group(make):
     texts = [f"{PROSE} and a few more {k}" for k in range(150)]
     clean = [row(k, text, source="prose") for k, text in enumerate(texts)]

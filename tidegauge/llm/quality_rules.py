@@ -2,8 +2,9 @@
 
 A sketch is a histogram of integer values on a fixed grid (exact below 1024, ten significant bits
 above), so sketches of any two parts of the data merge by adding counts, and thresholds do not depend
-on how the rows were dealt out. Each (language, source) group sets its own limits from the quartiles
-of its sketch; a group with few documents takes those of its language, else those of all documents.
+on how the rows were dealt out. Each (language, source) group sets its own limits from the quantiles
+of its sketch over the documents that pass the base rules; a group with few documents takes those of
+its language, else those of all documents.
 
 Built-in functions only: nothing here runs Python on the executors.
 """
@@ -21,14 +22,14 @@ WINDOW = 8
 LEAST_WORDS = 20
 MOST_REPEATED = 30
 
-# A document fails beyond the quartile plus FENCE times the spread between the quartiles; the spread
-# counts as at least the value given here, in the metric's own unit.
-FENCE = 3
+# Per metric its formula, the hundredths of its lower and upper quantile, and the slack: a document
+# fails beyond a quantile by more than ``slack`` times the quantile's own distance from the median.
+# Where that is little, a twentieth of the quantile is allowed, and one unit where the quantile is 0.
 METRICS = {
-    "symbols": ("n_symbols * 1000 div n_words", 50),
-    "dup_lines": ("n_dup_lines * 1000 div greatest(n_lines, 1)", 100),
-    "repeats": ("n_repeat_words * 1000 div n_words", 100),
-    "word_length": ("word_chars * 100 div n_words", 50),
+    "symbols": ("n_symbols * 1000 div n_words", 1, 90, 1),
+    "dup_lines": ("n_dup_lines * 1000 div greatest(n_lines, 1)", 1, 98, 1),
+    "repeats": ("n_repeat_words * 1000 div n_words", 1, 98, 1),
+    "word_length": ("word_chars * 100 div n_words", 10, 90, 2),
 }
 LEAST_DOCS = 100
 
@@ -122,17 +123,20 @@ def _values(counts: DataFrame) -> DataFrame:
     )
     metrics = [
         F.expr(f"if(n_words > 0, {formula}, null)").alias(f"m_{name}")
-        for name, (formula, _) in METRICS.items()
+        for name, (formula, *_) in METRICS.items()
     ]
     return counts.select("*", failed.alias("base_failed"), *metrics)
 
 
 def sketches(values: DataFrame) -> DataFrame:
-    """lang, source, metric, bin and n: documents per grid value, the mergeable form."""
+    """lang, source, metric, bin and n: documents per grid value, the mergeable form.
+
+    Documents that fail the base rules go anyway and say nothing about the others.
+    """
     pairs = F.explode(
         F.array(*[F.struct(F.lit(m).alias("metric"), F.col(f"m_{m}").alias("v")) for m in METRICS])
     )
-    rows = values.select("doc.lang", "doc.source", pairs.alias("p"))
+    rows = values.filter("NOT base_failed").select("doc.lang", "doc.source", pairs.alias("p"))
     value = F.col("p.v")
     coarse = "shiftleft(shiftright(p.v, length(bin(p.v)) - 10), length(bin(p.v)) - 10)"
     grid = F.when(value < 1024, value).otherwise(F.expr(coarse))
@@ -155,16 +159,19 @@ def _limits(merged: DataFrame, keys: list[str]) -> DataFrame:
     def quantile(hundredth: int) -> Column:
         return F.min(F.when(100 * F.col("upto") >= hundredth * F.col("docs"), F.col("bin")))
 
-    quartiles = ranked.groupBy(*group).agg(
-        F.max("docs").alias("docs"), quantile(25).alias("q1"), quantile(75).alias("q3")
+    hundredths = sorted({50, *(h for _, low, high, _ in METRICS.values() for h in (low, high))})
+    quantiles = ranked.groupBy(*group).agg(
+        F.max("docs").alias("docs"), *[quantile(h).alias(f"q{h}") for h in hundredths]
     )
     per_key = []
-    for name, (_, spread) in METRICS.items():
+    for name, (_, low, high, slack) in METRICS.items():
         here = F.col("metric") == name
-        slack = FENCE * F.greatest(F.col("q3") - F.col("q1"), F.lit(spread))
-        per_key.append(F.max(F.when(here, F.col("q1") - slack)).alias(f"low_{name}"))
-        per_key.append(F.max(F.when(here, F.col("q3") + slack)).alias(f"high_{name}"))
-    return quartiles.groupBy(*keys).agg(F.max("docs").alias("docs"), *per_key)
+        below, above = F.col("q50") - F.col(f"q{low}"), F.col(f"q{high}") - F.col("q50")
+        lowest = F.col(f"q{low}") - F.greatest(slack * below, F.expr(f"q{low} div 20"), F.lit(1))
+        highest = F.col(f"q{high}") + F.greatest(slack * above, F.expr(f"q{high} div 20"), F.lit(1))
+        per_key.append(F.max(F.when(here, lowest)).alias(f"low_{name}"))
+        per_key.append(F.max(F.when(here, highest)).alias(f"high_{name}"))
+    return quantiles.groupBy(*keys).agg(F.max("docs").alias("docs"), *per_key)
 
 
 def thresholds(sketch: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
