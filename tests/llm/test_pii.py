@@ -126,3 +126,9 @@ def test_finds_numbers_side_by_side(make):
         assert [text[a:b] for _, a, b in detector.spans(text)[1]] == pieces
     text = "+1 (826) 555-4081 190.137.223.204"
     assert detector.spans(text) == ([("ip", 18, 33)], [("ip", 18, 33), ("phone", 0, 17)])
+
+
+def test_parts_of_addresses_may_have_any_number_of_zeros():
+    text = "0" * 5000 + ".1.2.3 x " + "9" * 5000 + ".1.2.3 " + "0" * 4400 + "7.0.0.1"
+    found = [text[a:b].lstrip("0") for kind, a, b in pii.base_spans(text) if kind == "ip"]
+    assert found == [".1.2.3", "7.0.0.1"]

@@ -93,7 +93,9 @@ def base_spans(text: str) -> list[Span]:
     if _DIGIT.search(text) is None:
         return found
     for m in _IP.finditer(text):
-        if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in m.group().split(".")):
+        # Leading zeros go first: a part may be longer than Python lets a number's text be.
+        parts = [part.lstrip("0") or "0" for part in m.group().split(".")]
+        if all(len(part) <= 3 and int(part) <= 255 for part in parts):
             found.append(("ip", *m.span()))
     for m in _CARD.finditer(text):
         if m.end() - m.start() <= 37:
