@@ -1,12 +1,13 @@
 """Packing: the schedule, whole coverage, the mixture, and odd tables."""
 
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pytest
 
-from tests.llm.conftest import row
+from tests.llm.conftest import PROSE, row
 from tidegauge.llm import packing
 from tidegauge.llm.encoding import load_tokenizer
 
@@ -89,3 +90,24 @@ def test_more_sources_than_queues(make):
 
 def test_empty_table(empty):
     assert packing.packed(empty, PATH).count() == 0
+
+
+def test_a_queue_that_is_seldom_served_takes_little_memory():
+    totals, shares = np.full(1024, 500_000), np.full(1024, 2.0)
+    totals[7], shares[7] = 100_000, 0.2
+    schedule = packing.Schedule(totals, shares)
+    tracemalloc.start()
+    found = schedule.pieces(7, 1000, 90_000)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert found[:, 1].sum() == 90_000 and peak < 200e6
+    assert (np.diff(found[:, 2]) > 0).all()
+
+
+def test_targets_have_queues_before_larger_sources(make):
+    rows = [row(k, PROSE, source=f"s{k % 5}") for k in range(50)] + [row(99, PROSE, source="rare")]
+    docs = make(rows)
+    numbers = packing._queues(docs, "source", 3, {"rare": 1.0, "none": 2.0})
+    assert numbers == {"rare": 1, "none": 2}
+    assert len(packing._queues(docs, "source", 4, {"rare": 1.0})) == 3
+    pieces, _ = check(packing.packed(docs, PATH, {"rare": 3.0, "s1": 1.0}, queues=3, power=0.5).collect(), docs.collect())

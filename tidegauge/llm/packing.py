@@ -26,6 +26,8 @@ from tidegauge.llm.encoding import Encoder, process_encoder
 WINDOW = 2048
 GRAIN = 64
 QUEUES = 1024
+#: Entries of a table of rounds and queues that are held at once.
+CELLS = 1 << 18
 
 _ENCODED = "part int, queue int, doc_id long, before long, n long, ids binary"
 _PIECES = (
@@ -49,7 +51,7 @@ class Schedule:
         self.window, self.grain = window, grain
         self.phase = grain * (np.arange(len(self.totals)) + 0.5) / max(len(self.totals), 1)
         left, now = self.totals.astype(np.float64), 0.0
-        self.times, self.served, self.rates = [0.0], [np.zeros(len(left))], []
+        times, served, rates = [0.0], [np.zeros(len(left))], []
         active = left > 0
         while active.any():
             rate = np.where(active, window * weights / weights[active].sum(), 0.0)
@@ -58,61 +60,66 @@ class Schedule:
             left = np.where(done, 0.0, left - rate * until)
             now += until
             active = active & ~done
-            self.rates.append(rate)
-            self.times.append(now)
-            self.served.append(self.totals - left)
+            rates.append(rate)
+            times.append(now)
+            served.append(self.totals - left)
+        self.times, self.served, self.rates = np.array(times), np.array(served), np.array(rates)
         self.rounds = int(np.ceil(now)) + 1
 
-    def given(self, rounds: np.ndarray) -> np.ndarray:
-        """Tokens served to each queue (columns) before each round (rows); never falls."""
+    def given(self, rounds: np.ndarray, queue: int | None = None) -> np.ndarray:
+        """Tokens served to each queue (columns) before each round (rows); never falls.
+
+        With ``queue`` the column of that one only.
+        """
         rounds = np.asarray(rounds, np.int64)
-        if not self.rates:
-            return np.zeros((len(rounds), len(self.totals)), np.int64)
-        epoch = np.clip(np.searchsorted(self.times, rounds, "right") - 1, 0, len(self.rates) - 1)
-        times, served, rates = np.array(self.times), np.array(self.served), np.array(self.rates)
-        exact = served[epoch] + rates[epoch] * (rounds - times[epoch])[:, None]
-        exact = np.minimum(exact, served[epoch + 1])
-        whole = np.floor((exact + self.phase) / self.grain).astype(np.int64) * self.grain
-        whole = np.minimum(whole, self.totals)
-        whole[rounds <= 0] = 0
-        whole[rounds >= self.rounds] = self.totals
-        return whole
-
-    def round_of(self, queue: int, token: int) -> int:
-        """The round in which this token of the queue is served."""
-        low, high = 0, self.rounds
-        guess = int(np.interp(token, [s[queue] for s in self.served], self.times))
-        for width in (4, 64, 4096):  # the guess is off by few rounds, unless a share is tiny
-            near_low, near_high = max(0, guess - width), min(self.rounds, guess + width)
-            at = self.given(np.array([near_low, near_high]))[:, queue]
-            if at[0] <= token < at[1]:
-                low, high = near_low, near_high
-                break
-        while high - low > 1:
+        pick = slice(None) if queue is None else slice(queue, queue + 1)
+        totals = self.totals[pick]
+        if not len(self.rates):
+            whole = np.zeros((len(rounds), len(totals)), np.int64)
+        else:
+            served, rates = self.served[:, pick], self.rates[:, pick]
+            epoch = np.clip(np.searchsorted(self.times, rounds, "right") - 1, 0, len(rates) - 1)
+            exact = served[epoch] + rates[epoch] * (rounds - self.times[epoch])[:, None]
+            exact = np.minimum(exact, served[epoch + 1])
+            whole = np.floor((exact + self.phase[pick]) / self.grain).astype(np.int64) * self.grain
+            whole = np.minimum(whole, totals)
+            whole[rounds <= 0] = 0
+            whole[rounds >= self.rounds] = totals
+        return whole if queue is None else whole[:, 0]
+
+    def rounds_of(self, queue: int, tokens: np.ndarray) -> np.ndarray:
+        """The rounds in which these tokens of the queue are served, all by one search in halves."""
+        low = np.zeros(len(tokens), np.int64)
+        high = np.full(len(tokens), self.rounds, np.int64)
+        while (high - low > 1).any():
             middle = (low + high) // 2
-            if self.given(np.array([middle]))[0, queue] <= token:
-                low = middle
-            else:
-                high = middle
+            before = self.given(middle, queue) <= tokens
+            low, high = np.where(before, middle, low), np.where(before, high, middle)
         return low
 
+    def _ahead(self, queue: int, rounds: np.ndarray) -> np.ndarray:
+        """Tokens of all queues that come before the queue's own in each round, a few rounds at a time."""
+        ahead = np.zeros(len(rounds), np.int64)
+        step = max(1, CELLS // max(len(self.totals), 1))
+        for start in range(0, len(rounds), step):
+            here = rounds[start : start + step]
+            now, then = self.given(here), self.given(here + 1)[:, :queue]
+            ahead[start : start + step] = now[:, queue:].sum(axis=1) + then.sum(axis=1)
+        return ahead
+
     def pieces(self, queue: int, first: int, n: int) -> np.ndarray:
-        """Rows (start, length, position) that place tokens first..first+n of a queue, in order."""
+        """Rows (start, length, position) that place tokens first..first+n of a queue, in order.
+
+        Only rounds in which the queue is served are looked at, one for each grain at most, so the
+        work does not depend on how seldom that is.
+        """
         if n == 0:
             return np.zeros((0, 3), np.int64)
-        begin = self.round_of(queue, first)
-        rate = max(r[queue] for r in self.rates)
-        span, table = 2 + int(n / rate), None
-        while table is None or table[-1, queue] < first + n:
-            stop = min(begin + span, self.rounds)
-            table = self.given(np.arange(begin, stop + 1))
-            span *= 2
-        mine = table[:, queue]
-        ahead = table.sum(axis=1)[:-1] + np.diff(table[:, :queue], axis=0).sum(axis=1)
-        low = np.maximum(mine[:-1], first)
-        high = np.minimum(mine[1:], first + n)
-        used = high > low
-        low, high, base = low[used], high[used], (ahead - mine[:-1])[used]
+        grains = np.arange(first // self.grain * self.grain, first + n, self.grain)
+        rounds = np.unique(self.rounds_of(queue, np.maximum(grains, first)))
+        mine, after = self.given(rounds, queue), self.given(rounds + 1, queue)
+        low, high = np.maximum(mine, first), np.minimum(after, first + n)
+        base = self._ahead(queue, rounds) - mine
         # Cut where a window ends.
         position = base + low
         cuts = (position + high - low - 1) // self.window - position // self.window
@@ -148,11 +155,17 @@ class Schedule:
         return rows[np.lexsort((rows[:, 1], rows[:, 0]))]
 
 
-def _queues(docs: DataFrame, source: str, limit: int) -> dict[str | None, int]:
-    """Queue numbers of the ``limit`` - 1 sources with most documents; all others share queue 0."""
+def _queues(docs: DataFrame, source: str, limit: int, targets=()) -> dict[str | None, int]:
+    """Queue numbers: sources that ``targets`` names, then those with most documents.
+
+    There are ``limit`` queues, or one more than ``targets`` has names; all others share queue 0.
+    """
     sizes = docs.groupBy(F.col(source).cast("string").alias("source")).count()
-    leading = sizes.orderBy(F.desc("count"), "source").limit(limit - 1).collect()
-    return {row.source: k for k, row in enumerate(leading, 1)}
+    leading = sizes.orderBy(F.desc("count"), "source").limit(limit - 1 + len(targets)).collect()
+    named = [name for name in targets]
+    others = [row.source for row in leading if row.source not in targets]
+    names = named + others[: max(0, limit - 1 - len(named))]
+    return {name: k for k, name in enumerate(names, 1)}
 
 
 def encoded(
@@ -199,17 +212,18 @@ def packed(
     grain: int = GRAIN,
     queues: int = QUEUES,
     source: str = "source",
+    power: float = 1.0,
 ) -> DataFrame:
     """One row per piece: where a stretch of a document's tokens lies in which window.
 
-    ``targets`` are weights per source; without them each source has its share of all tokens. At
-    most ``queues`` queues exist: the sources with most documents have one each and the rest share one,
-    to which weights of sources without a queue of their own add up. Sources that ``targets`` does
-    not name get their natural share. Null texts are empty and still carry ``end_id``; a null source
+    ``targets`` are weights per source. Sources that they do not name weigh their tokens to the
+    ``power``: 1 gives each its share of all tokens, less lifts small sources as long as they last.
+    About ``queues`` queues exist: sources with a target have one each, then those with most documents,
+    and the rest share one. Null texts are empty and still carry ``end_id``; a null source
     is a source; repeated rows are packed once each; an empty table gives no pieces. Queues hold
     documents in the order they were read.
     """
-    numbers = _queues(docs, source, queues)
+    numbers = _queues(docs, source, queues, targets or {})
     table = staged(encoded(docs, tokenizer_path, numbers, end_id, source), "encoded")
     width = Encoder(tokenizer_path, 1).width
     totals = table.groupBy("queue", "part").agg(F.sum("n").alias("tokens"))
@@ -220,7 +234,7 @@ def packed(
     size = len(numbers) + 1
     per_queue = {r.queue: r.tokens for r in totals.groupBy("queue").agg(F.sum("tokens").alias("tokens")).collect()}
     tokens = [per_queue.get(k, 0) for k in range(size)]
-    schedule = Schedule(tokens, _weights(tokens, numbers, targets), window, grain)
+    schedule = Schedule(tokens, _weights(tokens, numbers, targets, power), window, grain)
 
     def place(batches):
         for batch in slices(batches, 1024):
@@ -255,15 +269,11 @@ def packed(
     return located.mapInArrow(place, _PIECES)
 
 
-def _weights(tokens, numbers, targets) -> list[float]:
-    if not targets:
-        return [float(t) for t in tokens]
-    whole, given = float(sum(tokens)) or 1.0, float(sum(targets.values()))
-    weights = [t / whole for t in tokens]
-    for name, queue in numbers.items():
-        if name in targets:
-            weights[queue] = targets[name] / given
-    rest = [w for name, w in targets.items() if name not in numbers]
-    if rest:
-        weights[0] = sum(rest) / given
+def _weights(tokens, numbers, targets, power: float = 1.0) -> list[float]:
+    raised = [float(t) ** power if t else 0.0 for t in tokens]
+    whole = sum(raised) or 1.0
+    weights = [r / whole for r in raised]
+    given = float(sum((targets or {}).values()))
+    for name, weight in (targets or {}).items():
+        weights[numbers[name]] = weight / given
     return weights
