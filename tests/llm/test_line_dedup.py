@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import PROSE, row
 from tidegauge.llm import line_dedup as d
@@ -117,3 +118,11 @@ def test_query_counts_short_lines(spark, folder, make):
     make([row(1, "Les."), row(2, "Les.")]).write.parquet(f"{folder}/documents.parquet")
     found = {r.doc_id: r for r in register.queries["op10_line_dedup"](spark, folder).collect()}
     assert (found[1].n_lines, found[2].n_removed, found[2].first_doc_id) == (1, 1, 1)
+
+
+def test_columns_with_the_names_of_helpers(make):
+    docs = make([row(1, "a line that is long enough to count as one"), row(2, "a line that is long enough to count as one\nand one more line of its own, as long")])
+    docs = docs.withColumns({c: F.lit("x") for c in ("_removed", "_removed_id", "removed", "id")})
+    left = d.without_repeats(docs)
+    assert left.columns == docs.columns
+    assert sorted((r.doc_id, r.text.count("\n"), r.removed) for r in left.collect()) == [(1, 0, "x"), (2, 0, "x")]

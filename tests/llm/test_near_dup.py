@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import PROSE, row
 from tidegauge.llm import near_dup
@@ -136,3 +137,19 @@ def test_prose_is_not_linked_with_itself_cut_short(make):
     docs = make([row(1, PROSE), row(2, " ".join(words[:10])), row(3, PROSE.upper())])
     found = {r.doc_id: r.component_id for r in near_dup.near_duplicates(docs).collect()}
     assert found == {1: 1, 2: 2, 3: 1}
+
+
+def test_texts_that_share_an_id_keep_their_links(make):
+    other = " ".join(f"word{k}" for k in range(40))
+    rows = [row(1, PROSE * 3), row(1, other), row(5, PROSE * 3 + " more"), row(6, other + " more")]
+    found = sorted((r.doc_id, r.component_id) for r in near_dup.near_duplicates(make(rows)).collect())
+    assert found == [(1, 1), (1, 1), (5, 1), (6, 1)]
+
+
+def test_links_by_other_texts_and_clashing_names(make):
+    docs = make([row(1, "kept scrap"), row(2, "another one"), row(3, "alone"), row(None, "alone")])
+    docs = docs.withColumns({c: F.lit("x") for c in ("_dropped", "dropped", "id", "_removed", "removed", "text2")})
+    texts = make([row(1, PROSE * 3), row(2, PROSE * 3 + " more"), row(9, PROSE * 3)])
+    left = near_dup.deduplicated(docs, texts)
+    assert left.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text) for r in left.collect()) == [(0, "alone"), (1, "kept scrap"), (3, "alone")]

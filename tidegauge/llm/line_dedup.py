@@ -328,15 +328,15 @@ def without_repeats(
     that share an id lose the same line numbers.
     """
     found = repeated_occurrences(docs, edits, least_chars, exact_chars).filter(~_is_first() & F.col("doc_id").isNotNull())
-    removed = found.groupBy(F.col("doc_id").alias("_removed_id")).agg(
-        F.collect_set("line_no").alias("_removed")
-    )
-    removed = bounded(staged(removed, "removed"), size=1 + F.size("_removed"))
-    joined = docs.join(removed, F.col("doc_id").cast("long") == F.col("_removed_id"), "left")
-    left = F.filter(_lines(F.col("text")), lambda line, i: ~F.array_contains(F.col("_removed"), i))
-    text = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
-    cut = joined.withColumn("text", text)
+    removed = found.groupBy(F.col("doc_id").alias("id")).agg(F.collect_set("line_no").alias("removed"))
+    removed = bounded(staged(removed, "removed"), size=1 + F.size("removed"))
+    rows = docs.select(F.struct("*").alias("doc"))
+    joined = rows.join(removed, F.col("doc.doc_id").cast("long") == F.col("id"), "left")
+    left = F.filter(_lines(F.col("doc.text")), lambda line, i: ~F.array_contains(F.col("removed"), i))
+    text = F.when(F.col("removed").isNull(), F.col("doc.text")).otherwise(F.array_join(left, "\n"))
+    cut = joined.select("doc", "removed", text.alias("text"))
     words = F.size(F.array_remove(F.split("text", r"[\x20\x09-\x0D]+", -1), ""))
     line_left = F.exists(_lines(F.col("text")), lambda line: _eligible(line, least_chars))
-    stays = F.col("_removed").isNull() | line_left | (words >= least_words)
-    return cut.filter(stays).select(*docs.columns)
+    stays = F.col("removed").isNull() | line_left | (words >= least_words)
+    columns = [F.col("text") if c == "text" else F.col("doc")[c].alias(c) for c in docs.columns]
+    return cut.filter(stays).select(*columns)

@@ -150,7 +150,7 @@ def signed(docs: DataFrame) -> DataFrame:
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """rep, its shingles and their parity sketch, for the classes in ``wanted`` (rep, set_key)."""
+    """rep, its shingles and their parity sketch, for the classes in ``wanted`` (rep, doc, set_key)."""
 
     def hashed(batches):
         hashes, _ = _process_tables()
@@ -167,8 +167,9 @@ def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 ],
             )
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), text_of().alias("text"))
-    found = texts.join(wanted, "rep").select("rep", "text", "set_key").mapInArrow(hashed, _SETS)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), text_of().alias("text"))
+    # Several texts may have one id; only the one with the class's key is taken.
+    found = texts.join(wanted, "doc").select("rep", "text", "set_key").mapInArrow(hashed, _SETS)
     return found.dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "rep")
 
 
@@ -243,16 +244,15 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """
     rows = staged(signed(docs), "signed")
     named = rows.filter("set_key IS NOT NULL AND doc_id IS NOT NULL")
-    classes = staged(
-        named.groupBy("set_key").agg(
-            F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
-        ),
-        "classes",
+    equal = named.groupBy("set_key").agg(
+        F.min("doc_id").alias("doc"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
     )
+    # Classes have numbers of their own: two texts may share an id.
+    classes = staged(equal.withColumn("rep", F.monotonically_increasing_id()), "classes")
     dealt = classes.select("rep", "n", F.explode("bands").alias("band"))
     sizes = dealt.groupBy("band").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = staged(dealt.join(sizes, "band"), "members")
-    wanted = members.select("rep").distinct().join(classes.select("rep", "set_key"), "rep")
+    wanted = members.select("rep").distinct().join(classes.select("rep", "doc", "set_key"), "rep")
     wanted = staged(wanted, "wanted")
     sets = staged(_sets_of(docs, bounded(wanted)), "sets")
 
@@ -285,8 +285,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     if not second.isEmpty():
         spent, labels = [labels], components(first.unionByName(second))
 
-    parts = classes.join(labels, classes.rep == labels.id, "left")
-    parts = staged(parts.select("set_key", F.coalesce("component", "rep").alias("component")), "parts")
+    leads = labels.join(classes.select(F.col("rep").alias("id"), "doc"), "id")
+    leads = leads.groupBy("component").agg(F.min("doc").alias("lead"))
+    led = labels.join(leads, "component").select("id", "lead")
+    parts = classes.join(led, classes.rep == led.id, "left")
+    parts = staged(parts.select("set_key", F.coalesce("lead", "doc").alias("component")), "parts")
     discard(classes, members, wanted, sets, first, rest, second, labels, *spent)
     found = rows.join(parts, "set_key", "left")
     component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component", "doc_id"))
@@ -294,8 +297,20 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     return found.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"))
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
-    """One document of each group, the one with the smallest id, with all its columns."""
-    dropped = near_duplicates(docs).filter("NOT kept").select(F.col("doc_id").alias("_dropped")).distinct()
-    same = F.col("doc_id").cast("long") == F.col("_dropped")
-    return docs.join(bounded(staged(dropped, "dropped")), same, "left_anti")
+def deduplicated(docs: DataFrame, texts: DataFrame | None = None) -> DataFrame:
+    """One document of each group, the one with the smallest id, with all its columns.
+
+    Documents are linked by their own text, or by the one that ``texts`` (doc_id, text) has for their
+    id, such as the text before lines were taken out; documents that it does not have are left alone.
+    Rows without an id stay, and so do all rows of an id that stays; an empty table stays empty.
+    """
+    if texts is None:
+        linked = docs
+    else:
+        ids = docs.select(F.col("doc_id").cast("long").alias("id")).distinct()
+        ids = bounded(staged(ids, "ids"))
+        linked = texts.join(ids, F.col("doc_id").cast("long") == F.col("id"), "left_semi")
+    dropped = near_duplicates(linked).filter("NOT kept").select(F.col("doc_id").alias("dropped")).distinct()
+    rows = docs.select(F.struct("*").alias("doc"))
+    same = F.col("doc.doc_id").cast("long") == F.col("dropped")
+    return rows.join(bounded(staged(dropped, "dropped")), same, "left_anti").select("doc.*")
