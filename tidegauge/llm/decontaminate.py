@@ -1,8 +1,8 @@
 """Documents that hold passages of benchmark items, by word n-grams.
 
 The n-grams of all items go to every task as a hash set, in blocks of a bounded number of n-grams;
-each block is one more pass over a text within the same task, so nothing is shuffled however many
-blocks there are. A text's words are looked up in the block's vocabulary; where enough known words
+each block is one more pass over the texts, written before the next one, so a task holds one block
+however many there are and nothing is shuffled. A text's words are looked up in the block's vocabulary; where enough known words
 follow each other, their n-gram hash is looked up, and a hit is confirmed on the words themselves.
 """
 
@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import as_batch, slices
+from tidegauge.llm.common import as_batch, discard, slices, staged
 
 SIZE = 10
 
@@ -133,7 +133,11 @@ def scanned(
         share = F.pmod(F.xxhash64("words"), F.lit(blocks))
         for k in range(blocks):
             rows = windows.filter(share == k).collect()
-            found = _pass(found, [(r.item_id, bytes(r.words)) for r in rows])
+            earlier, found = found, _pass(found, [(r.item_id, bytes(r.words)) for r in rows])
+            if k < blocks - 1:
+                found = staged(found, "scanned")
+            if hasattr(earlier, "_staged_at") and k < blocks - 1:
+                discard(earlier)
     finally:
         windows.unpersist()
     return found

@@ -50,30 +50,31 @@ def op2_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _METRICS_SQL = {
-    "symbols": ("n_symbols * 1000 // n_words", 50),
-    "dup_lines": ("n_dup_lines * 1000 // greatest(n_lines, 1)", 100),
-    "repeats": ("n_repeat_words * 1000 // n_words", 100),
-    "word_length": ("word_chars * 100 // n_words", 50),
+    "symbols": ("n_symbols * 1000 // n_words", 1, 90, 1),
+    "dup_lines": ("n_dup_lines * 1000 // greatest(n_lines, 1)", 1, 98, 1),
+    "repeats": ("n_repeat_words * 1000 // n_words", 1, 98, 1),
+    "word_length": ("word_chars * 100 // n_words", 10, 90, 2),
 }
 
 
 def _quality_sql() -> str:
     rows = " UNION ALL ".join(
-        f"SELECT lang, source, '{m}' AS metric, {value} AS v, {spread} AS spread FROM counts WHERE n_words > 0"
-        for m, (value, spread) in _METRICS_SQL.items()
+        f"""SELECT lang, source, '{m}' AS metric, {value} AS v, {low} AS lo, {high} AS hi, {slack} AS slack
+            FROM counts WHERE n_words >= 20 AND 100 * n_repeat_words <= 30 * n_words"""
+        for m, (value, low, high, slack) in _METRICS_SQL.items()
     )
     def level(name, keys):
         group = ", ".join([*keys, "metric"])
         return f"""{name} AS (
-            SELECT {group}, max(docs) AS docs,
-                min(bin) FILTER (100 * upto >= 25 * docs) - 3 * greatest(min(bin) FILTER (100 * upto >= 75 * docs)
-                    - min(bin) FILTER (100 * upto >= 25 * docs), min(spread)) AS low,
-                min(bin) FILTER (100 * upto >= 75 * docs) + 3 * greatest(min(bin) FILTER (100 * upto >= 75 * docs)
-                    - min(bin) FILTER (100 * upto >= 25 * docs), min(spread)) AS high
-            FROM (SELECT {group}, bin, spread,
-                    count(*) OVER (PARTITION BY {group} ORDER BY bin) AS upto,
-                    count(*) OVER (PARTITION BY {group}) AS docs FROM grid)
-            GROUP BY {group})"""
+            SELECT {group}, docs, ql - greatest(slack * (qm - ql), ql // 20, 1) AS low,
+                qh + greatest(slack * (qh - qm), qh // 20, 1) AS high
+            FROM (
+                SELECT {group}, max(docs) AS docs, max(slack) AS slack, min(bin) FILTER (100 * upto >= 50 * docs) AS qm,
+                    min(bin) FILTER (100 * upto >= lo * docs) AS ql, min(bin) FILTER (100 * upto >= hi * docs) AS qh
+                FROM (SELECT {group}, bin, lo, hi, slack,
+                        count(*) OVER (PARTITION BY {group} ORDER BY bin) AS upto,
+                        count(*) OVER (PARTITION BY {group}) AS docs FROM grid)
+                GROUP BY {group}))"""
     return f"""
     WITH words AS (
         SELECT doc_id, lang, source, coalesce(text, '') AS t,
@@ -98,7 +99,7 @@ def _quality_sql() -> str:
             coalesce(lines.n, 0) AS n_lines
         FROM words LEFT JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)),
     grid AS (
-        SELECT lang, source, metric, spread,
+        SELECT lang, source, metric, lo, hi, slack,
             CASE WHEN v < 1024 THEN v ELSE (v >> (length(bin(v)) - 10)) << (length(bin(v)) - 10) END AS bin
         FROM ({rows})),
     {level('own', ['lang', 'source'])},
@@ -142,8 +143,9 @@ def op4_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op5_packing")
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources weigh their tokens to the power of 0.7, so small ones come up to large ones at first."""
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
-    return packing.packed(documents(spark, sf_dir), tokenizer).drop("ids")
+    return packing.packed(documents(spark, sf_dir), tokenizer, power=0.7).drop("ids")
 
 
 @register("op6_personal_data")

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import as_batch, leading, slices, text_of
+from tidegauge.llm.common import as_batch, discard, leading, slices, staged, text_of
 from tidegauge.llm.encoding import Counter, SpacedWords, load_tokenizer
 
 _COUNTERS: dict[str, Counter] = {}
@@ -44,9 +44,11 @@ def frequent_lengths(
         )
 
     summed = docs.select(text_of().alias("text")).mapInArrow(summaries, _SUMMARY)
-    totals = summed.groupBy("unit").agg(F.sum("n").alias("n"))
+    # Written, as it is read twice: for the histogram of counts and for the leading words.
+    totals = staged(summed.groupBy("unit").agg(F.sum("n").alias("n")), "frequent")
     counter = Counter(tokenizer_path, {}, size)
     lengths = {row.unit: counter.length(row.unit) for row in leading(totals, size).collect()}
+    discard(totals)
     return {unit: n for unit, n in lengths.items() if n > 0}
 
 
