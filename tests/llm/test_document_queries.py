@@ -7,6 +7,7 @@ import pytest
 import __spark_entry__ as contract
 import corpus_pipeline
 from tests.compare import differences
+from tests.llm.conftest import row
 from tests.llm.test_decontaminate import plain
 from tests.llm.test_line_dedup import distance
 from tests.llm.test_near_dup import plain_components
@@ -104,7 +105,7 @@ def test_pipeline_stages_equal_plain_versions(spark, db):
     def texts(frame):
         return {r.doc_id: r.text for r in frame.select("doc_id", "text").collect()}
 
-    before = texts(docs)
+    before = came = texts(docs)
     for name, stage in corpus_pipeline.STAGES[:-1]:
         docs = staged(stage(spark, docs, SF_DIR), "test")
         after = texts(docs)
@@ -114,8 +115,10 @@ def test_pipeline_stages_equal_plain_versions(spark, db):
         elif name == "line_dedup":
             want = plain_lines(db, before)
         elif name == "near_dedup":
-            parts = plain_components(sorted(before.items()))
-            want = {k: t for k, t in before.items() if parts[k][1] == k}
+            parts = plain_components(sorted((k, came[k]) for k in before))
+            whole = {k: t for k, t in before.items() if parts[k][1] == k}
+            parts = plain_components(sorted(whole.items()))
+            want = {k: t for k, t in whole.items() if parts[k][1] == k}
         else:
             hit = {doc_id for doc_id, _, n, _ in plain(sorted(before.items()), items) if n}
             want = {k: t for k, t in before.items() if k not in hit}
@@ -126,3 +129,17 @@ def test_pipeline_stages_equal_plain_versions(spark, db):
     pieces = corpus_pipeline.run(spark, SF_DIR).collect()
     check(pieces, docs.collect())
     assert {p.doc_id for p in pieces} == set(before)
+
+
+def test_near_copies_go_whole_in_the_pipeline(spark, make, tmp_path):
+    """The stage before cuts the copy down to its changed lines, which must not stay as a scrap."""
+    lines = [f"line {k} of the first text goes on with words {k * 7} {k * 11} {k * 13} to its end" for k in range(30)]
+    changed = "\n".join(lines[:-1] + ["an ending that only the copy has, with twenty words in all or more of them " * 2])
+    rows = [(1, "\n".join(lines)), (2, changed), (3, "some other document with enough words to stay " * 4)]
+    docs = make([row(k, t) for k, t in rows])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    cut = staged(stages["line_dedup"](spark, docs, str(tmp_path)), "test")
+    assert {r.doc_id for r in cut.collect()} == {1, 2, 3}
+    left = stages["near_dedup"](spark, cut, str(tmp_path))
+    assert {r.doc_id for r in left.collect()} == {1, 3} and left.columns == docs.columns
