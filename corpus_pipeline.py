@@ -29,9 +29,14 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates."""
-    ship(spark)
-    return near_dup.deduplicated(docs)
+    """The document with the smallest id of each group of near duplicates.
+
+    Copies lose most of their lines in the stage before, so documents that are left are linked by the
+    texts they came with first, and then by what is left of them.
+    """
+    whole = documents(spark, sf_dir).select("doc_id", "text")
+    apart = staged(near_dup.deduplicated(docs, whole), "apart")
+    return near_dup.deduplicated(apart)
 
 
 def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
