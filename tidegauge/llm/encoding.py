@@ -20,8 +20,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 
-# Words that a cache generation holds in each worker process, and the longest one.
-CACHED, LONGEST = 250_000, 64
+# Words that a cache generation holds in each worker process, and the longest one. Most words are a
+# piece with marks behind it, so there is room for five times as many pieces, which cost the most.
+CACHED, LONGEST = 100_000, 64
 
 
 class NotSplittable(Exception):
@@ -128,7 +129,7 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.width == 2 else "<u4")
         self.spaced = _keeps_spaces(self.tokenizer)
         self.splitter = (SpacedWords if self.spaced else BareWords)(self.tokenizer)
-        self.words, self.pieces = _Cache(cached_words), _Cache(cached_words // 2)
+        self.words, self.pieces = _Cache(cached_words), _Cache(5 * cached_words)
         self.letters = _byte_letters()
         self.code = "H" if self.width == 2 else "I"
         self.line_break = self.whole("\n")
