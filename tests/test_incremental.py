@@ -213,7 +213,27 @@ def test_ingest_isolates_sources(spark):
     assert {r["source_table"]: r["status"] for r in found} == {
         "good": "success", "bad": "failed", "odd type": "failed",
     }
-    assert {r["source_table"] for r in control.read().collect()} == {"good"}
+    # A first run that fails is recorded too, without a watermark.
+    stored = {r["source_table"]: (r["last_run_status"], r["watermark_value"]) for r in control.read().collect()}
+    assert set(stored) == {"good", "bad"} and stored["bad"] == ("failed", "")
+    assert read_watermark(control.read(), "s", "bad") is None
+
+
+def test_a_full_load_reads_its_source_once(spark):
+    folder, (target, control) = scratch(spark, "once"), tables(spark)
+    spark.createDataFrame([(1, at(1), "a"), (2, None, "b"), (1, at(2), "c")], SCHEMA).write.parquet(folder)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    source = spark.read.schema(SCHEMA).parquet(folder).mapInArrow(counted, SCHEMA)
+    one = Source("s", "t", ("id",), "changed", "timestamp", "t")
+    status = ingest_source(one, source, target, control)
+    assert (status.rows_processed, status.rows_without_watermark) == (2, 1)
+    assert [r[2] for r in target.read().collect()] == ["c"] and seen.value == 3
 
 
 # -- changes -----------------------------------------------------------------------------------

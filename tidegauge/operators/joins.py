@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions.columns import col
@@ -17,22 +19,50 @@ def fits_broadcast(df: DataFrame) -> bool:
     return size is not None and size <= broadcast_limit(df.sparkSession)
 
 
+def hot_keys(rows: DataFrame, keys: list[str], share: float = 0.01) -> list[tuple]:
+    """The keys that hold ``share`` of the rows or more, at most 1 / ``share`` of them.
+
+    Counted over all rows before they are shuffled, as one row per key and task. For a stream, ask
+    what has landed so far.
+    """
+    counts = rows.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
+    total = rows.count()
+    return [tuple(r)[:-1] for r in counts.filter(F.col("_n") >= max(1, share * total)).collect()]
+
+
+def _is_hot(df: DataFrame, keys: list[str], hot: list[tuple]) -> Column:
+    found = F.lit(False)
+    for values in hot:
+        same = [col(k).eqNullSafe(F.lit(v).cast(df.schema[k].dataType)) for k, v in zip(keys, values)]
+        found = found | reduce(Column.__and__, same)
+    return found
+
+
 def dimension_join(
-    facts: DataFrame, dimension: DataFrame, keys: list[str], how: str = "left", salts: int = 16
+    facts: DataFrame,
+    dimension: DataFrame,
+    keys: list[str],
+    how: str = "left",
+    salts: int = 16,
+    hot: list[tuple] | None = None,
 ) -> DataFrame:
     """Join facts, streaming or not, with a static table that is unique by key.
 
     No hint is given: Spark broadcasts the table when its own size check allows it. For a stream
     with a larger table the join is salted, since streams get no adaptive skew handling: facts are
-    spread over ``salts`` copies of the dimension. Batch joins leave skew to the adaptive planner.
+    spread over ``salts`` copies of the dimension. With ``hot``, the keys that ``hot_keys`` found,
+    only those are spread and copied. Batch joins leave skew to the adaptive planner.
     """
     if how not in ("left", "inner"):
         raise ValueError("facts may be joined left or inner")
     if not facts.isStreaming or salts <= 1 or fits_broadcast(dimension):
         return facts.join(dimension, keys, how)
-    salted = facts.withColumn(_SALT, F.floor(F.rand(17) * salts).cast("int"))
-    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    return salted.join(dimension.withColumn(_SALT, copies), [*keys, _SALT], how).drop(_SALT)
+    salt, copies = F.floor(F.rand(17) * salts).cast("int"), F.sequence(F.lit(0), F.lit(salts - 1))
+    if hot is not None:
+        salt = F.when(_is_hot(facts, keys, hot), salt).otherwise(0)
+        copies = F.when(_is_hot(dimension, keys, hot), copies).otherwise(F.array(F.lit(0)))
+    salted = facts.withColumn(_SALT, salt)
+    return salted.join(dimension.withColumn(_SALT, F.explode(copies)), [*keys, _SALT], how).drop(_SALT)
 
 
 def aggregate_then_join(

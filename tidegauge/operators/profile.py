@@ -75,7 +75,7 @@ _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _SCALAR = (T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
-def _lane(kind: T.DataType) -> tuple[str, str]:
+def lane_of(kind: T.DataType) -> tuple[str, str]:
     """(family, value type) of a column."""
     if isinstance(kind, _INTEGRAL):
         return "numeric", "bigint"
@@ -295,7 +295,7 @@ def column_metrics(
     width = columns_per_scan
     lanes: dict[tuple[str, str], list[tuple[int, str]]] = {}
     for i, field in enumerate(df.schema):
-        lanes.setdefault(_lane(field.dataType), []).append((i, field.name))
+        lanes.setdefault(lane_of(field.dataType), []).append((i, field.name))
     pieces: list[DataFrame] = []
     for (family, kind), members in lanes.items():
         for start in range(0, len(members), width):
@@ -324,13 +324,23 @@ def profile_dataframe(
     spark = df.sparkSession
     if not df.columns:
         return spark.createDataFrame([], PROFILE_SCHEMA)
-    names = _text_literals(df.columns)
-    kinds = _text_literals([f.dataType.simpleString() for f in df.schema])
-    missing, distinct = "row_count - filled", "coalesce(distinct_count, 0L)"
-    # Sources without rows have no profile.
     values = metrics is None or not set(metrics).isdisjoint(_OF_VALUES)
-    raw = column_metrics(df, columns_per_scan, values).filter("row_count > 0")
-    profile = raw.selectExpr(
+    raw = column_metrics(df, columns_per_scan, values)
+    return rendered_profile(raw, df.schema, source_rid, dataset_path, metrics)
+
+
+def rendered_profile(
+    raw: DataFrame,
+    schema: T.StructType,
+    source_rid: str | None = None,
+    dataset_path: str | None = None,
+    metrics: list[str] | None = None,
+) -> DataFrame:
+    """The profile from one row of raw parts per column position; sources without rows have none."""
+    names = _text_literals(schema.names)
+    kinds = _text_literals([f.dataType.simpleString() for f in schema])
+    missing, distinct = "row_count - filled", "coalesce(distinct_count, 0L)"
+    profile = raw.filter("row_count > 0").selectExpr(
         f"get(array({names}), position) AS column_name",
         f"get(array({kinds}), position) AS data_type",
         "row_count",

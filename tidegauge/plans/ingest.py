@@ -80,7 +80,7 @@ def read_watermark(control: DataFrame | None, system: str, table: str) -> str |
     if control is None:
         return None
     row = control.filter(_of(system, table)).select("watermark_value").first()
-    return None if row is None else row[0]
+    return None if row is None else row[0] or None
 
 
 def commit_watermark(
@@ -95,13 +95,18 @@ def _alone(control):
     return getattr(control, "gate", None) or nullcontext()
 
 
-def mark_failed(control: VersionedTable, run: RunStatus, by: str) -> int | None:
-    """Record a failed run in the source's control row, which keeps its watermark."""
+def mark_failed(
+    control: VersionedTable, run: RunStatus, by: str, source: Source | None = None
+) -> int | None:
+    """Record a failed run in the source's control row, which keeps its watermark.
+
+    A source whose first run fails gets a row with an empty watermark, if ``source`` is known.
+    """
     with _alone(control):
         current = _current(control)
         mine = _of(run.source_system, run.source_table)
         if current is None or current.filter(mine).isEmpty():
-            return None
+            return None if source is None else _committed(control, source, None, "failed", 0, by)
         changed = {
             "last_run_status": F.lit("failed"),
             "last_run_timestamp": F.lit(datetime.now(timezone.utc)),
@@ -113,7 +118,7 @@ def mark_failed(control: VersionedTable, run: RunStatus, by: str) -> int | None:
 
 
 def _committed(
-    control: VersionedTable, source: Source, value: str, status: str, rows: int, by: str
+    control: VersionedTable, source: Source, value: str | None, status: str, rows: int, by: str
 ) -> int:
     current = _current(control)
     stored = read_watermark(current, source.source_system, source.source_table)
@@ -121,7 +126,8 @@ def _committed(
         source.source_system,
         source.source_table,
         source.watermark_column,
-        later(stored, value, source.watermark_type),
+        # The column takes no null; before the first success it is empty.
+        later(stored, value, source.watermark_type) or "",
         source.watermark_type,
         status,
         datetime.now(timezone.utc),
@@ -135,9 +141,8 @@ def _committed(
     return control.publish(merged.coalesce(1))
 
 
-def _staged(rows: DataFrame, column: str, folder: str) -> tuple[DataFrame, int, object]:
-    """The increment as a written table, its row count and its highest watermark."""
-    seen = Observation()
+def _staged(rows: DataFrame, column: str, folder: str, seen: Observation) -> tuple[DataFrame, int, object]:
+    """The rows as a written table, their number and their highest watermark."""
     # The observed stage is the writing one, where a repeated task is not counted twice.
     rows.observe(seen, *_summary(column)).write.parquet(folder)
     staged = rows.sparkSession.read.schema(rows.schema).parquet(folder)
@@ -181,26 +186,26 @@ def ingest_source(
     built = target.version()
     full = built is None or (logic is not None and built.logic != logic)
     counting = full if count_unmarked is None else count_unmarked
-    unmarked = df.filter(col(column).isNull()).count() if counting else None
     since = None if full else stored
+    missing = Observation()
+    if full and counting:
+        # The rows without a watermark are seen in the one reading of the source.
+        df = df.observe(missing, F.count_if(col(column).isNull()).alias("rows"))
     rows = extract_increment(df, column, source.watermark_type, since, source.lookback_minutes)
 
-    staging = None
-    if full:
-        count, highest = rows.agg(*_summary(column)).first()
-        if count:
-            found = rows.filter(col(column) <= F.lit(highest))
-            target.publish(latest_per_key(found, keys, [column]), logic=logic)
-    else:
-        staging = scratch(df.sparkSession, "increment")
-        staged, count, highest = _staged(rows, column, staging)
-        if count:
-            upsert_table(target, staged, keys, [column])
+    staging = scratch(df.sparkSession, "increment")
+    staged, count, highest = _staged(rows, column, staging, Observation())
+    unmarked = None
+    if counting:
+        unmarked = missing.get["rows"] if full else df.filter(col(column).isNull()).count()
+    if count and full:
+        target.publish(latest_per_key(staged, keys, [column]), logic=logic)
+    elif count:
+        upsert_table(target, staged, keys, [column])
     value = later(stored, _as_text(df, column, highest), source.watermark_type)
     if value is not None:
         commit_watermark(control, source, value, "success", count, updated_by)
-    if staging is not None:
-        control.files.delete(staging)
+    control.files.delete(staging)
     if keep is not None:
         target.expire(keep)
     return RunStatus(system, table, "success", count, unmarked, value)
@@ -228,6 +233,7 @@ def ingest(
     guarded = _Guarded(control, gate)
 
     def one(row) -> RunStatus:
+        source = None
         try:
             source = source_of(row)
             version = None if logic is None else logic(source)
@@ -244,7 +250,7 @@ def ingest(
         except Exception as error:  # recorded; the watermark stays where it was
             failed = RunStatus(row["source_system"], row["source_table"], "failed")
             failed.error = str(error)
-            mark_failed(guarded, failed, updated_by)
+            mark_failed(guarded, failed, updated_by, source)
             return failed
 
     rows = active_sources(registry)

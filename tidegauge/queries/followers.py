@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegauge.plans.profile_states import ProfileStates
 from tidegauge.plans.tables import apply_changes_table, read_changes, upsert_table
 from tidegauge.plans.views import GroupView
 from tidegauge.queries.base import Registry, table
 from tidegauge.queries.incremental import register as _incremental
+from tidegauge.queries.profiles import METRICS, MOMENT_DIGITS, profile_sql
 from tidegauge.session import scratch
 from tidegauge.sources.feed_source import stream_changes
 from tidegauge.sources.versions import VersionedTable
@@ -98,3 +100,30 @@ def view_affected_groups(spark, sf_dir):
         apply_changes_table(stored, changes, ["c_custkey"], ["step"], gone)
         view.refresh()
     return view.read()
+
+
+_MERGED = profile_sql(["customer"], METRICS, table_column=None).replace("FROM customer", "FROM changed")
+
+
+@register(
+    "profile_merged",
+    f"""
+    WITH changed AS (
+        SELECT * REPLACE (CASE WHEN c_custkey < 300 THEN -c_custkey - 1 ELSE c_acctbal END AS c_acctbal,
+                          CASE WHEN c_custkey < 300 THEN NULL ELSE c_mktsegment END AS c_mktsegment)
+        FROM customer WHERE c_custkey < 300 OR c_mktsegment <> 'BUILDING')
+    {_MERGED}
+    """,
+)
+def profile_merged(spark, sf_dir):
+    """A profile after an upsert, from the states of all slices, of which few are read again."""
+    customers = table(spark, sf_dir, "customer")
+    stored = VersionedTable(spark, scratch(spark, "profiled"), F.floor(F.col("c_custkey") / 300))
+    states = ProfileStates(stored, scratch(spark, "profile-states"))
+    stored.publish(customers.filter("c_mktsegment <> 'BUILDING'"))
+    states.refresh()
+    low = customers.filter("c_custkey < 300").withColumn("c_acctbal", -F.col("c_custkey").cast("double") - 1)
+    upsert_table(stored, low.withColumn("c_mktsegment", F.lit(None).cast("string")), ["c_custkey"])
+    moments = ("mean", "stddev_pop", "cv")
+    picked = [F.round(m, MOMENT_DIGITS).alias(m) if m in moments else F.col(m) for m in METRICS]
+    return states.profile().select(*picked)

@@ -274,6 +274,8 @@ def ingest_status(spark, sf_dir):
            CAST(max(o_orderdate) AS VARCHAR) AS watermark_value, 'timestamp' AS watermark_type,
            'success' AS last_run_status, 'tidegauge' AS updated_by
     FROM orders
+    UNION ALL
+    SELECT 'shop', 'broken', 'o_orderdate', '', 'timestamp', 'failed', 'tidegauge'
     """,
 )
 def watermark_control(spark, sf_dir):

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.operators.changes import live_rows
-from tidegauge.operators.joins import dimension_join
+from tidegauge.operators.joins import dimension_join, hot_keys
 from tidegauge.plans.layers import EventLayers
 from tidegauge.queries.base import Registry, table, table_path
 from tidegauge.session import scratch
+from tidegauge.sources.files import SharedFiles
 from tidegauge.sources.versions import VersionedTable
 from tidegauge.streaming.backfill import land_in_order
 from tidegauge.streaming.dedup import deduplicated
@@ -50,6 +53,13 @@ def _run(stream: DataFrame, label: str, **options) -> tuple[DataFrame, FlowRun]:
     return spark.read.schema(stream.schema).parquet(f"{folder}/rows"), run
 
 
+def _in_turn(parts: tuple[DataFrame, ...], landing: str, run: Callable[[DataFrame], object]) -> None:
+    """Land one part after the other, each with all its tasks, and run what is new after each."""
+    for part in parts:
+        part.write.mode("append").parquet(landing)
+        run(stream_table(part.sparkSession, landing, part.schema))
+
+
 def _finished(stream: DataFrame, label: str, *clocks: str, **options) -> DataFrame:
     return local_clock(_run(stream, label, **options)[0], *clocks)
 
@@ -174,13 +184,16 @@ def stream_watermark_max(spark, sf_dir):
 
 @register("stream_dedup", "SELECT event_id, ts, user_id, event_type FROM events")
 def stream_dedup(spark, sf_dir):
-    """Every event twice, in two files and two micro-batches: the second asks the state."""
+    """Every event twice, in two landings and two runs: the second asks the state."""
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
-    landing = scratch(spark, "copies")
-    for _ in range(2):
-        events.coalesce(1).write.mode("append").parquet(landing)
-    stream = stream_table(spark, landing, events.schema, max_files=1)
-    return _finished(deduplicated(stream, "ts", _DELAY, ["event_id"]), "dedup", "ts")
+    folder = scratch(spark, "copies")
+
+    def run(stream: DataFrame) -> None:
+        rows = deduplicated(stream, "ts", _DELAY, ["event_id"])
+        run_flow(rows, f"{folder}/checkpoint", "dedup", path=f"{folder}/rows")
+
+    _in_turn((events, events), f"{folder}/landing", run)
+    return local_clock(spark.read.parquet(f"{folder}/rows"), "ts")
 
 
 # -- joins -------------------------------------------------------------------------------------
@@ -245,7 +258,8 @@ def _static_join(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer").selectExpr(
         "c_custkey user_id", "c_name", "c_mktsegment"
     )
-    joined = dimension_join(_events(spark, sf_dir), customers, ["user_id"])
+    hot = hot_keys(table(spark, sf_dir, "events"), ["user_id"])
+    joined = dimension_join(_events(spark, sf_dir), customers, ["user_id"], hot=hot)
     return _finished(joined.select("event_id", "ts", "event_type", "c_name", "c_mktsegment"), label)
 
 
@@ -374,9 +388,13 @@ def backfill_wide_threshold(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     landing = scratch(spark, "wide")
     middle = F.lit("2024-01-16").cast("timestamp_ntz")
+    landed = [0]
     for part in (events.filter(F.col("ts") >= middle), events.filter(F.col("ts") < middle)):
-        part.coalesce(1).write.mode("append").parquet(landing)
-    stream = stream_table(spark, landing, events.schema, max_files=1)
+        part.write.mode("append").parquet(landing)
+        landed.append(len([n for n in SharedFiles(spark).children(landing) if n.endswith(".parquet")]))
+    # Two micro-batches, the second one with the rest of the older files.
+    most = max(after - before for before, after in zip(landed, landed[1:]))
+    stream = stream_table(spark, landing, events.schema, max_files=most)
     counts = windowed_counts(stream, "ts", "20 days", "1 hour", ["event_type"])
     return _finished(counts.drop("window_end"), "wide", "window_start")
 
@@ -419,19 +437,16 @@ _LATEST = """
 """
 
 
-def _landed_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events landed as several files, one event type after the other."""
+def _by_type(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ...]:
+    """The events in several parts, one event type after the other."""
     events = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type")
-    landing = scratch(spark, "by-type")
-    for kinds in (("view", "click"), ("purchase",), ("signup", "error")):
-        part = events.filter(F.col("event_type").isin(*kinds))
-        part.coalesce(1).write.mode("append").parquet(landing)
-    return stream_table(spark, landing, events.schema, max_files=1)
+    kinds = (("view", "click"), ("purchase",), ("signup", "error"))
+    return tuple(events.filter(F.col("event_type").isin(*k)) for k in kinds)
 
 
 @register("stream_upsert", _LATEST)
 def stream_upsert(spark, sf_dir):
-    """Micro-batches upserted by user, the newest events first; all are sent twice over two runs.
+    """Micro-batches upserted by user, the newest events first; all are sent again after a reset.
 
     What a later batch brings of an older time must not replace the stored row.
     """
@@ -443,13 +458,14 @@ def stream_upsert(spark, sf_dir):
         source.filter((F.col("ts") < edges[0]) & (F.col("ts") >= edges[1])),
         source.filter(F.col("ts") < edges[1]),
     )
-    for part in newest_first:
-        part.coalesce(1).write.mode("append").parquet(f"{folder}/landing")
-    events = stream_table(spark, f"{folder}/landing", source.schema, max_files=1)
     stored = VersionedTable(spark, f"{folder}/table", F.floor(F.col("user_id") / 100_000))
-    for attempt in ("first", "reset"):
+
+    def run(events: DataFrame, attempt: str = "first") -> None:
         checkpoint = f"{folder}/checkpoint-{attempt}"
         upsert_flow(events, stored, ["user_id"], ["ts", "event_id"], checkpoint, attempt)
+
+    _in_turn(newest_first, f"{folder}/landing", run)
+    run(stream_table(spark, f"{folder}/landing", source.schema), "reset")
     return stored.read()
 
 
@@ -458,15 +474,19 @@ def stream_apply_changes(spark, sf_dir):
     """Changes that arrive out of order, in three micro-batches, applied by sequence."""
     folder = scratch(spark, "changes")
     stored = VersionedTable(spark, f"{folder}/table", F.floor(F.col("user_id") / 100_000))
-    apply_changes_flow(
-        _landed_by_type(spark, sf_dir),
-        stored,
-        ["user_id"],
-        ["ts", "event_id"],
-        f"{folder}/checkpoint",
-        "changes",
-        delete_when=F.col("event_type") == "signup",
-    )
+
+    def run(stream: DataFrame) -> None:
+        apply_changes_flow(
+            stream,
+            stored,
+            ["user_id"],
+            ["ts", "event_id"],
+            f"{folder}/checkpoint",
+            "changes",
+            delete_when=F.col("event_type") == "signup",
+        )
+
+    _in_turn(_by_type(spark, sf_dir), f"{folder}/landing", run)
     return live_rows(stored.read())
 
 
