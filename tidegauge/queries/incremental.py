@@ -275,7 +275,7 @@ def ingest_status(spark, sf_dir):
            'success' AS last_run_status, 'tidegauge' AS updated_by
     FROM orders
     UNION ALL
-    SELECT 'shop', 'broken', 'o_orderdate', '', 'timestamp', 'failed', 'tidegauge'
+    SELECT 'shop', 'broken', 'changed', '', 'timestamp', 'failed', 'tidegauge'
     """,
 )
 def watermark_control(spark, sf_dir):
