@@ -5,7 +5,14 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tidegauge.operators.changes import UpstreamChangeError
-from tidegauge.plans.tables import apply_changes_table, read_changes, upsert_table
+from tidegauge.plans.tables import (
+    FeedReader,
+    apply_changes_table,
+    digests,
+    read_changes,
+    resync,
+    upsert_table,
+)
 from tidegauge.plans.views import GroupView
 from tidegauge.session import scratch
 from tidegauge.sources.feed_source import stream_changes
@@ -174,3 +181,30 @@ def test_view_refuses_sums_of_floating_point(spark):
     view = GroupView(table_of(spark, "f", sliced=False), stored, ["k"], ["g"], {"s": F.col("v").cast("double")})
     with pytest.raises(ValueError, match="floating point"):
         view.refresh()
+
+
+def test_resync_finds_inserts_updates_and_deletes(spark):
+    stored = table_of(spark, "resync")
+    stored.publish(rows(spark, (1, "a", 1), (2, "b", 2), (None, "n", 3)))
+    mine = digests(stored.read(), ["k"])
+    assert resync(stored, mine, ["k"]).isEmpty()
+    stored.publish(rows(spark, (1, "a", 1), (None, "n", None), (4, "d", 4)))
+    assert listed(resync(stored, mine, ["k"])) == sorted(
+        [(2, None, None, "delete", 2), (None, "n", None, "update_postimage", 2), (4, "d", 4, "insert", 2)], key=str
+    )
+
+
+def test_reader_behind_expired_versions(spark):
+    stored = written(spark, "behind")
+    reader, seen = FeedReader(stored, scratch(spark, "positions"), "r"), []
+    state = digests(stored.read(1), ["k"]).collect()
+    reader.files.write_text(f"{reader.folder}/{1:09d}", "")
+    stored.expire(keep=1)
+    with pytest.raises(LookupError):
+        reader.run(["k"], lambda feed: seen.extend(feed.collect()))
+    kept = spark.createDataFrame(state, "k int, _digest string")
+    assert reader.run(["k"], lambda feed: seen.extend(feed.collect()), state=lambda: kept) == 4
+    assert {(r.k, r["_change_type"]) for r in seen} == {
+        (3, "update_postimage"), (50, "insert"), (60, "insert"), (61, "insert"), (None, "update_postimage"),
+    }
+    assert reader.run(["k"], lambda feed: seen.append("never")) == 4 and "never" not in seen

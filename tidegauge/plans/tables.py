@@ -8,10 +8,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.functions.columns import cols
+from tidegauge.functions.columns import col, cols
 from tidegauge.operators.changes import (
     CHANGE_TYPE,
     COMMIT_VERSION,
+    DELETE,
+    INSERT,
+    UPDATE_AFTER,
     apply_changes,
     change_feed,
     follow_changes,
@@ -21,6 +24,8 @@ from tidegauge.operators.changes import (
 )
 from tidegauge.sources.versions import VersionedTable
 
+DIGEST = "_digest"
+
 
 def _touched(table: VersionedTable, rows: DataFrame) -> tuple[DataFrame, list[int] | None]:
     """The part of the table that rows can change: their slices, or everything when unsliced."""
@@ -104,6 +109,39 @@ def read_changes(
     return follow_changes(together.select(*cols(names), CHANGE_TYPE, COMMIT_VERSION), on_change)
 
 
+def digests(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The keys and a digest of each row, what a consumer needs to keep to find its way back."""
+    whole = F.to_json(F.struct(*cols(rows.columns)), {"ignoreNullFields": "false"})
+    return rows.select(*cols(keys), F.sha2(whole, 256).alias(DIGEST))
+
+
+def resync(table: VersionedTable, state: DataFrame, keys: list[str], upto: int | None = None) -> DataFrame:
+    """Changes that bring a consumer whose rows have the digests ``state`` to a version of the table.
+
+    For readers whose version is no longer kept. Rows that the consumer lacks are inserts, rows that
+    differ give their image after the change, and keys that are gone are deletes with null values;
+    images before a change are not known any more. ``state`` must be unique by key.
+    """
+    number = table.latest() if upto is None else upto
+    now = table.read(number)
+    names = now.columns
+    held = state.select(*[col(k).alias(f"_h{i}") for i, k in enumerate(keys)], F.col(DIGEST).alias("_held"))
+    there = now.select(F.struct(*cols(names)).alias("_row"))
+    whole = F.to_json("_row", {"ignoreNullFields": "false"})
+    there = there.withColumn("_now", F.sha2(whole, 256))
+    match = [F.col("_row")[k].eqNullSafe(F.col(f"_h{i}")) for i, k in enumerate(keys)]
+    both = there.join(held, reduce(Column.__and__, match), "full_outer")
+    kind = (
+        F.when(F.col("_held").isNull(), F.lit(INSERT))
+        .when(F.col("_now").isNull(), F.lit(DELETE))
+        .when(F.col("_now") != F.col("_held"), F.lit(UPDATE_AFTER))
+    )
+    key = {k: F.coalesce(F.col("_row")[k], F.col(f"_h{i}")) for i, k in enumerate(keys)}
+    values = [key.get(n, F.col("_row")[n]).alias(n) for n in names]
+    changed = both.withColumn(CHANGE_TYPE, kind).filter(F.col(CHANGE_TYPE).isNotNull())
+    return changed.select(*values, CHANGE_TYPE, F.lit(number).alias(COMMIT_VERSION))
+
+
 class FeedReader:
     """A named reader of a table's changes that remembers how far it has read.
 
@@ -124,14 +162,21 @@ class FeedReader:
         keys: list[str],
         handle: Callable[[DataFrame], object],
         on_change: str = "feed",
+        state: Callable[[], DataFrame] | None = None,
     ) -> int | None:
         """Pass all changes since the last run to ``handle``; returns the new position.
 
-        The first run passes the oldest version that is still kept as inserts, then what followed.
+        The first run passes the oldest version that is still kept as inserts, then what followed. A
+        reader whose version has expired is brought up to date by the ``digests`` of its own rows,
+        which ``state`` gives; without it the run raises.
         """
         newest, last = self.table.latest(), self.position()
         if newest is None or newest == last:
             return last
+        if last is not None and state is not None and last not in self.table.versions():
+            handle(resync(self.table, state(), keys, newest))
+            self.files.write_text(f"{self.folder}/{newest:09d}", "")
+            return newest
         if last is None:
             last = self.table.versions()[0]
             first = self.table.read(last)

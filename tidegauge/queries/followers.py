@@ -6,7 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.plans.profile_states import ProfileStates
-from tidegauge.plans.tables import apply_changes_table, read_changes, upsert_table
+from tidegauge.plans.tables import (
+    FeedReader,
+    apply_changes_table,
+    digests,
+    read_changes,
+    upsert_table,
+)
 from tidegauge.plans.views import GroupView
 from tidegauge.queries.base import Registry, table
 from tidegauge.queries.incremental import register as _incremental
@@ -127,3 +133,37 @@ def profile_merged(spark, sf_dir):
     moments = ("mean", "stddev_pop", "cv")
     picked = [F.round(m, MOMENT_DIGITS).alias(m) if m in moments else F.col(m) for m in METRICS]
     return states.profile().select(*picked)
+
+
+@register(
+    "feed_resync",
+    """
+    SELECT c_custkey, c_acctbal, 'insert' AS _change_type, 1 AS _commit_version FROM customer
+    WHERE c_mktsegment <> 'BUILDING'
+    UNION ALL SELECT c_custkey, c_acctbal, 'insert', 3 FROM customer WHERE c_mktsegment = 'BUILDING'
+    UNION ALL SELECT c_custkey, c_acctbal + 1, 'update_postimage', 3 FROM customer
+    WHERE c_mktsegment = 'MACHINERY'
+    """,
+)
+def feed_resync(spark, sf_dir):
+    """A reader that fell behind what is kept finds what it lacks by the digests of its own rows."""
+    first, building, machinery = _segments(spark, sf_dir)
+    stored, folder = _tracked(spark, "resync"), scratch(spark, "resync-reader")
+    reader = FeedReader(stored, f"{folder}/positions", "behind")
+
+    def seen() -> DataFrame:
+        return spark.read.parquet(f"{folder}/seen")
+
+    def run() -> None:
+        reader.run(
+            ["c_custkey"], lambda feed: feed.write.mode("append").parquet(f"{folder}/seen"),
+            state=lambda: digests(seen().select(*_COLUMNS), ["c_custkey"]),
+        )
+
+    stored.publish(first)
+    run()
+    upsert_table(stored, building, ["c_custkey"])
+    upsert_table(stored, machinery, ["c_custkey"])
+    stored.expire(keep=1)
+    run()
+    return seen().select("c_custkey", "c_acctbal", "_change_type", "_commit_version")

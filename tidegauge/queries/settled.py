@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.queries.base import Registry, table, table_path
-from tidegauge.queries.streams import _views_and_clicks
+from tidegauge.queries.streams import _MATCH, _SIDES, _views_and_clicks
 from tidegauge.session import scratch
+from tidegauge.streaming.backfill import land_together
 from tidegauge.streaming.exact import exactly_deduplicated
 from tidegauge.streaming.flows import run_flow
 from tidegauge.streaming.joins import interval_join
@@ -172,3 +173,27 @@ def stream_rejects(spark, sf_dir):
         "event_id", REJECTED, "value", F.col("props.k").alias("k"),
         F.concat_ws("; ", "_errors").alias("errors"), F.col("_raw.value").alias("raw_value"),
     )
+
+
+@register(
+    "backfill_two_streams",
+    f"{_SIDES} SELECT view_id, v.user_id, view_time, click_id, click_time "
+    f"FROM views v JOIN clicks c ON {_MATCH}",
+)
+def backfill_two_streams(spark, sf_dir):
+    """Two histories landed slice by slice side by side and joined: the watermark loses no pair."""
+    views, clicks = _views_and_clicks(table(spark, sf_dir, "events"))
+    folder = scratch(spark, "two-histories")
+
+    def joined(number: int):
+        streams = [
+            stream_table(spark, f"{folder}/{name}", df.schema) for name, df in (("views", views), ("clicks", clicks))
+        ]
+        rows = interval_join(
+            *streams, ["user_id"], "view_time", "click_time", "60 MINUTES", _DELAY, _DELAY, "inner"
+        ).select("view_id", "user_id", "view_time", "click_id", "click_time")
+        return run_flow(rows, f"{folder}/checkpoint", f"slice-{number}", path=f"{folder}/rows")
+
+    histories = [(views, "view_time", f"{folder}/views"), (clicks, "click_time", f"{folder}/clicks")]
+    land_together(histories, 10 * 24 * 3600, joined)
+    return local_clock(spark.read.parquet(f"{folder}/rows"), "view_time", "click_time")

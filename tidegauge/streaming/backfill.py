@@ -53,6 +53,40 @@ def split_history(
     return folder, sorted(int(n) for n in names if n != _NONE), undated
 
 
+def land_together(
+    histories: list[tuple[DataFrame, str, str]],
+    seconds: int,
+    after_slice: Callable[[int], FlowRun],
+    undated: dict[str, str] | None = None,
+) -> list[FlowRun]:
+    """Append several histories to their landings slice by slice, running a flow after each slice.
+
+    ``histories`` are tables, their event-time columns and landings. All are landed up to the same
+    time before a run, so a flow that joins them never has a watermark that one of them has still to
+    reach, whichever of the streams decides it. Rows without an event time go to the place that
+    ``undated`` has for a landing; without one they are an error, raised before anything lands.
+    """
+    split = [(df, landing, *split_history(df, time, seconds)) for df, time, landing in histories]
+    for df, landing, _, _, without_time in split:
+        if without_time is not None and landing not in (undated or {}):
+            raise UndatedRowsError(f"rows without event time for {landing}: name a place for them")
+    for df, landing, _, _, without_time in split:
+        # A stream whose history begins later must find its folder.
+        df.limit(0).write.mode("append").parquet(landing)
+        if without_time is not None:
+            rows = df.sparkSession.read.schema(df.schema).parquet(without_time)
+            rows.write.mode("append").parquet(undated[landing])
+    runs = []
+    for number in sorted({n for _, _, _, slices, _ in split for n in slices}):
+        for df, landing, folder, slices, _ in split:
+            if number in slices:
+                part = f"{folder}/{_SLICE}={number}"
+                df.sparkSession.read.schema(df.schema).parquet(part).write.mode("append").parquet(landing)
+                SharedFiles(df.sparkSession).delete(part)
+        runs.append(after_slice(number))
+    return runs
+
+
 def land_in_order(
     history: DataFrame,
     event_time: str,
