@@ -1,4 +1,6 @@
 import json
+import time
+import uuid
 from datetime import datetime
 
 import pytest
@@ -8,7 +10,9 @@ from tidegauge.plans import profiling
 from tidegauge.plans.profiling import (
     METADATA_SCHEMA,
     NARROW_COLUMNS,
+    RunOptions,
     WIDE_COLUMNS,
+    profile_all,
     profile_and_tag,
     run_adhoc_job,
     run_configured_jobs,
@@ -184,3 +188,44 @@ def test_folder_scan_cuts_the_root_once(spark, folder):
     spark.range(3).write.parquet(f"{root}/ds1{root}/x")
     spark.range(3).write.parquet(f"{root}/ds2")
     assert sorted(r["path"] for r in control_from_folder(spark, root).collect()) == ["ds1", "ds2"]
+
+
+class Watched(Catalog):
+    """Notes what is read; ids that begin with ``slow`` take a second per row."""
+
+    def __init__(self, spark):
+        super().__init__(spark)
+        self.read_ids = []
+
+    def read(self, ref):
+        self.read_ids.append(ref.rid)
+        if ref.rid == "gone":
+            raise LookupError("gone")
+
+        def slowly(batches):
+            for batch in batches:
+                time.sleep(60 if ref.rid.startswith("slow") else 0)
+                yield batch
+
+        return self.spark.range(0, 3, 1, 1).mapInArrow(slowly, "id long")
+
+
+def test_a_run_goes_on_where_it_stopped(spark):
+    refs = [DatasetRef(r, r) for r in ("a", "gone", "b", "a")]
+    first, second = Watched(spark), Watched(spark)
+    run = RunOptions(ledger=uuid.uuid4().hex)
+    _, profiled, failures = profile_all(spark, refs, first, "registry", run)
+    assert profiled == 3 and [f["rid"] for f in failures] == ["gone"]
+    profiles, profiled, _ = profile_all(spark, refs[::-1] + [DatasetRef("c", "c")], second, "registry", run)
+    assert sorted(second.read_ids) == ["c", "gone"] and profiled == 4
+    assert sorted(r.source_rid for r in profiles.collect()) == ["a", "a", "b", "c"]
+
+
+def test_a_slow_dataset_is_cancelled_alone(spark):
+    refs = [DatasetRef(r, r) for r in ("a", "slow", "b")]
+    began = time.time()
+    options = RunOptions(limit_seconds=30)
+    profiles, profiled, failures = profile_all(spark, refs, Watched(spark), "registry", options)
+    assert time.time() - began < 58
+    assert failures == [{"rid": "slow", "path": "slow", "error": "took more than 30 s"}]
+    assert sorted(r.source_rid for r in profiles.collect()) == ["a", "b"] and profiled == 2

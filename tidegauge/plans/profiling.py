@@ -7,9 +7,15 @@ back as one table, joined with the dataset metadata, tagged and published.
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+from collections import Counter
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
+from threading import Event, Timer
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,8 +23,9 @@ from pyspark.sql import types as T
 
 from tidegauge.functions.columns import DEFAULT_BRANCH, tag
 from tidegauge.operators.profile import PROFILE_SCHEMA, profile_dataframe
-from tidegauge.session import scratch
+from tidegauge.session import scratch, shared_root
 from tidegauge.sources.datasets import Catalog, DatasetRef
+from tidegauge.sources.files import SharedFiles
 from tidegauge.sources.registry import GovernedConfig, control_refs, registry_refs
 from tidegauge.sources.versions import VersionedTable
 
@@ -108,29 +115,97 @@ def _tagged(df: DataFrame, ref: DatasetRef, mode: str) -> DataFrame:
     )
 
 
-def _stage(catalog: Catalog, ref: DatasetRef, mode: str, folder: str) -> str | None:
-    """Write one dataset's profile; returns the error text, or None when it went well."""
+@dataclass(frozen=True)
+class RunOptions:
+    """How the datasets of a job are worked off.
+
+    ``threads`` datasets are profiled side by side. ``ledger`` names a run in the shared folder: a
+    dataset that an earlier attempt of the run has staged is taken as it is, so an attempt after a
+    stop or a failure reads only the rest; a new run needs a new name. ``limit_seconds`` cancels the
+    Spark jobs of a dataset that takes longer, which counts as a failure of that dataset alone.
+    """
+
+    threads: int = 4
+    ledger: str | None = None
+    limit_seconds: float | None = None
+
+
+@contextmanager
+def _limited(spark: SparkSession, seconds: float | None) -> Iterator[Event]:
+    """Jobs that this thread starts are cancelled when the time is over; the event then is set."""
+    over = Event()
+    if seconds is None:
+        yield over
+        return
+    context, tag_name = spark.sparkContext, f"dataset-{uuid.uuid4().hex}"
+
+    def cancel() -> None:
+        over.set()
+        # Again and again: a job may be between two of its stages or not have started yet.
+        while not done.wait(0.2):
+            context.cancelJobsWithTag(tag_name)
+
+    done, timer = Event(), Timer(seconds, cancel)
+    context.addJobTag(tag_name)
+    timer.start()
     try:
-        _tagged(catalog.read(ref), ref, mode).coalesce(1).write.parquet(folder)
-    except Exception as error:  # any dataset may fail in any way; the others go on
-        return str(error)
+        yield over
+    finally:
+        done.set()
+        timer.cancel()
+        context.removeJobTag(tag_name)
+
+
+def _stage(
+    spark: SparkSession, catalog: Catalog, ref: DatasetRef, mode: str, folder: str, options: RunOptions
+) -> str | None:
+    """Write one dataset's profile; returns the error text, or None when it went well."""
+    files, mark = SharedFiles(spark), f"{folder}.done"
+    if options.ledger is not None and files.exists(mark):
+        return None
+    with _limited(spark, options.limit_seconds) as over:
+        try:
+            rows = _tagged(catalog.read(ref), ref, mode).coalesce(1)
+            rows.write.mode("overwrite").parquet(folder)
+        except Exception as error:  # any dataset may fail in any way; the others go on
+            return f"took more than {options.limit_seconds} s" if over.is_set() else str(error)
+    if options.ledger is not None:
+        files.write_text(mark, ref.rid)
     return None
 
 
+def _staging(ledger: str | None, run: str, mode: str, refs: list[DatasetRef]) -> list[str]:
+    """A folder per entry; with a ledger it depends on the entry only, wherever it stands in the list."""
+    if ledger is None:
+        return [f"{run}/dataset={i}" for i in range(len(refs))]
+    times: Counter = Counter()
+    folders = []
+    for ref in refs:
+        entry = (mode, ref.rid, ref.path, ref.branch)
+        digest = hashlib.sha256(repr((*entry, times[entry])).encode()).hexdigest()[:32]
+        times[entry] += 1
+        folders.append(f"{run}/dataset={digest}")
+    return folders
+
+
 def profile_all(
     spark: SparkSession,
     refs: list[DatasetRef],
     catalog: Catalog,
     mode: str,
-    threads: int = 4,
+    options: RunOptions = RunOptions(),
 ) -> tuple[DataFrame | None, int, list[dict[str, str]]]:
     """(profiles of all readable datasets, how many were read, failures)."""
     if not refs:
         return None, 0, []
-    run = scratch(spark, "profiles")
-    folders = [f"{run}/dataset={i}" for i in range(len(refs))]
-    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(refs)))) as pool:
-        errors = list(pool.map(lambda rf: _stage(catalog, rf[0], mode, rf[1]), zip(refs, folders)))
+    run = scratch(spark, "profiles") if options.ledger is None else f"{shared_root(spark)}/tidegauge/runs/{options.ledger}"
+    folders = _staging(options.ledger, run, mode, refs)
+
+    def stage(entry: tuple[DatasetRef, str]) -> str | None:
+        return _stage(spark, catalog, entry[0], mode, entry[1], options)
+
+    with ThreadPoolExecutor(max_workers=max(1, min(options.threads, len(refs)))) as pool:
+        errors = list(pool.map(stage, zip(refs, folders)))
     good = [f for f, error in zip(folders, errors) if error is None]
     failures = [
         {"rid": ref.rid, "path": ref.path, "error": error}
@@ -181,10 +256,13 @@ def run_registry_job(
     catalog: Catalog,
     output: VersionedTable,
     failure_output: VersionedTable | None = None,
-    threads: int = 4,
+    options: RunOptions = RunOptions(),
 ) -> JobResult:
-    """Profile every dataset a registry lists, in the narrow schema with both totals."""
-    found = profile_all(output.spark, registry_refs(registry), catalog, "registry", threads)
+    """Profile every dataset a registry lists, in the narrow schema with both totals.
+
+    With a ledger an attempt that reads all datasets publishes what the first could not.
+    """
+    found = profile_all(output.spark, registry_refs(registry), catalog, "registry", options)
     return _publish(*found, output, NARROW_COLUMNS, None, failure_output)
 
 
@@ -194,11 +272,11 @@ def run_governed_job(
     output: VersionedTable,
     metadata: DataFrame | None = None,
     failure_output: VersionedTable | None = None,
-    threads: int = 4,
+    options: RunOptions = RunOptions(),
 ) -> JobResult:
     """Profile the governed list of a config, in the wide schema."""
     refs = [DatasetRef(r.rid, r.path, DEFAULT_BRANCH) for r in config.governed]
-    found = profile_all(output.spark, refs, catalog, "governed", threads)
+    found = profile_all(output.spark, refs, catalog, "governed", options)
     return _publish(*found, output, WIDE_COLUMNS, metadata, failure_output)
 
 
@@ -208,10 +286,10 @@ def run_adhoc_job(
     output: VersionedTable,
     metadata: DataFrame | None = None,
     failure_output: VersionedTable | None = None,
-    threads: int = 4,
+    options: RunOptions = RunOptions(),
 ) -> JobResult:
     """Profile the enabled datasets of a control table, in the wide schema."""
-    found = profile_all(output.spark, control_refs(control), catalog, "ad_hoc", threads)
+    found = profile_all(output.spark, control_refs(control), catalog, "ad_hoc", options)
     return _publish(*found, output, WIDE_COLUMNS, metadata, failure_output)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from tidegauge.operators.profile import profile_dataframe, value_counts
 from tidegauge.operators.rows import select_where
 from tidegauge.plans.profiling import (
     METADATA_SCHEMA,
+    RunOptions,
     run_adhoc_job,
     run_governed_job,
     run_registry_job,
@@ -289,6 +292,28 @@ def profile_many(spark, sf_dir):
     return _picked(output.read(), METRICS, "dataset_path", *totals)
 
 
+_RESUMED = ["nation", "customer", "orders"]
+
+
+@register(
+    "profile_resumed",
+    "SELECT *, 3 AS total_datasets_profiled, 0 AS total_datasets_failed FROM ("
+    + profile_sql(_RESUMED, METRICS, table_column="dataset_path")
+    + ")",
+)
+def profile_resumed(spark, sf_dir):
+    """Two attempts of one run: the second takes from the ledger what the first had staged.
+
+    In the first attempt one table cannot be read, in the second only that one can.
+    """
+    registry = spark.createDataFrame([(f"id.{n}", n, "") for n in _RESUMED], REGISTRY_SCHEMA)
+    output, run = _output(spark, "profile-resumed"), RunOptions(ledger=uuid.uuid4().hex)
+    for there in (["nation", "orders"], ["customer"]):
+        run_registry_job(registry, _catalog(spark, sf_dir, there), output, options=run)
+    totals = ["total_datasets_profiled", "total_datasets_failed"]
+    return _picked(output.read(), METRICS, "dataset_path", *totals)
+
+
 @register(
     "profile_failures",
     """
@@ -401,6 +426,7 @@ def profile_enriched(spark, sf_dir):
             ("id.supplier", "other", "Suppliers", None, "tx-3"),
         ],
         METADATA_SCHEMA,
+    RunOptions,
     )
     output = _output(spark, "adhoc")
     run_adhoc_job(control, _catalog(spark, sf_dir, names), output, metadata)
