@@ -27,8 +27,8 @@ MOST_REPEATED = 30
 # Where that is little, a twentieth of the quantile is allowed, and one unit where the quantile is 0.
 METRICS = {
     "symbols": ("n_symbols * 1000 div n_words", 1, 90, 1),
-    "dup_lines": ("n_dup_lines * 1000 div greatest(n_lines, 1)", 1, 98, 1),
-    "repeats": ("n_repeat_words * 1000 div n_words", 1, 98, 1),
+    "dup_lines": ("n_dup_lines * 1000 div greatest(n_lines, 1)", 1, 99, 1),
+    "repeats": ("n_repeat_words * 1000 div n_words", 1, 99, 1),
     "word_length": ("word_chars * 100 div n_words", 10, 90, 2),
 }
 LEAST_DOCS = 100

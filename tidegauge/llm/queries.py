@@ -51,8 +51,8 @@ def op2_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _METRICS_SQL = {
     "symbols": ("n_symbols * 1000 // n_words", 1, 90, 1),
-    "dup_lines": ("n_dup_lines * 1000 // greatest(n_lines, 1)", 1, 98, 1),
-    "repeats": ("n_repeat_words * 1000 // n_words", 1, 98, 1),
+    "dup_lines": ("n_dup_lines * 1000 // greatest(n_lines, 1)", 1, 99, 1),
+    "repeats": ("n_repeat_words * 1000 // n_words", 1, 99, 1),
     "word_length": ("word_chars * 100 // n_words", 10, 90, 2),
 }
 
