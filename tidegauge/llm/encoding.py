@@ -265,9 +265,9 @@ def _parts(texts: pa.Array, most: int = 16 << 20) -> Iterator[pa.Array]:
 
 
 @functools.cache
-def process_encoder(path: str) -> Encoder:
+def process_encoder(path: str, cached_words: int = CACHED) -> Encoder:
     """One encoder per worker process, whose cache outlives its tasks."""
-    return Encoder(path)
+    return Encoder(path, cached_words)
 
 
 def _keeps_spaces(tokenizer) -> bool:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.llm.common import as_batch, slices, staged, text_of
-from tidegauge.llm.encoding import Encoder, process_encoder
+from tidegauge.llm.encoding import CACHED, Encoder, process_encoder
 
 WINDOW = 2048
 GRAIN = 64
@@ -169,12 +169,17 @@ def _queues(docs: DataFrame, source: str, limit: int, targets=()) -> dict[str |
 
 
 def encoded(
-    docs: DataFrame, tokenizer_path: str, queues: dict[str | None, int], end_id: int, source: str
+    docs: DataFrame,
+    tokenizer_path: str,
+    queues: dict[str | None, int],
+    end_id: int,
+    source: str,
+    cached_words: int = CACHED,
 ) -> DataFrame:
     """Token ids per document, with its queue, part and the queue's tokens before it in the part."""
 
     def encode(batches):
-        encoder, part = process_encoder(tokenizer_path), TaskContext.get().partitionId()
+        encoder, part = process_encoder(tokenizer_path, cached_words), TaskContext.get().partitionId()
         before: dict[int, int] = {}
         end = np.array([end_id], encoder.dtype).tobytes()
         for batch in slices(batches, 4096):
@@ -213,6 +218,7 @@ def packed(
     queues: int = QUEUES,
     source: str = "source",
     power: float = 1.0,
+    cached_words: int = CACHED,
 ) -> DataFrame:
     """One row per piece: where a stretch of a document's tokens lies in which window.
 
@@ -221,10 +227,11 @@ def packed(
     About ``queues`` queues exist: sources with a target have one each, then those with most documents,
     and the rest share one. Null texts are empty and still carry ``end_id``; a null source
     is a source; repeated rows are packed once each; an empty table gives no pieces. Queues hold
-    documents in the order they were read.
+    documents in the order they were read. Each worker process keeps the ids of a few times
+    ``cached_words`` words until it ends.
     """
     numbers = _queues(docs, source, queues, targets or {})
-    table = staged(encoded(docs, tokenizer_path, numbers, end_id, source), "encoded")
+    table = staged(encoded(docs, tokenizer_path, numbers, end_id, source, cached_words), "encoded")
     width = Encoder(tokenizer_path, 1).width
     totals = table.groupBy("queue", "part").agg(F.sum("n").alias("tokens"))
     earlier = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
