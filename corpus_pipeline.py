@@ -49,7 +49,8 @@ def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in windows of fixed size, each source at its share of the tokens."""
     ship(spark)
-    return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"))
+    # Workers outlive the stage; small caches leave the memory to the stages of the next run.
+    return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"), cached_words=30_000)
 
 
 STAGES = [
