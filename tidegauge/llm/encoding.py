@@ -20,8 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 
-# Words that a cache generation holds in each worker process, and the longest one. Most words are a
-# piece with marks behind it, so there is room for five times as many pieces, which cost the most.
+# The unit of what a cache generation holds in each worker process, and the longest word in it.
 CACHED, LONGEST = 100_000, 64
 
 
@@ -129,7 +128,9 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.width == 2 else "<u4")
         self.spaced = _keeps_spaces(self.tokenizer)
         self.splitter = (SpacedWords if self.spaced else BareWords)(self.tokenizer)
-        self.words, self.pieces = _Cache(cached_words), _Cache(5 * cached_words)
+        # Byte-level words mostly fail by the marks behind them, others as a whole.
+        words, pieces = (1, 5) if self.spaced else (2.5, 1.25)
+        self.words, self.pieces = _Cache(int(words * cached_words)), _Cache(int(pieces * cached_words))
         self.letters = _byte_letters()
         self.code = "H" if self.width == 2 else "I"
         self.line_break = self.whole("\n")
