@@ -58,6 +58,46 @@ def test_exact_whatever_the_batches(spark):
         assert run.dropped_rows == 0 and got == want
 
 
+def test_waiting_rows_are_not_in_python_state(spark):
+    rows = [(at("12:00") + timedelta(minutes=i), i % 3, i) for i in range(150)]
+    got, run = exact(spark, [rows])
+    assert got == plain_kept(rows, timedelta(minutes=10), rows[-1][0] - timedelta(minutes=30))
+    ops = [op for p in run.progress for op in p["stateOperators"]]
+    held = {name: max(op["numRowsTotal"] for op in ops if op["operatorName"] == name) for name in {op["operatorName"] for op in ops}}
+    # An entry per key and its timer; every row would be 150 and more.
+    assert held["transformWithStateInPySparkExec"] <= 6 and held["stateStoreSave"] == 150
+
+
+@pytest.mark.parametrize(
+    "kind, first, same, other",
+    [
+        ("double", 0.0, -0.0, 1.5),
+        ("array<string>", ["a", None], ["a", None], ["a"]),
+        ("binary", b"1", b"1", None),
+        ("string", "", "", None),
+    ],
+)
+def test_keys_of_any_type(spark, kind, first, same, other):
+    schema = f"event_time timestamp, k {kind}, l string, note map<string,int>, n int"
+    rows = [
+        (at("12:00"), first, "x", {"a": 1}, 1),
+        (at("12:05"), same, "x", {"b": 2}, 2),
+        (at("12:05"), other, "x", None, 3),
+        (at("12:11"), same, "x", {}, 4),
+        (at("12:11"), first, None, None, 5),
+        (at("20:00"), first, "x", None, 6),
+    ]
+    folder = scratch(spark, "exact-keys")
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/i")
+    stream = spark.readStream.schema(schema).parquet(f"{folder}/i")
+    kept = exactly_deduplicated(stream, "event_time", "30 minutes", ["k", "l"], "10 minutes")
+    run_flow(kept, f"{folder}/c", "exact", path=f"{folder}/o")
+    got = spark.read.parquet(f"{folder}/o")
+    assert got.columns == ["event_time", "k", "l", "note", "n"]
+    found = {r.n: (r.k if r.k is None or kind != "binary" else bytes(r.k), r.note) for r in got.collect()}
+    assert found == {1: (first, {"a": 1}), 3: (other, None), 4: (same, {}), 5: (first, None)}
+
+
 @pytest.fixture
 def aside(spark):
     landing, folder = Landing(spark), scratch(spark, "aside")
