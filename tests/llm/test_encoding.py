@@ -41,3 +41,25 @@ def test_counts_equal_the_library():
 def test_vocabulary_without_white_space_cannot_count():
     with pytest.raises(ValueError):
         Counter(public_tokenizers.path("word_bpe_49k.json"), {})
+
+
+def test_bare_words_are_cut_and_merged_once_per_piece():
+    """Words that differ in case and marks only share one look-up, however small the cache is."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder, tokenizer = Encoder(path, cached_words=1), load_tokenizer(path)
+    merged = []
+    encoder._merged = lambda piece, real=encoder._merged: merged.append(piece) or real(piece)
+    forms = [w + m for m in ("", ",", ".") for w in ("tide", "Tide", "TIDE", "gauge", "Gauge", "wharf", "Wharf", "quay")]
+    texts = [" ".join(forms), " ".join(reversed(forms)), "", None]
+    got = [encoder.wide(ids).tolist() for ids in encoder.packed(pa.array(texts))]
+    assert got == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert sorted(merged) == sorted(["tide", "gauge", "wharf", "quay", "", ",", "."])
+
+
+def test_every_letter_of_a_simple_bare_word():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder, tokenizer = Encoder(path), load_tokenizer(path)
+    texts = [form for c in range(0x21, 0x260) for form in (chr(c), f"a{chr(c)}", f"{chr(c)}b{chr(c)},", f"x{chr(c)}-y")]
+    got = [encoder.wide(ids).tolist() for ids in encoder.packed(pa.array(texts))]
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [encoder.wide(ids).tolist() for ids in encoder.packed(pa.array(["", None], pa.string()))] == [[], []]

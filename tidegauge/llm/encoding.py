@@ -101,13 +101,13 @@ class BareWords:
     def units(self, texts: pa.Array) -> pa.ListArray:
         return pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
 
-    def plain(self, unit: str) -> str:
-        return unit
-
 
 # A word of Latin letters (without the one whose lower case is two characters) and the marks after
 # it. Both vocabularies cut it into these two pieces.
 _SIMPLE = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([!-&(-/:-@\[-`{-~]*)")
+_SIMPLE_ARROW = (
+    r"^(?P<word>[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{12f}\x{131}-\x{24f}]+)(?P<marks>[!-&(-/:-@\[-`{-~]*)$"
+)
 
 
 def _byte_letters() -> dict[int, str]:
@@ -128,8 +128,8 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.width == 2 else "<u4")
         self.spaced = _keeps_spaces(self.tokenizer)
         self.splitter = (SpacedWords if self.spaced else BareWords)(self.tokenizer)
-        # Byte-level words mostly fail by the marks behind them, others as a whole.
-        words, pieces = (1, 5) if self.spaced else (2.5, 1.25)
+        # Bare words are only cached whole where they are not a simple word and its marks.
+        words, pieces = (1, 5) if self.spaced else (0.5, 3.25)
         self.words, self.pieces = _Cache(int(words * cached_words)), _Cache(int(pieces * cached_words))
         self.letters = _byte_letters()
         self.code = "H" if self.width == 2 else "I"
@@ -139,7 +139,7 @@ class Encoder:
         return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def word(self, unit: str) -> bytes | bool:
-        """Ids of a word; False where the text has to be encoded whole."""
+        """Ids of a byte-level word; False where the text has to be encoded whole."""
         after_break = unit[:1] == "\n"
         simple = _SIMPLE.fullmatch(unit, 1 if after_break else 0)
         if simple is None:
@@ -148,9 +148,7 @@ class Encoder:
             except NotSplittable:
                 return False
         word, marks = simple.groups()
-        if not self.spaced:
-            ids = self._piece(word.lower())
-        elif after_break:
+        if after_break:
             ids = self.line_break + self._piece(word)
         else:
             ids = self._piece(" " + word)
@@ -162,11 +160,14 @@ class Encoder:
         if found is None:
             found = pieces.old.get(piece)
             if found is None:
-                shown = piece.encode("utf-8").decode("latin-1").translate(self.letters)
-                found = array(self.code, [t.id for t in self.model.tokenize(shown)]).tobytes()
+                found = self._merged(piece)
             pieces.put(piece, found)
         return found
 
+    def _merged(self, piece: str) -> bytes:
+        shown = piece.encode("utf-8").decode("latin-1").translate(self.letters)
+        return array(self.code, [t.id for t in self.model.tokenize(shown)]).tobytes()
+
     def packed(self, texts: pa.Array) -> Iterator[bytes]:
         """The ids of each text; null counts as empty."""
         for part in _parts(pc.fill_null(texts, "")):
@@ -175,27 +176,53 @@ class Encoder:
     def _packed(self, texts: pa.Array) -> Iterator[bytes]:
         units = self.splitter.units(texts)
         codes = units.flatten().dictionary_encode()
-        words = codes.dictionary.to_pylist()
-        values = self.words.values(words, self.word)
         code = codes.indices.to_numpy()
         edges = units.offsets.to_numpy() - units.offsets[0].as_py()
-        whole = self._not_splittable(words, values, code, edges)
-        sizes = np.fromiter(map(len, (v or b"" for v in values)), np.int64, len(values))
-        starts = np.cumsum(sizes) - sizes
-        data = np.frombuffer(b"".join(v or b"" for v in values) + b"\0", np.uint8)
+        if self.spaced:
+            words = codes.dictionary.to_pylist()
+            values = self.words.values(words, self.word)
+            whole = self._not_splittable(words, values, code, edges)
+            cells, sizes = self._cells([v or b"" for v in values])
+        else:
+            whole = np.zeros(len(texts), bool)
+            cells, sizes = self._bare(codes.dictionary)
         width, lead = self.width, self.width if self.spaced else 0
-        cells = data[: len(data) // width * width].view(self.dtype)
-        length = sizes[code] // width
-        place = np.cumsum(length)
-        source = np.repeat(starts[code] // width - (place - length), length)
-        ids = cells[source + np.arange(len(source))].tobytes()
-        ends = np.concatenate([[0], place])[edges] * width
+        ids = _joined(cells, sizes, code).tobytes()
+        ends = np.concatenate([[0], np.cumsum(sizes[code])])[edges] * width
         for k, (begin, end) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())):
             if whole[k]:
                 yield self.whole(texts[k].as_py())
             else:
                 yield ids[begin + lead : end]
 
+    def _cells(self, values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row, and how many each value has."""
+        sizes = np.fromiter(map(len, values), np.int64, len(values)) // self.width
+        return np.frombuffer(b"".join(values), self.dtype), sizes
+
+    def _bare(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words in a row, and how many each has.
+
+        Arrow cuts simple words from their marks, so that only distinct pieces are looked up.
+        """
+        cut = pc.extract_regex(words, _SIMPLE_ARROW)
+        simple = cut.is_valid()
+        word, marks = cut.filter(simple).flatten()
+        word, marks = pc.utf8_lower(word).dictionary_encode(), marks.dictionary_encode()
+        others = words.filter(pc.invert(simple)).to_pylist()
+        values = self.pieces.values(word.dictionary.to_pylist(), self._merged)
+        values += self.pieces.values(marks.dictionary.to_pylist(), self._merged)
+        values += self.words.values(others, self.whole)
+        # Every word is two values in a row, the second of the others is empty.
+        values.append(b"")
+        pairs = np.full((len(words), 2), len(values) - 1, np.int64)
+        is_simple = simple.to_numpy(zero_copy_only=False)
+        pairs[is_simple, 0] = word.indices.to_numpy()
+        pairs[is_simple, 1] = marks.indices.to_numpy() + np.int64(len(word.dictionary))
+        pairs[~is_simple, 0] = np.arange(len(others)) + len(word.dictionary) + len(marks.dictionary)
+        cells, sizes = self._cells(values)
+        return _joined(cells, sizes, pairs.ravel()), sizes[pairs].sum(axis=1)
+
     def _not_splittable(self, words, values, code, edges) -> np.ndarray:
         """Texts with a word that has no ids of its own, or with empty words beyond the first."""
         bad = np.array([v is False for v in values], bool)
@@ -211,6 +238,13 @@ class Encoder:
         return np.frombuffer(packed, self.dtype).astype("<u4")
 
 
+def _joined(cells: np.ndarray, sizes: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """The cells of each value in ``code``, one value after the other."""
+    starts, length = np.cumsum(sizes) - sizes, sizes[code]
+    source = np.repeat(starts[code] - (np.cumsum(length) - length), length)
+    return cells[source + np.arange(len(source))]
+
+
 class Counter:
     """Numbers of tokens. ``frequent`` holds the lengths of common words for good."""
 
